@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from foliospark import constants as K
 
-# Offsets are gathered in blocks of this many, so that packing a document of n chunks copies
-# O(n) array slots instead of the O(n^2) that one growing array would cost.
-_OFFSET_BLOCK = 1024
+# Paragraphs per block of the packing fold.
+_BLOCK = 1024
 
 
 def strip(text: Column) -> Column:
@@ -40,51 +39,67 @@ def language_suffix(lang: Column) -> Column:
     )
 
 
-def chunk_starts(paragraphs: Column, max_chars: int) -> Column:
+def chunk_starts(lengths: Column, max_chars: int) -> Column:
     """1-based index of the first paragraph of every chunk, by ordered greedy packing.
 
-    A paragraph opens a new chunk when it would take the running length over ``max_chars``.
-    Only paragraph characters count, separators do not, and no paragraph is ever split. The
-    running length restarts at data-dependent places, so this is a fold and not a window.
-    """
-    start = F.struct(
-        F.lit(0).alias("i"),
-        F.lit(0).alias("length"),
-        F.array(F.lit(1)).alias("open"),
-        F.array().cast("array<array<int>>").alias("closed"),
-    )
+    ``lengths`` are the paragraph lengths in characters. A paragraph opens a new chunk when it
+    would take the running length over ``max_chars``. Only paragraph characters count, separators
+    do not, and no paragraph is ever split. The running length restarts at data-dependent places,
+    so this is a fold and not a window.
 
-    def step(acc: Column, paragraph: Column) -> Column:
-        n = F.length(paragraph)
-        index = acc["i"] + 1
-        opens = (acc["i"] > 0) & (acc["length"] + n > max_chars)
-        block_full = F.size(acc["open"]) >= _OFFSET_BLOCK
-        return F.struct(
-            index.alias("i"),
-            F.when(opens, n).otherwise(acc["length"] + n).alias("length"),
-            F.when(~opens, acc["open"])
-            .when(block_full, F.array(index))
-            .otherwise(F.array_append(acc["open"], index))
-            .alias("open"),
-            F.when(opens & block_full, F.array_append(acc["closed"], acc["open"]))
-            .otherwise(acc["closed"])
-            .alias("closed"),
+    ``aggregate`` copies its state at every step. The paragraphs are therefore folded in blocks:
+    the inner fold's state holds the starts of one block only, and the outer one is copied once
+    per block, so that a document of a million paragraphs still packs in seconds.
+    """
+    n = F.size(lengths)
+    no_starts = F.array().cast("array<int>")
+
+    def fold_block(done: Column, block: Column) -> Column:
+        first = block * _BLOCK + 1
+
+        def step(state: Column, i: Column) -> Column:
+            length = F.get(lengths, i - 1)
+            opens = (i == 1) | (state["length"] + length > max_chars)
+            return F.struct(
+                F.when(opens, length).otherwise(state["length"] + length).alias("length"),
+                F.when(opens, F.array_append(state["starts"], i))
+                .otherwise(state["starts"])
+                .alias("starts"),
+            )
+
+        return F.aggregate(
+            F.sequence(first, F.least(first + (_BLOCK - 1), n)),
+            F.struct(done["length"].alias("length"), no_starts.alias("starts")),
+            step,
+            lambda state: F.struct(
+                state["length"].alias("length"),
+                F.array_append(done["blocks"], state["starts"]).alias("blocks"),
+            ),
         )
 
     return F.aggregate(
-        paragraphs, start, step, lambda acc: F.flatten(F.array_append(acc["closed"], acc["open"]))
+        F.sequence(F.lit(0), F.floor((n - 1) / _BLOCK).cast("int")),
+        F.struct(
+            F.lit(0).alias("length"), F.array().cast("array<array<int>>").alias("blocks")
+        ),
+        fold_block,
+        lambda done: F.flatten(done["blocks"]),
     )
 
 
 def join_slices(paragraphs: Column, starts: Column, separator: str) -> Column:
-    """Chunk texts from the paragraphs and the start offsets of :func:`chunk_starts`."""
-    return F.transform(
-        starts,
-        lambda s, k: F.array_join(
-            F.slice(paragraphs, s, F.coalesce(F.get(starts, k + 1), F.size(paragraphs) + 1) - s),
-            separator,
-        ),
-    )
+    """Chunk texts from the paragraphs and the start offsets of :func:`chunk_starts`.
+
+    Paragraphs are picked by index: ``slice`` would copy the whole paragraph array per chunk.
+    """
+
+    def chunk(start: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(starts, k + 1) - 1, F.size(paragraphs))
+        return F.array_join(
+            F.transform(F.sequence(start, end), lambda i: F.get(paragraphs, i - 1)), separator
+        )
+
+    return F.transform(starts, chunk)
 
 
 def system_prompt(template: str, target_lang: Column | str) -> Column:

@@ -19,6 +19,19 @@ def paragraphs(
     )
 
 
+def _with_starts(docs: DataFrame, content: str, separator: str, max_chars: int) -> DataFrame:
+    """Add the paragraph array, the paragraph lengths and the chunk offsets as columns.
+
+    Each is used more than once by what follows, which keeps the optimizer from merging the
+    projections and so from repeating the split for every chunk.
+    """
+    return (
+        docs.withColumn("_paragraphs", T.split_literal(F.col(content), separator))
+        .withColumn("_lengths", F.transform("_paragraphs", lambda p: F.length(p)))
+        .withColumn("_starts", T.chunk_starts(F.col("_lengths"), max_chars))
+    )
+
+
 def with_chunks(
     docs: DataFrame,
     content: str = "content",
@@ -27,21 +40,31 @@ def with_chunks(
 ) -> DataFrame:
     """Add ``chunks``, the document's paragraphs packed into size-bounded texts.
 
-    Narrow: no shuffle, no Python. The paragraph array and the offsets are separate columns that
-    are each used twice, which keeps the optimizer from repeating the split for every chunk.
+    Narrow: no shuffle, no Python.
     """
+    chunks = T.join_slices(F.col("_paragraphs"), F.col("_starts"), separator)
     return (
-        docs.withColumn("_paragraphs", T.split_literal(F.col(content), separator))
-        .withColumn("_starts", T.chunk_starts(F.col("_paragraphs"), max_chars))
-        .withColumn("chunks", T.join_slices(F.col("_paragraphs"), F.col("_starts"), separator))
-        .drop("_paragraphs", "_starts")
+        _with_starts(docs, content, separator, max_chars)
+        .withColumn("chunks", chunks)
+        .drop("_paragraphs", "_lengths", "_starts")
     )
 
 
-def chunk_rows(docs: DataFrame, keys: list[str], **options) -> DataFrame:
-    """One row per chunk: the keys, ``chunk_idx`` and ``chunk``."""
-    return with_chunks(docs, **options).select(
-        *keys, F.posexplode("chunks").alias("chunk_idx", "chunk")
+def chunk_rows(
+    docs: DataFrame,
+    keys: list[str],
+    content: str = "content",
+    separator: str = K.PARAGRAPH_SEPARATOR,
+    max_chars: int = K.MAX_CHARS,
+) -> DataFrame:
+    """One row per chunk: the keys, ``chunk_idx`` and ``chunk``.
+
+    The chunks are exploded as an expression. Exploding a column would make the optimizer infer a
+    filter on it, push that to the scan and compute every chunk a second time there.
+    """
+    chunks = T.join_slices(F.col("_paragraphs"), F.col("_starts"), separator)
+    return _with_starts(docs, content, separator, max_chars).select(
+        *keys, F.posexplode(chunks).alias("chunk_idx", "chunk")
     )
 
 

@@ -22,12 +22,22 @@ def parse_layout(docs: DataFrame, json: str = "layout_json") -> DataFrame:
 
     Adds ``items`` (array of variant), ``success`` and ``error``. Text that is not JSON, has
     anything after the array, is not an array at the top, or holds a non-object fails; an error
-    is data in its row and never ends the job.
+    is data in its row and never ends the job. Repeated keys need
+    ``spark.sql.variant.allowDuplicateKeys``, else their document fails.
     """
-    items = F.try_variant_get(F.try_parse_json(without_bom(F.col(json))), "$", "array<variant>")
+    text = without_bom(F.col(json))
+    # The parser ignores whatever follows the first value. With the text as the first entry of an
+    # array and its own hash as the second, the hash is only found when nothing but the value
+    # was there.
+    mark = F.xxhash64(text)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+    alone = F.try_variant_get("_json", "$[1]", "bigint") == mark
+    items = F.when(alone, F.try_variant_get("_json", "$[0]", "array<variant>"))
     all_objects = F.forall("items", lambda x: F.schema_of_variant(x).startswith("OBJECT"))
     return (
-        docs.withColumn("items", items)
+        docs.withColumn("_json", wrapped)
+        .withColumn("items", items)
+        .drop("_json")
         .withColumn("success", F.coalesce(all_objects, F.lit(False)))
         .withColumn(
             "error",

@@ -60,18 +60,22 @@ PAGE_PATTERN = r"<(" + "|".join(PAGE_TAGS) + r")\b([^>]*)>([^<]*)"
 ELEMENTS_PER_PAGE = 10
 
 
-def elements_from_html(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
+def elements_from_html(
+    pages: DataFrame, keys: list[str], html: str = "html", outer: bool = False
+) -> DataFrame:
     """Raw elements from HTML text, by regular expression and without leaving the JVM.
 
     The page is matched once; the parts of a match are taken from the short match alone.
+    ``outer`` keeps pages without elements as one row with a NULL ``elem_idx``.
     """
     tag = F.regexp_extract("match", PAGE_PATTERN, 1)
     attributes = F.regexp_extract("match", PAGE_PATTERN, 2)
     inner = F.regexp_extract("match", PAGE_PATTERN, 3)
     tags = F.create_map(*[F.lit(x) for pair in PAGE_TAGS.items() for x in pair])
     matches = F.regexp_extract_all(F.col(html), F.lit(PAGE_PATTERN), F.lit(0))
+    explode = F.posexplode_outer if outer else F.posexplode
     rows = (
-        pages.select(*keys, F.posexplode(matches).alias("elem_idx", "match"))
+        pages.select(*keys, explode(matches).alias("elem_idx", "match"))
         .select(*keys, "elem_idx", tag.alias("tag"), attributes.alias("attrs"), inner.alias("inner"))
         .withColumn("type", F.element_at(tags, F.col("tag")))
     )

@@ -152,8 +152,12 @@ def any_skipped() -> Column:
 
 
 def stage_rows(state: DataFrame) -> DataFrame:
-    """The state as one row per document and stage, with ``needed``."""
-    rows = state.select("doc_id", "mtime", F.explode("stages").alias("s"))
+    """The state as one row per document and stage, with ``needed``.
+
+    There are always three stages; the outer form only keeps the optimizer from adding a filter
+    that would compute them twice.
+    """
+    rows = state.select("doc_id", "mtime", F.explode_outer("stages").alias("s"))
     return rows.select("doc_id", "mtime", "s.*", _needed(F.col("s")).alias("needed"))
 
 

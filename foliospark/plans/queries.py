@@ -135,9 +135,7 @@ def translatable_elements(spark, folder):
     return flat(E.translatable_elements(page_elements(spark, folder)))
 
 
-def layout_summary(spark, folder):
-    pages = table(spark, folder, "pages")
-    summary = E.summaries_for(pages, page_elements(spark, folder), ["page_id"])
+def summary_columns(summary: DataFrame) -> DataFrame:
     return summary.select(
         "page_id",
         "total_elements",
@@ -150,6 +148,18 @@ def layout_summary(spark, folder):
     )
 
 
+def layout_summary(spark, folder):
+    """One scan and one shuffle: pages without elements stay as outer rows."""
+    raw = X.elements_from_html(table(spark, folder, "pages"), ["page_id"], outer=True)
+    return summary_columns(E.document_summary(E.normalise(raw, ["page_id"]), ["page_id"]))
+
+
+def layout_summary_of_manifest(spark, folder):
+    """The same for elements that lie in a table apart from the list of documents."""
+    pages = table(spark, folder, "pages")
+    return summary_columns(E.summaries_for(pages, page_elements(spark, folder), ["page_id"]))
+
+
 def type_distribution(spark, folder):
     return E.type_distribution(page_elements(spark, folder), ["page_id"])
 
@@ -465,7 +475,7 @@ def all_done(spark, folder):
 
 def state_overview(spark, folder):
     whole = S.overview(state(spark, folder))
-    rows = whole.select("doc_id", "path", "source_mtime", F.explode("stages").alias("stage", "s"))
+    rows = whole.select("doc_id", "path", "source_mtime", F.explode_outer("stages").alias("stage", "s"))
     return rows.select(
         "doc_id",
         "path",
@@ -555,6 +565,7 @@ QUERIES = {
         elements_by_page,
         translatable_elements,
         layout_summary,
+        layout_summary_of_manifest,
         type_distribution,
         layout_json,
         layout_json_summary,
