@@ -33,6 +33,12 @@ def path_order(path: Column) -> Column:
     return F.split(path, "/")
 
 
-def document_id(file_path: Column) -> Column:
+def plain_path(file_path: Column) -> Column:
+    """The path behind a percent-encoded ``_metadata.file_path``; local ones lose their scheme."""
+    decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^file:/*", "/")
+
+
+def document_id(path: Column) -> Column:
     """Key of a source file; two files with one stem in different folders stay apart."""
-    return F.sha2(file_path, 256)
+    return F.sha2(path, 256)

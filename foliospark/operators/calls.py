@@ -99,19 +99,66 @@ def answer_lists(fn, prompt: str, column: str, attempts: int, backoff: float):
     return run
 
 
+def locate(path: str):
+    """Filesystem, path inside it, and what to put before an inner path to get a full one.
+
+    Paths are plain, not percent-encoded; without a scheme they are local.
+    """
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    if "://" not in path:
+        return fs.LocalFileSystem(), path, ""
+    scheme, rest = path.split("://", 1)
+    authority, _, inner = rest.partition("/")
+    root = f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{authority}/"
+    filesystem, base = fs.FileSystem.from_uri(root)
+    base = base.rstrip("/")
+    return filesystem, f"{base}/{inner}", f"{scheme}://{authority}" if not base else f"{scheme}://"
+
+
+def list_folders(recursive: bool):
+    """``mapInArrow`` function that replaces folders by what lies in them; files pass through."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    schema = pa.schema(
+        [("path", pa.string()), ("folder", pa.bool_()), ("micros", pa.int64()), ("length", pa.int64())]
+    )
+
+    def run(batches):
+        for batch in batches:
+            files = batch.filter(pa.compute.invert(batch.column("folder")))
+            yield pa.RecordBatch.from_arrays(files.columns, schema=schema)
+            for row in batch.filter(batch.column("folder")).to_pylist():
+                filesystem, inner, prefix = locate(row["path"])
+                found = filesystem.get_file_info(fs.FileSelector(inner, recursive=recursive))
+                for start in range(0, len(found), 10_000):
+                    part = found[start : start + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([prefix + i.path for i in part], pa.string()),
+                            pa.array([i.type == fs.FileType.Directory for i in part], pa.bool_()),
+                            pa.array([(i.mtime_ns or 0) // 1000 for i in part], pa.int64()),
+                            pa.array([i.size or 0 for i in part], pa.int64()),
+                        ],
+                        schema=schema,
+                    )
+
+    return run
+
+
 def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool):
     """``mapInArrow`` function over (key, path, content): the user's extractor per document.
 
     Files are opened here, one at a time, so only the documents asked for are ever read.
     """
     import pyarrow as pa
-    from pyarrow import fs
 
     def read(path: str) -> bytes:
-        filesystem = fs.LocalFileSystem()
-        if "://" in path:
-            filesystem, path = fs.FileSystem.from_uri(path)
-        with filesystem.open_input_stream(path) as stream:
+        filesystem, inner, _ = locate(path)
+        with filesystem.open_input_stream(inner) as stream:
             return stream.read()
 
     def run(batches):
@@ -146,10 +193,9 @@ def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool)
 
 def write_files(folder: str, bom: bool):
     """``foreachPartition`` function that writes each row's ``content`` under its ``out_name``."""
-    from pyarrow import fs
 
     def run(rows):
-        filesystem, root = fs.FileSystem.from_uri(folder)
+        filesystem, root, _ = locate(folder)
         for row in rows:
             target = f"{root}/{row['out_name']}"
             filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)

@@ -116,7 +116,8 @@ def run_batch(
     """
     run_id, tables = new_run_id(), Tables(spark, out)
     columns = [F.col(c) for c in ("path", "file", "stem", "mtime")]
-    columns += [F.col(c) for c in ("file_path", "length") if c in manifest.columns]
+    if "length" in manifest.columns:
+        columns.append(F.col("length"))
     listed = tables.write(
         manifest.select(F.col("doc_id").cast("string").alias("doc_id"), *columns), "manifest", run_id
     )
@@ -143,7 +144,6 @@ def run_batch(
     extracted = tables.write(
         X.extract_elements(
             docs, extractor, content=content, parallelism=tasks,
-            path="file_path" if "file_path" in docs.columns else "path",
             max_attempts=max_attempts, wait_seconds=wait_seconds,
         ),
         "extracted",

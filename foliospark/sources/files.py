@@ -1,7 +1,7 @@
 """Files as tables: source documents, artifacts, layout JSON, Markdown and saved state.
 
-Keys come from ``_metadata.file_path`` on every source, which is encoded alike everywhere; the
-plain ``path`` is a label. Spark's listing leaves out names that start with ``.`` or ``_``.
+The key of a file is its plain path: Spark's metadata column holds it percent-encoded and is decoded
+here, so that listings and contents join.
 """
 
 from __future__ import annotations
@@ -12,34 +12,34 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions.text import without_bom
+from foliospark.operators.calls import list_folders, locate
 
-_PDF_GLOB = "*.[pP][dD][fF]"
 
+def _kind(path: str) -> str:
+    kind = locate(path)[0].get_file_info(locate(path)[1]).type.name
+    return {"File": "file", "Directory": "folder"}.get(kind, "missing")
 
-def _status(spark: SparkSession, path: str) -> str:
-    """``file``, ``folder`` or ``missing``, on whatever filesystem the path names."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    filesystem = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not filesystem.exists(target):
-        return "missing"
-    return "folder" if filesystem.getFileStatus(target).isDirectory() else "file"
 
+def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """``doc_id, path, mtime, length`` per file, empty and hidden ones included.
 
-def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """``doc_id, file_path, path, mtime, length`` per file; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(path)
-    )
-    plain = F.regexp_replace("path", r"^file:/*", "/")
-    return files.select(
-        P.document_id(F.col("_metadata.file_path")).alias("doc_id"),
-        F.col("_metadata.file_path").alias("file_path"),
-        plain.alias("path"),
-        F.col("modificationTime").alias("mtime"),
-        F.col("length"),
+    Spark's own file sources leave out empty files and names that start with ``.`` or ``_``, so
+    the folders are listed by tasks: the top folder by one, the folders in it by as many as there
+    are. No contents are read and no list goes through the driver.
+    """
+    schema = "path string, folder boolean, micros bigint, length bigint"
+    filesystem, inner, prefix = locate(path)
+    top = filesystem.get_file_info(inner)
+    row = (prefix + inner, top.type.name == "Directory", (top.mtime_ns or 0) // 1000, top.size or 0)
+    rows = spark.createDataFrame([row], schema).mapInArrow(list_folders(False), schema)
+    if recursive:
+        tasks = spark.sparkContext.defaultParallelism * 4
+        rows = rows.repartition(tasks).mapInArrow(list_folders(True), schema)
+    return rows.filter(~F.col("folder")).select(
+        P.document_id(F.col("path")).alias("doc_id"),
+        "path",
+        F.timestamp_micros("micros").alias("mtime"),
+        "length",
     )
 
 
@@ -49,16 +49,10 @@ def list_sources(spark: SparkSession, path: str, recursive: bool = False) -> Dat
     The suffix is matched in any case. Anything but a PDF file or a folder is an error; an empty
     folder gives an empty manifest. Sort with :func:`in_path_order` where the order matters.
     """
-    kind = _status(spark, path)
+    kind = _kind(path)
     if kind == "missing" or (kind == "file" and not path.lower().endswith(".pdf")):
         raise ValueError(f"input must be a PDF file or a folder: {path}")
-    # Always listed recursively: without it, Spark would take ``key=value`` folders for partitions.
-    files = list_files(spark, path, _PDF_GLOB)
-    if kind == "folder" and not recursive:
-        root = spark._jvm.org.apache.hadoop.fs.Path(path)
-        root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
-        own = F.regexp_replace(P.parent(F.col("path")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*", "")
-        files = files.filter(own == root.rstrip("/"))
+    files = list_files(spark, path, recursive).filter(F.lower("path").endswith(".pdf"))
     return files.withColumn("stem", P.stem(F.col("path"))).withColumn("file", P.file_name(F.col("path")))
 
 
@@ -135,7 +129,7 @@ def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> D
 
 
 def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
-    """``file_path, content`` per file, read whole and without byte order mark.
+    """``path, content`` per file, read whole and without byte order mark.
 
     An empty file has no row; join from the listing to keep it.
     """
@@ -143,12 +137,13 @@ def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*") ->
         paths, wholetext=True
     )
     return texts.select(
-        F.col("_metadata.file_path").alias("file_path"), without_bom(F.col("value")).alias("content")
+        P.plain_path(F.col("_metadata.file_path")).alias("path"),
+        without_bom(F.col("value")).alias("content"),
     )
 
 
 def read_layout(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``file_path, layout_json`` per layout file, for ``parse_layout``."""
+    """``path, layout_json`` per layout file, for ``parse_layout``."""
     return read_texts(spark, paths, f"*{K.LAYOUT_SUFFIX}").withColumnRenamed("content", "layout_json")
 
 
@@ -179,7 +174,7 @@ def read_saved_state(
         read_texts(spark, paths, glob)
         .withColumn("saved", F.try_parse_json("content"))
         .select(
-            F.col("file_path").alias("run_id"),
+            F.col("path").alias("run_id"),
             top("source_path", "string").alias("path"),
             top("source_mtime", "double").alias("seconds"),
             F.explode(top("stages", "map<string,variant>")).alias("name", "entry"),

@@ -43,8 +43,8 @@ def translate_new_files(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .load(folder)
         .select(
-            P.document_id(F.col("_metadata.file_path")).alias("doc_id"),
-            P.stem(F.col("_metadata.file_name")).alias("stem"),
+            P.document_id(P.plain_path(F.col("_metadata.file_path"))).alias("doc_id"),
+            P.stem(P.plain_path(F.col("_metadata.file_path"))).alias("stem"),
             without_bom(F.col("value")).alias("content"),
         )
     )
