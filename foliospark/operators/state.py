@@ -75,7 +75,7 @@ def latest_state(events: DataFrame, target_lang: str | None = None) -> DataFrame
         latest = F.max_by(
             F.when(mine, F.struct("status", "ts", "error", "run_id")), F.when(mine, order)
         )
-        done = mine & (F.col("status") == K.DONE)
+        done = mine & F.col("source_mtime").isNotNull()
         mtime = F.max_by(F.when(done, F.col("source_mtime")), F.when(done, order))
         return F.struct(latest.alias("latest"), mtime.alias("source_mtime")).alias(stage)
 
@@ -103,6 +103,25 @@ def latest_state(events: DataFrame, target_lang: str | None = None) -> DataFrame
     return wide.select("doc_id", F.array_compact(stages).alias("recorded"))
 
 
+def compact_events(events: DataFrame) -> DataFrame:
+    """The fewest events with the same state: one per document, stage and target language.
+
+    Each keeps the time its source was last finished at, also where a later event failed.
+    """
+    order = F.struct("ts", "run_id")
+    seen = F.col("source_mtime").isNotNull()
+    return (
+        events.groupBy("doc_id", "stage", "target_lang")
+        .agg(
+            F.max_by(F.struct("status", "ts", "error", "run_id"), order).alias("e"),
+            F.max_by("source_mtime", F.when(seen, order)).alias("source_mtime"),
+        )
+        .select(
+            "doc_id", "stage", "target_lang", "e.status", "e.ts", "e.error", "source_mtime", "e.run_id"
+        )
+    )
+
+
 def state_for(manifest: DataFrame, recorded: DataFrame) -> DataFrame:
     """Every document of ``manifest`` with all three stages; what is not recorded is pending.
 

@@ -45,12 +45,35 @@ class Tables:
     def _read(self, table: str, schema: str) -> DataFrame:
         """A table of all runs; created empty before the first one."""
         path = self.path(table)
-        by = "stage" if table == "stage_events" else "run_id"
-        self.spark.createDataFrame([], schema).write.mode("ignore").partitionBy(by).parquet(path)
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("ignore").partitionBy(empty.columns[-1]).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     def events(self) -> DataFrame:
-        return self._read("stage_events", schemas.STAGE_EVENTS)
+        """The stage events: the last compacted state and what was appended since.
+
+        Events lie in a folder per run, so those already compacted are not read.
+        """
+        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, logged_by STRING")
+        old = self._read("stage_state", f"{schemas.STAGE_EVENTS}, version STRING")
+        version = old.agg(F.max("version")).first()[0]
+        if version is None:
+            return new.drop("logged_by")
+        old, new = old.filter(F.col("version") == version), new.filter(F.col("logged_by") > version)
+        return old.drop("version").unionByName(new.drop("logged_by"))
+
+    def append_events(self, events: DataFrame, run_id: str) -> None:
+        sinks.append_events(events.withColumn("logged_by", F.lit(run_id)), self.path("stage_events"))
+
+    def compact(self) -> None:
+        """Write the current state as a new version; later runs start from it.
+
+        Nothing is overwritten: a version counts once its write has committed, and the events
+        before it stay where they are until someone removes them. Run it between runs.
+        """
+        version = new_run_id()
+        path = f"{self.path('stage_state')}/version={version}"
+        S.compact_events(self.events()).write.parquet(path)
 
     def extracted(self) -> DataFrame:
         return self._read("extracted", f"{schemas.EXTRACTED}, run_id STRING")
@@ -126,8 +149,7 @@ def run_batch(
         return S.state_for(listed, S.latest_state(tables.events(), target_lang))
 
     def mark(docs: DataFrame, stage: str, status, error="") -> None:
-        events = S.mark_stage(docs, stage, status, run_id, error, target_lang)
-        sinks.append_events(events, tables.path("stage_events"))
+        tables.append_events(S.mark_stage(docs, stage, status, run_id, error, target_lang), run_id)
 
     def outcome_of(success):
         return F.when(success, K.DONE).otherwise(K.FAILED)

@@ -23,7 +23,7 @@ from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
 from foliospark.plans.batch import run_batch
-from foliospark.session import shared_path
+from foliospark.session import shared_path, spread
 from foliospark.sources import files, sinks
 
 # The paragraphs of the given documents are separated by single line breaks.
@@ -35,8 +35,16 @@ OUTPUT = "/data/output"
 TARGETS = {"en": "英文", "fr": "法语", "de": "德文", "es": "Español"}
 
 
+ROW_KEYS = {
+    "pages": ["page_id"],
+    "documents": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
+    "events": ["event_id"],
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"), *ROW_KEYS[name])
 
 
 def work_path(spark: SparkSession, name: str) -> str:

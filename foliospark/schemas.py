@@ -21,7 +21,7 @@ STAGE_EVENTS = (
 
 TRANSLATED_CHUNKS = (
     "doc_id STRING, chunk_idx INT, chunk_key STRING, original STRING, translated STRING, "
-    "success BOOLEAN, error STRING, run_id STRING, target_lang STRING"
+    "success BOOLEAN, error STRING, target_lang STRING, run_id STRING"
 )
 
 EXTRACTED = "doc_id STRING, layout_json STRING, markdown STRING, success BOOLEAN, error STRING"

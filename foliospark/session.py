@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every cluster should run the library with. None depends on the data size: AQE sizes
 # the shuffle partitions from what was written and splits skewed join partitions.
@@ -36,3 +36,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame, *row_key: str) -> DataFrame:
+    """``scan`` over all cores when its files give fewer tasks than there are cores.
+
+    A file with one row group is one task, however much work hangs on each row. Tables of any
+    size have more splits than the cluster has cores and are left alone, so nothing large is
+    ever shuffled here. ``row_key`` must tell rows apart; only a plain scan may be passed in.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, *row_key)

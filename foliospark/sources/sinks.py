@@ -46,8 +46,8 @@ def write_results(results: DataFrame, path: str, index: str = "chunk_idx") -> No
 
 
 def append_events(events: DataFrame, path: str) -> None:
-    """Append stage events; the table is partitioned by stage alone."""
-    events.write.mode("append").partitionBy("stage").parquet(path)
+    """Append stage events, in one folder per run that logged them."""
+    events.write.mode("append").partitionBy("logged_by").parquet(path)
 
 
 def write_batch_summary(totals: DataFrame, path: str) -> None:

@@ -113,7 +113,9 @@ def test_first_run_and_rerun(spark, inputs, tmp_path):
     ran = {k: v[2] for k, v in outcomes(third).items()}
     assert ran["good one.pdf"] == 3 and ran["unreadable.pdf"] == 3 and ran["sub/good one.pdf"] == 0
 
-    # Another language translates everything and parses nothing.
+    # Another language translates everything and parses nothing, also from a compacted state.
+    third.tables.compact()
+    assert third.tables.events().count() == 7 * 3 - 1
     fourth = run(spark, inputs, out, calls, target_lang="中文")
     assert calls.sent() == ["# B", "fixed", "other", "text of empty"]
     assert outcomes(fourth)["good one.pdf"] == (True, "success", 1)

@@ -145,6 +145,20 @@ def test_outcome(spark, statuses, success, translate, expected):
     assert df.select(R.outcome(translate, F.lit(success))).first()[0] == expected
 
 
+def test_compaction_keeps_the_state(spark):
+    log = [event("a", "parse", "done", T0, mtime=T1), event("a", "parse", "failed", T1, "why"),
+           event("a", "layout", "done", T0), event("a", "layout", "skipped", T0, run="r0"),
+           event("a", "translate", "done", lang="英文"), event("a", "translate", "failed", lang="中文"),
+           event("b", "parse", "pending")]
+    events = spark.createDataFrame(log, schemas.STAGE_EVENTS)
+    small = S.compact_events(events)
+    assert small.columns == events.columns and small.count() == 5
+    for lang in ("英文", "中文", "other"):
+        before, after = S.latest_state(events, lang), S.latest_state(small, lang)
+        assert sorted(before.collect()) == sorted(after.collect())
+    assert sorted(S.compact_events(small).collect(), key=str) == sorted(small.collect(), key=str)
+
+
 def test_totals(spark):
     outcomes = spark.createDataFrame([(o,) for o in ("success", "skipped", "skipped", "failed")], "outcome string")
     assert R.batch_totals(outcomes).first().asDict() == {
