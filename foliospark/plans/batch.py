@@ -43,37 +43,43 @@ class Tables:
         return f"{base}/run_id={run_id}" if run_id else base
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        """A table of all runs; created empty before the first one."""
+        """A table of all runs, partitioned by its last column; created before the first run."""
         path = self.path(table)
         empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(empty.columns[-1]).parquet(path)
+        by = empty.columns[-1:] if len(empty.columns) > 1 else []
+        empty.write.mode("ignore").partitionBy(*by).parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
-    def events(self) -> DataFrame:
-        """The stage events: the last compacted state and what was appended since.
+    def state_version(self) -> str | None:
+        """The last compacted state, if there is any."""
+        return self._read("state_versions", "version STRING").agg(F.max("version")).first()[0]
+
+    def events(self, version: str | None = None) -> DataFrame:
+        """The stage events, from a compacted state on when its version is given.
 
         Events lie in a folder per run, so those already compacted are not read.
         """
         new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, logged_by STRING")
-        old = self._read("stage_state", f"{schemas.STAGE_EVENTS}, version STRING")
-        version = old.agg(F.max("version")).first()[0]
         if version is None:
             return new.drop("logged_by")
-        old, new = old.filter(F.col("version") == version), new.filter(F.col("logged_by") > version)
-        return old.drop("version").unionByName(new.drop("logged_by"))
+        old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{version}"))
+        return old.unionByName(new.filter(F.col("logged_by") > version).drop("logged_by"))
 
     def append_events(self, events: DataFrame, run_id: str) -> None:
         sinks.append_events(events.withColumn("logged_by", F.lit(run_id)), self.path("stage_events"))
 
-    def compact(self) -> None:
+    def compact(self) -> str:
         """Write the current state as a new version; later runs start from it.
 
-        Nothing is overwritten: a version counts once its write has committed, and the events
-        before it stay where they are until someone removes them. Run it between runs.
+        Nothing is overwritten: a version counts once it is in ``state_versions``, which is
+        written after the state itself has committed. Run it between runs.
         """
         version = new_run_id()
-        path = f"{self.path('stage_state')}/version={version}"
-        S.compact_events(self.events()).write.parquet(path)
+        events = self.events(self.state_version())
+        S.compact_events(events).write.parquet(self.path(f"stage_state/{version}"))
+        done = self.spark.createDataFrame([(version,)], "version STRING").coalesce(1)
+        done.write.mode("append").parquet(self.path("state_versions"))
+        return version
 
     def extracted(self) -> DataFrame:
         return self._read("extracted", f"{schemas.EXTRACTED}, run_id STRING")
@@ -138,6 +144,7 @@ def run_batch(
     sent again.
     """
     run_id, tables = new_run_id(), Tables(spark, out)
+    version = tables.state_version()
     columns = [F.col(c) for c in ("path", "file", "stem", "mtime")]
     if "length" in manifest.columns:
         columns.append(F.col("length"))
@@ -146,7 +153,7 @@ def run_batch(
     )
 
     def current() -> DataFrame:
-        return S.state_for(listed, S.latest_state(tables.events(), target_lang))
+        return S.state_for(listed, S.latest_state(tables.events(version), target_lang))
 
     def mark(docs: DataFrame, stage: str, status, error="") -> None:
         tables.append_events(S.mark_stage(docs, stage, status, run_id, error, target_lang), run_id)
@@ -155,13 +162,11 @@ def run_batch(
         return F.when(success, K.DONE).otherwise(K.FAILED)
 
     # Parse.
-    todo = current().filter(S.stage_needed(K.STAGE_PARSE))
+    todo = tables.write(current().filter(S.stage_needed(K.STAGE_PARSE)), "to_parse", run_id)
+    docs = todo
     if content:
-        keys = todo.select("doc_id")
         source = manifest.withColumn("doc_id", F.col("doc_id").cast("string"))
-        docs = source.join(keys, "doc_id", "left_semi")
-    else:
-        docs = todo
+        docs = source.join(todo.select("doc_id"), "doc_id", "left_semi")
     tasks = parallelism or _tasks(spark, todo, "length" if "length" in listed.columns else None)
     extracted = tables.write(
         X.extract_elements(
@@ -192,13 +197,11 @@ def run_batch(
         undone = laid_out & (S.stage_of(K.STAGE_TRANSLATE)["status"] != K.DONE)
         mark(current().filter(undone), K.STAGE_TRANSLATE, K.SKIPPED)
     else:
-        todo = current().filter(laid_out & S.stage_needed(K.STAGE_TRANSLATE))
-        docs = _with_extracted(todo, tables, "markdown").withColumn(
-            "gate", S.document_gate(F.col("markdown"))
-        )
-        mark(docs.filter(F.col("gate") == K.SKIPPED), K.STAGE_TRANSLATE, K.SKIPPED)
+        needed = laid_out & S.stage_needed(K.STAGE_TRANSLATE)
+        todo = tables.write(current().filter(needed), "to_translate", run_id)
+        docs = _with_extracted(todo, tables, "markdown")
         chunks = C.chunk_rows(
-            docs.filter(F.col("gate") == "run"),
+            docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED),
             ["doc_id", "mtime", "stem"],
             content="markdown", separator=separator, max_chars=max_chars,
         ).withColumn("chunk_key", F.sha2("chunk", 256))
@@ -222,6 +225,9 @@ def run_batch(
         n = F.col("n_failed_chunks")
         note = F.when(n > 0, F.concat(n.cast("string"), F.lit(" chunks failed"))).otherwise("")
         mark(whole, K.STAGE_TRANSLATE, outcome_of(n == 0), note)
+        # The gate let no chunk of these through.
+        gated = todo.join(whole.select("doc_id"), "doc_id", "left_anti")
+        mark(gated, K.STAGE_TRANSLATE, K.SKIPPED)
 
     # Report.
     mine = F.filter("stages", lambda s: s["run_id"] == run_id)
