@@ -150,7 +150,9 @@ def list_folders(recursive: bool):
 
 
 def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool):
-    """``mapInArrow`` function over (key, path, content): the user's extractor per document.
+    """``mapInArrow`` function over (key, path, content, ...): the user's extractor per document.
+
+    Columns after the content (the path, without one) are passed on.
 
     Files are opened here, one at a time, so only the documents asked for are ever read.
     """
@@ -166,6 +168,7 @@ def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool)
             keys = batch.column(0)
             paths = batch.column(1).to_pylist()
             contents = batch.column(2).to_pylist() if from_column else [None] * len(paths)
+            kept = range(3 if from_column else 2, batch.num_columns)
             for i, path in enumerate(paths):
 
                 def call():
@@ -184,8 +187,12 @@ def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool)
                         pa.array([markdown], pa.string()),
                         pa.array([error is None]),
                         pa.array([error or ""], pa.string()),
+                        *[batch.column(c).slice(i, 1) for c in kept],
+                    ],
+                    [
+                        *(batch.schema.names[0], "layout_json", "markdown", "success", "error"),
+                        *[batch.schema.names[c] for c in kept],
                     ],
-                    [batch.schema.names[0], "layout_json", "markdown", "success", "error"],
                 )
 
     return run

@@ -17,6 +17,7 @@ def extract_elements(
     key: str = "doc_id",
     path: str = "path",
     content: str | None = None,
+    keep: tuple[str, ...] = (),
     parallelism: int | None = None,
     max_attempts: int = K.MAX_ATTEMPTS,
     wait_seconds: float = 1.0,
@@ -25,18 +26,19 @@ def extract_elements(
 
     ``fn(path, content)`` returns the element list (or its JSON text) and the Markdown text or
     None. Without a ``content`` column the task opens each file itself. One row per document
-    comes back, with ``success`` and ``error``; :func:`foliospark.operators.elements.parse_layout`
+    comes back, with ``success``, ``error`` and the columns to ``keep``; :func:`foliospark.operators.elements.parse_layout`
     takes it from there. The function may run again on a task retry: write the result once and
     read it back before using it twice.
     """
     columns = [key, F.col(path).alias("path")]
     if content:
         columns.append(F.col(content).alias("content"))
-    rows = files.select(*columns)
+    rows = files.select(*columns, *keep)
     if parallelism:
         rows = rows.repartition(parallelism)
-    kind = rows.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, layout_json string, markdown string, success boolean, error string"
+    types = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
+    schema = f"{types[key]}, layout_json string, markdown string, success boolean, error string"
+    schema = ", ".join([schema, *[types[c] for c in keep]])
     task = calls.extract_documents(fn, max_attempts, wait_seconds, bool(content))
     return rows.mapInArrow(task, schema)
 

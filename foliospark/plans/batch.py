@@ -28,6 +28,7 @@ from foliospark.operators import translate as TR
 from foliospark.sources import files, sinks
 
 _TASK_BYTES = 128 * 1024 * 1024
+_BROADCAST_BYTES = 32 * 1024 * 1024
 MISSING_OUTPUT = "output of the finished parse stage is missing"
 
 
@@ -121,6 +122,12 @@ def _tasks(spark: SparkSession, docs: DataFrame, size: str | None) -> int:
     return max(cores * 4, -(-int(total) // _TASK_BYTES))
 
 
+def _broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast when its measured size allows it, else as it is."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= _BROADCAST_BYTES else df
+
+
 def run_batch(
     spark: SparkSession,
     manifest: DataFrame,
@@ -161,30 +168,45 @@ def run_batch(
     def outcome_of(success):
         return F.when(success, K.DONE).otherwise(K.FAILED)
 
-    # Parse.
-    todo = tables.write(current().filter(S.stage_needed(K.STAGE_PARSE)), "to_parse", run_id)
-    docs = todo
+    # Parse. What this run parses is known to need the later stages before it is parsed, so
+    # their flags travel with it and no text is ever joined to the state.
+    def parse_inputs(docs: DataFrame, *extra: str) -> DataFrame:
+        recorded = S.latest_state(tables.events(version), target_lang)
+        state = S.state_for(docs, _broadcast_if_small(recorded) if content else recorded)
+        return state.filter(S.stage_needed(K.STAGE_PARSE)).select(
+            "doc_id", "path", "mtime", "stem", *extra,
+            S.stage_needed(K.STAGE_LAYOUT).alias("layout_needed"),
+            S.stage_needed(K.STAGE_TRANSLATE).alias("translate_needed"),
+        )
+
     if content:
-        source = manifest.withColumn("doc_id", F.col("doc_id").cast("string"))
-        docs = source.join(todo.select("doc_id"), "doc_id", "left_semi")
-    tasks = parallelism or _tasks(spark, todo, "length" if "length" in listed.columns else None)
+        docs = parse_inputs(manifest.withColumn("doc_id", F.col("doc_id").cast("string")), content)
+        tasks = parallelism
+    else:
+        length = [c for c in ("length",) if c in listed.columns]
+        docs = tables.write(parse_inputs(listed, *length), "to_parse", run_id)
+        tasks = parallelism or _tasks(spark, docs, *(length or [None]))
     extracted = tables.write(
         X.extract_elements(
-            docs, extractor, content=content, parallelism=tasks,
-            max_attempts=max_attempts, wait_seconds=wait_seconds,
+            docs, extractor, content=content, keep=("mtime", "stem", "layout_needed", "translate_needed"),
+            parallelism=tasks, max_attempts=max_attempts, wait_seconds=wait_seconds,
         ),
         "extracted",
         run_id,
     )
-    status = extracted.select("doc_id", "success", "error").join(listed.select("doc_id", "mtime"), "doc_id")
-    mark(status, K.STAGE_PARSE, outcome_of(F.col("success")), F.col("error"))
+    mark(extracted, K.STAGE_PARSE, outcome_of(F.col("success")), F.col("error"))
+    parsed_now = extracted.filter("success")
 
     # Layout.
     parsed = ~S.stage_needed(K.STAGE_PARSE)
-    todo = current().filter(parsed & S.stage_needed(K.STAGE_LAYOUT))
-    docs = _with_extracted(todo, tables, "layout_json")
+    parsed_by = S.stage_of(K.STAGE_PARSE)["run_id"].alias("run_id")
+    older = current().filter(parsed & (parsed_by != run_id) & S.stage_needed(K.STAGE_LAYOUT))
+    older = tables.write(older.select("doc_id", "mtime", "stem", parsed_by), "to_layout", run_id)
+    docs = parsed_now.filter("layout_needed").select("doc_id", "mtime", "layout_json", F.lit(True).alias("found"))
+    if not older.isEmpty():
+        docs = docs.unionByName(_outputs(tables, older, "layout_json").drop("stem"))
     checked = E.parse_layout(docs).withColumn(
-        "error", F.when(F.col("found").isNull(), MISSING_OUTPUT).otherwise(F.col("error"))
+        "error", F.when(~F.col("found"), MISSING_OUTPUT).otherwise(F.col("error"))
     )
     keys = ["doc_id", "mtime", "success", "error"]
     rows = tables.write(E.normalise(E.raw_elements(checked, keys, outer=True), keys), "elements", run_id)
@@ -197,9 +219,18 @@ def run_batch(
         undone = laid_out & (S.stage_of(K.STAGE_TRANSLATE)["status"] != K.DONE)
         mark(current().filter(undone), K.STAGE_TRANSLATE, K.SKIPPED)
     else:
-        needed = laid_out & S.stage_needed(K.STAGE_TRANSLATE)
-        todo = tables.write(current().filter(needed), "to_translate", run_id)
-        docs = _with_extracted(todo, tables, "markdown")
+        entry = S.stage_of(K.STAGE_TRANSLATE)
+        todo = current().filter(laid_out & S.stage_needed(K.STAGE_TRANSLATE)).select(
+            "doc_id", "mtime", "stem", parsed_by,
+            F.when(entry["status"] == K.FAILED, entry["run_id"]).alias("failed_run_id"),
+        )
+        todo = tables.write(todo, "to_translate", run_id)
+        failed = _broadcast_if_small(summary.filter(~F.col("success")).select("doc_id"))
+        docs = parsed_now.filter("translate_needed").join(failed, "doc_id", "left_anti")
+        docs = docs.select("doc_id", "mtime", "stem", "markdown")
+        older = todo.filter(F.col("run_id") != run_id).drop("failed_run_id")
+        if not older.isEmpty():
+            docs = docs.unionByName(_outputs(tables, older, "markdown").drop("found"))
         chunks = C.chunk_rows(
             docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED),
             ["doc_id", "mtime", "stem"],
@@ -248,15 +279,20 @@ def run_batch(
     return BatchRun(run_id, tables, details, totals)
 
 
-def _with_extracted(todo: DataFrame, tables: Tables, column: str) -> DataFrame:
-    """``todo`` with one column of the extraction its parse stage was done by.
+def _outputs(tables: Tables, docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with one column of the extraction of the earlier run that parsed them.
 
-    ``found`` is NULL when that output is gone. The run id is the partition column, so only
-    partitions of runs that are still current get read.
+    The run id is the partition column, so only runs that are still current get read, and few
+    documents are broadcast instead of shuffling the texts to them. ``found`` is false where
+    that output is gone.
     """
-    keyed = todo.withColumn("run_id", S.stage_of(K.STAGE_PARSE)["run_id"])
-    output = tables.extracted().select("doc_id", "run_id", column, F.lit(True).alias("found"))
-    return keyed.join(output, ["doc_id", "run_id"], "left")
+    output = tables.extracted().select("doc_id", "run_id", column)
+    on = ["doc_id", "run_id"]
+    found = output.join(_broadcast_if_small(docs), on).withColumn("found", F.lit(True))
+    lost = docs.join(output.select(*on), on, "left_anti").select(
+        "*", F.lit(None).cast("string").alias(column), F.lit(False).alias("found")
+    )
+    return found.unionByName(lost).drop("run_id")
 
 
 def _translated(
@@ -278,14 +314,14 @@ def _translated(
             max_attempts=max_attempts, backoff=backoff,
         )
 
-    entry = S.stage_of(K.STAGE_TRANSLATE)
-    retried = todo.filter(entry["status"] == K.FAILED).select("doc_id", entry["run_id"].alias("run_id"))
+    retried = todo.filter(F.col("failed_run_id").isNotNull())
+    retried = retried.select("doc_id", F.col("failed_run_id").alias("run_id"))
     if retried.isEmpty():
         return call(chunks)
     known = (
         tables.translated_chunks()
         .filter((F.col("target_lang") == target_lang) & F.col("success"))
-        .join(retried, ["doc_id", "run_id"], "left_semi")
+        .join(_broadcast_if_small(retried), ["doc_id", "run_id"], "left_semi")
         .select("doc_id", "chunk_idx", "chunk_key", "translated")
     )
     on = ["doc_id", "chunk_idx", "chunk_key"]

@@ -24,4 +24,8 @@ TRANSLATED_CHUNKS = (
     "success BOOLEAN, error STRING, target_lang STRING, run_id STRING"
 )
 
-EXTRACTED = "doc_id STRING, layout_json STRING, markdown STRING, success BOOLEAN, error STRING"
+# Extractor output, with what the later stages need to know so that they can go on without a join.
+EXTRACTED = (
+    "doc_id STRING, layout_json STRING, markdown STRING, success BOOLEAN, error STRING, "
+    "mtime TIMESTAMP, stem STRING, layout_needed BOOLEAN, translate_needed BOOLEAN"
+)
