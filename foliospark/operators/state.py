@@ -15,13 +15,6 @@ from pyspark.sql import functions as F
 
 from foliospark import constants as K
 
-STAGE_TYPE = (
-    "struct<stage:string,status:string,ts:timestamp,error:string,"
-    "source_mtime:timestamp,run_id:string>"
-)
-_EPOCH = "1970-01-01 00:00:00"
-
-
 def check_stage(stage: str) -> str:
     if stage not in K.STAGES:
         raise ValueError(f"unknown stage {stage!r}, expected one of {K.STAGES}")
@@ -61,46 +54,42 @@ def mark_stage(
 
 
 def latest_state(events: DataFrame, target_lang: str | None = None) -> DataFrame:
-    """One row per document: ``recorded``, its stages that have events, in stage order.
+    """One row per document: a struct per stage, NULL for stages without events.
 
     ``max_by`` aggregates map-side, so a document with any share of the events leaves one row
-    per task. An unknown status reads as pending, with a note in ``error``.
+    per task. Events of other target languages are filtered at the scan. An unknown status reads
+    as pending, with a note in ``error``.
     """
-    order = F.struct("ts", "run_id")
-
-    def of(stage: str) -> Column:
-        mine = F.col("stage") == stage
-        if stage == K.STAGE_TRANSLATE:
-            mine = mine & F.col("target_lang").eqNullSafe(F.lit(target_lang))
-        latest = F.max_by(
-            F.when(mine, F.struct("status", "ts", "error", "run_id")), F.when(mine, order)
+    mine = (F.col("stage") != K.STAGE_TRANSLATE) | F.col("target_lang").eqNullSafe(F.lit(target_lang))
+    latest = [
+        F.expr(
+            "max_by(struct(status, ts, error, run_id), struct(ts, run_id)) "
+            f"FILTER (WHERE stage = '{stage}') AS {stage}"
         )
-        done = mine & F.col("source_mtime").isNotNull()
-        mtime = F.max_by(F.when(done, F.col("source_mtime")), F.when(done, order))
-        return F.struct(latest.alias("latest"), mtime.alias("source_mtime")).alias(stage)
-
-    wide = events.groupBy("doc_id").agg(*[of(s) for s in K.STAGES])
-
-    def stage_struct(stage: str) -> Column:
-        latest = F.col(f"{stage}.latest")
-        known = latest["status"].isin(*K.STATUSES)
-        note = F.concat(F.lit("unknown status: "), latest["status"])
-        return F.when(
-            latest.isNotNull(),
-            F.struct(
-                F.lit(stage).alias("stage"),
-                F.when(known, latest["status"]).otherwise(K.PENDING).alias("status"),
-                latest["ts"].alias("ts"),
-                F.when(known | latest["status"].isNull(), F.coalesce(latest["error"], F.lit("")))
-                .otherwise(note)
-                .alias("error"),
-                F.col(f"{stage}.source_mtime").alias("source_mtime"),
-                latest["run_id"].alias("run_id"),
-            ).cast(STAGE_TYPE),
+        for stage in K.STAGES
+    ]
+    finished = [
+        F.expr(
+            "max_by(source_mtime, struct(ts, run_id)) "
+            f"FILTER (WHERE stage = '{stage}' AND source_mtime IS NOT NULL) AS {stage}_mtime"
         )
-
-    stages = F.array(*[stage_struct(s) for s in K.STAGES])
-    return wide.select("doc_id", F.array_compact(stages).alias("recorded"))
+        for stage in K.STAGES
+    ]
+    wide = events.filter(mine).groupBy("doc_id").agg(*latest, *finished)
+    known = "status IN ({})".format(", ".join(f"'{s}'" for s in K.STATUSES))
+    return wide.select(
+        "doc_id",
+        *[
+            F.expr(
+                f"CASE WHEN {stage} IS NOT NULL THEN struct("
+                f"IF({stage}.{known}, {stage}.status, '{K.PENDING}') AS status, {stage}.ts AS ts, "
+                f"IF({stage}.{known} OR {stage}.status IS NULL, {stage}.error, "
+                f"concat('unknown status: ', {stage}.status)) AS error, "
+                f"{stage}_mtime AS source_mtime, {stage}.run_id AS run_id) END AS {stage}"
+            )
+            for stage in K.STAGES
+        ],
+    )
 
 
 def compact_events(events: DataFrame) -> DataFrame:
@@ -127,20 +116,15 @@ def state_for(manifest: DataFrame, recorded: DataFrame) -> DataFrame:
 
     One join on the document key. The stages are filled in as an array, not by a cross join.
     """
-
-    def stage_struct(stage: str) -> Column:
-        found = F.get(F.filter("recorded", lambda s: s["stage"] == stage), F.lit(0))
-        return F.struct(
-            F.lit(stage).alias("stage"),
-            F.coalesce(found["status"], F.lit(K.PENDING)).alias("status"),
-            found["ts"].alias("ts"),
-            F.coalesce(found["error"], F.lit("")).alias("error"),
-            F.coalesce(found["source_mtime"], F.lit(_EPOCH).cast("timestamp")).alias("source_mtime"),
-            found["run_id"].alias("run_id"),
-        )
-
+    stages = ", ".join(
+        f"struct('{stage}' AS stage, coalesce({stage}.status, '{K.PENDING}') AS status, "
+        f"{stage}.ts AS ts, coalesce({stage}.error, '') AS error, "
+        f"coalesce({stage}.source_mtime, timestamp_seconds(0)) AS source_mtime, "
+        f"{stage}.run_id AS run_id)"
+        for stage in K.STAGES
+    )
     joined = manifest.join(recorded, "doc_id", "left")
-    return joined.withColumn("stages", F.array(*[stage_struct(s) for s in K.STAGES])).drop("recorded")
+    return joined.select(*manifest.columns, F.expr(f"array({stages})").alias("stages"))
 
 
 def stage_of(stage: str) -> Column:
@@ -184,10 +168,9 @@ def without_fresh_done(manifest: DataFrame, recorded: DataFrame, stage: str) ->
     """Documents that still need ``stage``, as an anti join: the same rows as the filter
     :func:`stage_needed` on :func:`state_for`, for callers that want nothing but the manifest."""
     check_stage(stage)
-    done = recorded.select("doc_id", F.explode("recorded").alias("s")).filter(
-        (F.col("s.stage") == stage) & (F.col("s.status") == K.DONE)
-    )
-    fresh = done.select("doc_id", F.coalesce("s.source_mtime", F.lit(_EPOCH).cast("timestamp")).alias("_seen"))
+    done = recorded.filter(F.col(f"{stage}.status") == K.DONE)
+    seen = F.coalesce(f"{stage}.source_mtime", F.timestamp_seconds(F.lit(0)))
+    fresh = done.select("doc_id", seen.alias("_seen"))
     m, f = manifest.alias("m"), fresh.alias("f")
     same = (F.col("m.doc_id") == F.col("f.doc_id")) & (F.col("m.mtime") <= F.col("f._seen"))
     return m.join(f, same, "left_anti")
