@@ -35,21 +35,19 @@ OUTPUT = "/data/output"
 TARGETS = {"en": "英文", "fr": "法语", "de": "德文", "es": "Español"}
 
 
-ROW_KEYS = {
-    "pages": ["page_id"],
-    "documents": ["doc_id"],
-    "conversations": ["conv_id", "turn"],
-    "events": ["event_id"],
-}
+# Tables whose rows carry enough work each to be worth spreading.
+HEAVY_ROWS = {"pages": "page_id", "documents": "doc_id", "events": "event_id"}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{folder}/{name}.parquet"), *ROW_KEYS[name])
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(scan, HEAVY_ROWS[name]) if name in HEAVY_ROWS else scan
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder, which is set here only where it is unset."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    """A fresh path in the cluster's shared folder; a local session without one gets its own."""
+    local = spark.sparkContext.master.startswith("local")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="foliospark-"))
     return shared_path(spark, name)
 

@@ -6,6 +6,8 @@ here, so that listings and contents join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,6 +153,17 @@ def read_markdown(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return read_texts(spark, paths, f"*{K.MARKDOWN_SUFFIX}")
 
 
+def read_artifacts(spark: SparkSession, manifest: DataFrame, output: str) -> DataFrame:
+    """``manifest`` with the ``layout_json`` and ``markdown`` texts found for each document.
+
+    For output folders a parser has already written; what is missing is NULL.
+    """
+    found = resolve_artifacts(manifest, list_files(spark, output), output)
+    layout = read_layout(spark, output).withColumnRenamed("path", "layout_path")
+    markdown = read_markdown(spark, output).toDF("markdown_path", "markdown")
+    return found.join(layout, "layout_path", "left").join(markdown, "markdown_path", "left")
+
+
 def read_saved_state(
     spark: SparkSession,
     manifest: DataFrame,

@@ -132,6 +132,21 @@ def test_layout_and_markdown_files(spark, tmp_path):
     assert {os.path.basename(r.path): r.content for r in joined} == {"d.md": "# T\n\nbody\n", "empty.md": None}
 
 
+def test_artifact_texts(spark, tmp_path):
+    for name in ("in/a.pdf", "in/b.pdf", "in/c.pdf"):
+        touch(tmp_path / name)
+    touch(tmp_path / "out/a/auto/a_content_list.json", '[{"type": "title"}]')
+    touch(tmp_path / "out/a/auto/a.md", "# A")
+    touch(tmp_path / "out/b/x_content_list.json", "[]")
+    touch(tmp_path / "out/b/b.md", "")
+    manifest = files.list_sources(spark, str(tmp_path / "in"))
+    found = files.read_artifacts(spark, manifest, f"file://{tmp_path}/out")
+    assert {r.stem: (r.layout_json, r.markdown) for r in found.collect()} == {
+        "a": ('[{"type": "title"}]', "# A"), "b": ("[]", None), "c": (None, None)
+    }
+    assert {r.stem: r.success for r in E.parse_layout(found).collect()} == {"a": True, "b": True, "c": False}
+
+
 def test_saved_state(spark, tmp_path):
     pdf = touch(tmp_path / "in/a b.pdf")
     touch(tmp_path / "in/c.pdf")
