@@ -73,7 +73,7 @@ def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> D
     Both picks are one ``min`` over a struct that compares folder rank, folder and file rank in
     turn: one aggregation with map-side partials, no window over the files of a document.
     """
-    root = output.rstrip("/") + "/"
+    root = re.sub(r"^file:/*", "/", output).rstrip("/") + "/"
     suffixes = sorted({*K.LANGUAGE_SUFFIX.values(), K.OTHER_LANGUAGE_SUFFIX})
     parts = F.split(F.substr("path", F.lit(len(root) + 1)), "/")
     files = listing.filter(F.col("path").startswith(root)).select(
