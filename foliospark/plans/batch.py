@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from foliospark import constants as K
 from foliospark import schemas
-from foliospark.functions import text as T
 from foliospark.operators import chunks as C
 from foliospark.operators import elements as E
 from foliospark.operators import extract as X

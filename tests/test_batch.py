@@ -2,7 +2,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from foliospark.plans.batch import run_files
 from foliospark.streaming.markdown import translate_new_files
