@@ -31,10 +31,13 @@ def build_session(master: str | None = None, app_name: str = "foliospark", **ext
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where that setting is missing, below the session's warehouse, which is shared as well.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
