@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from dataclasses import dataclass
 
 
 def attempt(call, attempts: int, wait):
@@ -19,50 +20,79 @@ def attempt(call, attempts: int, wait):
     return None, error
 
 
-def answer_texts(fn, prompt: str, texts: list, attempts: int, backoff: float) -> list:
-    """``(response, error)`` per text; blank texts are not sent and get ``(None, None)``.
+@dataclass(frozen=True)
+class Calling:
+    """How the user's function is called: attempts for each text, growth of the wait between them,
+    texts in one call, and after how many failed texts in a row a task stops calling."""
 
-    All texts go to ``fn`` in one call. When that call fails, or answers a text with an
-    exception or not at all, the texts concerned are sent again one by one, so that a bad text
-    cannot fail its neighbours.
-    """
-    results = [(None, None)] * len(texts)
-    sent = [i for i, t in enumerate(texts) if t and t.strip()]
-    if not sent:
+    attempts: int
+    backoff: float
+    texts_per_call: int = 1
+    give_up_after: int = 20
+
+
+class Caller:
+    """Calls the user's function for one task; errors are values."""
+
+    def __init__(self, fn, prompt: str, calling: Calling):
+        self.fn, self.prompt, self.calling, self.refused = fn, prompt, calling, 0
+
+    def answers(self, texts: list) -> list:
+        """``(response, error)`` per text; blank texts are not sent and get ``(None, None)``."""
+        results = [(None, None)] * len(texts)
+        sent = [i for i, t in enumerate(texts) if t and t.strip()]
+        size = max(1, self.calling.texts_per_call)
+        for start in range(0, len(sent), size):
+            part = sent[start : start + size]
+            for i, pair in zip(part, self._part([texts[i] for i in part])):
+                results[i] = pair
         return results
 
-    def ask(batch):
-        answers = list(fn(batch, prompt))
-        if len(answers) != len(batch):
-            raise ValueError(f"{len(answers)} answers to {len(batch)} texts")
+    def _ask(self, texts: list) -> list:
+        answers = list(self.fn(texts, self.prompt))
+        if len(answers) != len(texts):
+            raise ValueError(f"{len(answers)} answers to {len(texts)} texts")
         return answers
 
-    def ask_one(text):
-        answer = ask([text])[0]
-        if isinstance(answer, Exception):
-            raise answer
-        if not isinstance(answer, str):
-            raise ValueError("no answer")
-        return answer
-
-    answers, _ = attempt(lambda: ask([texts[i] for i in sent]), 1, None)
-    for position, i in enumerate(sent):
-        answer = answers[position] if answers is not None else None
-        if isinstance(answer, str):
-            results[i] = (answer, None)
-        else:
-            results[i] = attempt(lambda: ask_one(texts[i]), attempts, lambda n: backoff**n)
-    return results
-
-
-def answer_column(fn, prompt: str, column: str, attempts: int, backoff: float):
+    def _part(self, texts: list) -> list:
+        """One call for several texts. A call that fails is halved, so a bad text is found in a
+        few calls and cannot fail its neighbours; a text alone gets all its attempts."""
+        if len(texts) == 1:
+            return [self._single(texts[0])]
+        answers, _ = attempt(lambda: self._ask(texts), 1, None)
+        if answers is None:
+            half = len(texts) // 2
+            return self._part(texts[:half]) + self._part(texts[half:])
+        self.refused = 0
+        return [
+            (a, None) if isinstance(a, str) else self._single(t) for a, t in zip(answers, texts)
+        ]
+
+    def _single(self, text: str) -> tuple:
+        if self.refused >= self.calling.give_up_after:
+            return None, f"not sent after {self.refused} failures in a row"
+
+        def call():
+            answer = self._ask([text])[0]
+            if isinstance(answer, Exception):
+                raise answer
+            if not isinstance(answer, str):
+                raise ValueError("no answer")
+            return answer
+
+        pair = attempt(call, self.calling.attempts, lambda n: self.calling.backoff**n)
+        self.refused = 0 if pair[1] is None else self.refused + 1
+        return pair
+
+
+def answer_column(fn, prompt: str, column: str, calling: Calling):
     """``mapInArrow`` function that adds ``response`` and ``error`` for a text column."""
     import pyarrow as pa
 
     def run(batches):
+        caller = Caller(fn, prompt, calling)
         for batch in batches:
-            texts = batch.column(column).to_pylist()
-            pairs = answer_texts(fn, prompt, texts, attempts, backoff)
+            pairs = caller.answers(batch.column(column).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -75,17 +105,18 @@ def answer_column(fn, prompt: str, column: str, attempts: int, backoff: float):
     return run
 
 
-def answer_lists(fn, prompt: str, column: str, attempts: int, backoff: float):
+def answer_lists(fn, prompt: str, column: str, calling: Calling):
     """``mapInArrow`` function that adds ``answers`` for a column of text arrays."""
     import pyarrow as pa
 
     kind = pa.list_(pa.struct([("response", pa.string()), ("error", pa.string())]))
 
     def run(batches):
+        caller = Caller(fn, prompt, calling)
         for batch in batches:
             lists = batch.column(column).to_pylist()
             flat = [t for texts in lists for t in texts or ()]
-            pairs = iter(answer_texts(fn, prompt, flat, attempts, backoff))
+            pairs = iter(caller.answers(flat))
             answers = [
                 None
                 if texts is None

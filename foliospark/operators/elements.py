@@ -17,27 +17,38 @@ from foliospark.functions.text import without_bom
 _STRING_FIELDS = ("type", "text", "table_body", *K.METADATA_KEYS)
 
 
+# Fields of one element as the JSON parser reads them: strings come as they are, anything else
+# as its JSON text; the two checked fields keep their JSON type.
+_ITEM = ", ".join(
+    [*(f"`{c}` string" for c in _STRING_FIELDS), "page_idx variant", "bbox variant"]
+)
+# The parser's own limit on one string is lifted: layout texts are as long as documents.
+_NO_LIMIT = {"maxStringLen": str(2**31 - 1)}
+
+
 def parse_layout(docs: DataFrame, json: str = "layout_json") -> DataFrame:
     """Check one JSON text per document and open it as an array of elements.
 
-    Adds ``items`` (array of variant), ``success`` and ``error``. Text that is not JSON, has
+    Adds ``items`` (array of structs), ``success`` and ``error``. Text that is not JSON, has
     anything after the array, is not an array at the top, or holds a non-object fails; an error
-    is data in its row and never ends the job. Repeated keys need
-    ``spark.sql.variant.allowDuplicateKeys``, else their document fails.
+    is data in its row and never ends the job. Of repeated keys the last one counts. Texts and
+    strings of any length are opened.
     """
     text = without_bom(F.col(json))
     # The parser ignores whatever follows the first value. With the text as the first entry of an
     # array and its own hash as the second, the hash is only found when nothing but the value
     # was there.
-    mark = F.xxhash64(text)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    alone = F.try_variant_get("_json", "$[1]", "bigint") == mark
-    items = F.when(alone, F.try_variant_get("_json", "$[0]", "array<variant>"))
-    all_objects = F.forall("items", lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    mark = F.xxhash64(text).cast("string")
+    wrapped = F.from_json(
+        F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "array<string>", _NO_LIMIT
+    )
+    alone = F.get(wrapped, F.lit(1)) == mark
+    # A lone object would be read as an array of one.
+    at_top = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
+    items = F.from_json(text, f"array<struct<{_ITEM}>>", _NO_LIMIT)
+    all_objects = F.forall("items", lambda x: x.isNotNull())
     return (
-        docs.withColumn("_json", wrapped)
-        .withColumn("items", items)
-        .drop("_json")
+        docs.withColumn("items", F.when(alone & at_top, items))
         .withColumn("success", F.coalesce(all_objects, F.lit(False)))
         .withColumn(
             "error",
@@ -51,34 +62,34 @@ def parse_layout(docs: DataFrame, json: str = "layout_json") -> DataFrame:
 def raw_elements(parsed: DataFrame, keys: list[str], outer: bool = False) -> DataFrame:
     """One row per element of :func:`parse_layout`'s output, in reading order.
 
-    A field of the wrong type becomes NULL, hence its default, and is counted in
-    ``n_bad_fields``. ``outer`` keeps documents without elements and failed documents as one row
-    with a NULL ``elem_idx``.
+    A page that is not a whole number of 32 bits, or a box that is not a list of numbers, becomes
+    NULL, hence its default, and is counted in ``n_bad_fields``. ``outer`` keeps documents
+    without elements and failed documents as one row with a NULL ``elem_idx``.
     """
     explode = F.posexplode_outer if outer else F.posexplode
     rows = parsed.select(
         *keys, explode(F.when(F.col("success"), F.col("items"))).alias("elem_idx", "item")
     )
-
-    def field(name: str, kind: str) -> Column:
-        return F.try_variant_get("item", f"$.{name}", kind)
-
-    def kind_of(name: str) -> Column:
-        return F.schema_of_variant(field(name, "variant"))
-
-    rows = rows.withColumn("_page", kind_of("page_idx")).withColumn("_bbox", kind_of("bbox"))
-    page_ok = F.col("_page") == "BIGINT"
+    rows = rows.withColumn("_page", F.schema_of_variant("item.page_idx"))
+    rows = rows.withColumn("_bbox", F.schema_of_variant("item.bbox"))
+    page = F.try_variant_get("item.page_idx", "$", "double")
+    page_ok = (
+        F.col("_page").rlike("^(BIGINT|DOUBLE|DECIMAL.*)$")
+        & (page == F.floor(page))
+        & page.between(-(2**31), 2**31 - 1)
+    )
     bbox_ok = F.col("_bbox").rlike(r"^ARRAY<(BIGINT|DOUBLE|DECIMAL.*|VOID)>$")
 
     def bad(kind: Column, ok: Column) -> Column:
-        return F.when(kind.isNotNull() & (kind != "VOID") & ~ok, 1).otherwise(0)
+        wrong = kind.isNotNull() & (kind != "VOID") & ~F.coalesce(ok, F.lit(False))
+        return F.when(wrong, 1).otherwise(0)
 
     return rows.select(
         *keys,
         "elem_idx",
-        *[field(c, "string").alias(c) for c in _STRING_FIELDS],
-        F.when(page_ok, field("page_idx", "int")).alias("page_idx"),
-        F.when(bbox_ok, field("bbox", "array<double>")).alias("bbox"),
+        *[F.col("item")[c].alias(c) for c in _STRING_FIELDS],
+        F.when(page_ok, page.cast("int")).alias("page_idx"),
+        F.when(bbox_ok, F.try_variant_get("item.bbox", "$", "array<double>")).alias("bbox"),
         (bad(F.col("_page"), page_ok) + bad(F.col("_bbox"), bbox_ok)).alias("n_bad_fields"),
     )
 

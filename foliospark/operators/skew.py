@@ -5,35 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys get salted. Only the spread of the work depends on it, never the
-# result, and any key left out holds at most 1 / MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 1024
+# Parts that the rows of one key are dealt to.
+SALTS = 256
 
 
 def join_one_per_key(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    copies: str,
-    row_key: list[str],
-    rows_per_salt: int = 1_000_000,
+    many: DataFrame, one: DataFrame, key: str, row_key: list[str], salts: int = SALTS
 ) -> DataFrame:
     """Left join of ``many`` to ``one``, which has one row per ``key``.
 
-    ``copies`` is the number of ``many`` rows of each key. Keys above ``rows_per_salt`` are cut
-    into salts by a hash of ``row_key``, and only their ``one`` rows are repeated per salt. The
-    broadcast list of those keys holds MAX_HOT_KEYS short rows at the most.
+    Every key's rows are dealt to ``salts`` parts by a hash of ``row_key``, and ``one`` is repeated
+    for just those parts that occur: as often as a key has rows at the most. No key is singled
+    out, so nothing is counted, listed or broadcast.
     """
-    hot = F.broadcast(
-        one.filter(F.col(copies) > rows_per_salt)
-        .orderBy(F.col(copies).desc(), key)
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col(copies) / rows_per_salt).cast("int").alias("_salts"))
-    )
-    left = many.join(hot, key, "left").withColumn(
-        "_salt", F.coalesce(F.pmod(F.xxhash64(*row_key), "_salts"), F.lit(0)).cast("int")
-    )
-    right = one.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-    )
-    return left.drop("_salts").join(right.drop("_salts"), [key, "_salt"], "left").drop("_salt")
+    salted = many.withColumn("_salt", F.pmod(F.xxhash64(*row_key), F.lit(salts)).cast("int"))
+    parts = salted.select(key, "_salt").distinct().join(one, key)
+    return salted.join(parts, [key, "_salt"], "left").drop("_salt")

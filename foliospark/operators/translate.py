@@ -3,6 +3,10 @@
 The function is ``fn(texts, system_prompt) -> list of str``. It may run again when a task is
 retried or a result is used twice, so write results once and read them back wherever the calls
 cost money; :func:`translate_distinct` and the batch run in ``plans`` do.
+
+``texts_per_call`` bounds what one call is given. ``give_up_after`` failed texts in a row, each
+tried ``max_attempts`` times, are taken for a service that is down: the rest of that task's rows
+fail at once, to be sent again by a later run.
 """
 
 from __future__ import annotations
@@ -27,12 +31,15 @@ def _answered(
     parallelism: int | None,
     max_attempts: int,
     backoff: float,
+    texts_per_call: int,
+    give_up_after: int,
 ) -> DataFrame:
     """``rows`` plus ``response`` (NULL: blank or failed) and ``error`` (NULL: no failure)."""
     if parallelism:
         rows = rows.repartition(parallelism)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    task = calls.answer_column(fn, prompt, text, max_attempts, backoff)
+    calling = calls.Calling(max_attempts, backoff, texts_per_call, give_up_after)
+    task = calls.answer_column(fn, prompt, text, calling)
     return rows.mapInArrow(task, f"{columns}, response string, error string")
 
 
@@ -46,12 +53,14 @@ def translate_table(
     parallelism: int | None = None,
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
+    texts_per_call: int = K.TEXTS_PER_CALL,
+    give_up_after: int = K.GIVE_UP_AFTER,
 ) -> DataFrame:
     """One result per row; ``parallelism`` is the number of concurrent callers."""
     prompt = system_prompt or K.MARKDOWN_PROMPT.replace("{target_lang}", target_lang)
     answered = _answered(
         rows.select(*keys, F.col(text).alias("original")),
-        fn, prompt, "original", parallelism, max_attempts, backoff,
+        fn, prompt, "original", parallelism, max_attempts, backoff, texts_per_call, give_up_after,
     )
     blank = T.is_blank(F.col("original"))
     success = blank | F.col("response").isNotNull()
@@ -78,28 +87,26 @@ def translate_distinct(
     target_lang: str = K.DEFAULT_TARGET_LANG,
     keys: tuple[str, ...] = ("doc_id", "chunk_idx"),
     text: str = "chunk",
-    rows_per_salt: int = 1_000_000,
     **options,
 ) -> DataFrame:
     """:func:`translate_table` that calls the function once per distinct text.
 
-    Copies collapse map-side before the shuffle. The distinct results are written to
-    ``commit_to`` and read back, then joined to the copies with hot texts salted. The join
-    carries no original texts on the side of the copies.
+    ``rows`` are keyed once and written below ``commit_to``, as are the distinct results. Copies
+    collapse map-side in a hash aggregation before the shuffle. The results are joined to the
+    copies with every text salted; the join carries no original texts on the side of the copies.
     """
     text_key = F.coalesce(F.sha2(text, 256), F.lit("null"))
     keyed = rows.select(*keys, F.col(text).alias("original"), text_key.alias("text_key"))
-    distinct = keyed.groupBy("text_key").agg(
-        F.first("original").alias("original"), F.count("*").alias("n_copies")
-    )
+    read = rows.sparkSession.read
+    keyed.write.mode("overwrite").parquet(f"{commit_to}/keyed")
+    keyed = read.schema(keyed.schema).parquet(f"{commit_to}/keyed")
+    distinct = keyed.select("text_key", "original").distinct()
     results = translate_table(
-        distinct, fn, target_lang, keys=("text_key", "n_copies"), text="original", **options
-    )
-    results.write.mode("overwrite").parquet(commit_to)
-    committed = rows.sparkSession.read.schema(results.schema).parquet(commit_to)
-    joined = join_one_per_key(
-        keyed.select(*keys, "text_key"), committed, "text_key", "n_copies", list(keys), rows_per_salt
+        distinct, fn, target_lang, keys=("text_key",), text="original", **options
     )
+    results.write.mode("overwrite").parquet(f"{commit_to}/results")
+    committed = read.schema(results.schema).parquet(f"{commit_to}/results")
+    joined = join_one_per_key(keyed.select(*keys, "text_key"), committed, "text_key", list(keys))
     return joined.select(*keys, "target_lang", "original", "translated", "success", "error")
 
 
@@ -126,6 +133,8 @@ def translate_markdown(
     parallelism: int | None = None,
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
+    texts_per_call: int = K.TEXTS_PER_CALL,
+    give_up_after: int = K.GIVE_UP_AFTER,
 ) -> DataFrame:
     """Whole documents: split, pack, translate, fall back to the original, join.
 
@@ -143,8 +152,9 @@ def translate_markdown(
         F.when(~T.is_blank(F.col("source")), F.col("chunks")).alias("chunks"),
     )
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema.fields)
+    calling = calls.Calling(max_attempts, backoff, texts_per_call, give_up_after)
     answered = packed.mapInArrow(
-        calls.answer_lists(fn, prompt, "chunks", max_attempts, backoff),
+        calls.answer_lists(fn, prompt, "chunks", calling),
         f"{columns}, answers array<struct<response:string,error:string>>",
     )
     final = F.zip_with(
@@ -171,7 +181,11 @@ def translate_batches(
     parallelism: int | None = None,
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
+    texts_per_call: int = K.TEXTS_PER_CALL,
+    give_up_after: int = K.GIVE_UP_AFTER,
 ) -> DataFrame:
     """Send packed batches; adds ``response`` and ``error`` for ``unpack_batches``."""
     prompt = K.BATCH_PROMPT.replace("{target_lang}", target_lang)
-    return _answered(batches, fn, prompt, "combined", parallelism, max_attempts, backoff)
+    return _answered(
+        batches, fn, prompt, "combined", parallelism, max_attempts, backoff, texts_per_call, give_up_after
+    )

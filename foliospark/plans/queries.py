@@ -8,7 +8,6 @@ texts on purpose so that the error paths run on whole tables too.
 from __future__ import annotations
 
 import re
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
 from foliospark.plans.batch import run_batch
-from foliospark.session import shared_path, spread
+from foliospark.session import shared_path
 from foliospark.sources import files, sinks
 
 # The paragraphs of the given documents are separated by single line breaks.
@@ -35,21 +34,8 @@ OUTPUT = "/data/output"
 TARGETS = {"en": "英文", "fr": "法语", "de": "德文", "es": "Español"}
 
 
-# Tables whose rows carry enough work each to be worth spreading.
-HEAVY_ROWS = {"pages": "page_id", "documents": "doc_id", "events": "event_id"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    scan = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(scan, HEAVY_ROWS[name]) if name in HEAVY_ROWS else scan
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder; a local session without one gets its own."""
-    local = spark.sparkContext.master.startswith("local")
-    if local and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="foliospark-"))
-    return shared_path(spark, name)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 # Stand-ins for user functions.
@@ -301,7 +287,7 @@ def translate_copies(spark, folder):
     results = TR.translate_distinct(
         document_chunks(spark, folder),
         translator,
-        work_path(spark, "distinct-texts"),
+        shared_path(spark, "distinct-texts"),
         max_attempts=1,
     )
     return results.select("doc_id", "chunk_idx", "original", "translated", "success", "error")
@@ -540,7 +526,7 @@ def batch_run(spark, folder):
     run = run_batch(
         spark,
         manifest,
-        work_path(spark, "batch-run"),
+        shared_path(spark, "batch-run"),
         _bytes_extractor,
         translator,
         content="content",

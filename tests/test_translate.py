@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from foliospark import constants as K
 from foliospark.operators import translate as TR
-from foliospark.operators.calls import answer_texts, attempt
+from foliospark.operators.calls import Caller, Calling, attempt
 from foliospark.operators.skew import join_one_per_key
 from foliospark.session import shared_path
 
@@ -62,11 +62,37 @@ def test_attempts():
     assert attempt(flaky, 0, lambda n: 0) == (None, "later") and len(calls) == 1
 
 
+def answers(fn, texts, prompt="", **options):
+    return Caller(fn, prompt, Calling(**{"attempts": 1, "backoff": 0, **options})).answers(texts)
+
+
 def test_answers_of_the_wrong_number_or_kind():
-    assert answer_texts(lambda t, p: [], "", ["a"], 1, 0) == [(None, "0 answers to 1 texts")]
-    assert answer_texts(lambda t, p: [None for _ in t], "", ["a"], 1, 0) == [(None, "no answer")]
-    assert answer_texts(refuse, "", ["", None, " "], 1, 0) == [(None, None)] * 3
-    assert answer_texts(lambda t, p: [p] * len(t), "prompt", ["a"], 1, 0) == [("prompt", None)]
+    assert answers(lambda t, p: [], ["a"]) == [(None, "0 answers to 1 texts")]
+    assert answers(lambda t, p: [None for _ in t], ["a"]) == [(None, "no answer")]
+    assert answers(refuse, ["", None, " "]) == [(None, None)] * 3
+    assert answers(lambda t, p: [p] * len(t), ["a"], "prompt") == [("prompt", None)]
+
+
+def test_calls_are_bounded():
+    sizes = []
+
+    def some(texts, prompt):
+        sizes.append(len(texts))
+        if "bad" in texts:
+            raise ValueError("no")
+        return texts
+
+    texts = [str(i) for i in range(9)]
+    assert answers(some, texts, texts_per_call=4) == [(t, None) for t in texts]
+    assert sizes == [4, 4, 1]
+    # A failing call is halved down to the text at fault.
+    sizes.clear()
+    assert answers(some, ["0", "1", "bad", "3"], texts_per_call=4)[2] == (None, "no")
+    assert sizes == [4, 2, 2, 1, 1]
+    # A service that is down is not asked for every text.
+    sizes.clear()
+    found = answers(some, ["bad"] * 50, give_up_after=3)
+    assert len(sizes) == 3 and found[-1] == (None, "not sent after 3 failures in a row")
 
 
 def test_prompts(spark):
@@ -87,10 +113,13 @@ def document(spark, text, fn, **options):
 
 
 def test_markdown(spark):
-    assert document(spark, "para1\n\npara2", prefix, max_chars=5).content == "[translated]para1\n\n[translated]para2"
-    assert document(spark, "para1\n\npara2", prefix).content == "[translated]para1\n\npara2"
-    kept = document(spark, "keep me", refuse)
-    assert (kept.content, kept.n_failed_chunks) == ("keep me", 1)
+    assert document(spark, "north\n\nsouth\n\neast", prefix, max_chars=10).content == (
+        "[translated]north\n\nsouth\n\n[translated]east"
+    )
+    whole = document(spark, "north\n\nsouth", prefix)
+    assert (whole.content, whole.n_chunks) == ("[translated]north\n\nsouth", 1)
+    refused = document(spark, "left\n\nas it was", refuse, max_chars=4)
+    assert (refused.content, refused.n_failed_chunks) == ("left\n\nas it was", 2)
 
 
 @pytest.mark.parametrize("text", ["", " \n　", None])
@@ -130,9 +159,9 @@ def test_distinct_texts_are_sent_once(spark):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, " ").otherwise(F.concat(F.lit("t"), "id")).alias("chunk"),
     )
     path = shared_path(spark, "distinct")
-    rows = TR.translate_distinct(chunks, prefix, path, rows_per_salt=50)
+    rows = TR.translate_distinct(chunks, prefix, path)
     assert rows.count() == 900
-    assert spark.read.parquet(path).count() == 302
+    assert spark.read.parquet(f"{path}/results").count() == 302
     expected = TR.translate_table(chunks, prefix).select(rows.columns)
     assert rows.exceptAll(expected).count() == 0 and expected.exceptAll(rows).count() == 0
 
@@ -142,10 +171,18 @@ def test_null_texts_in_distinct(spark):
     assert [(r.original, r.translated, r.success) for r in rows] == [(None, "", True), ("", "", True), ("x", "[translated]x", True)]
 
 
-def test_hot_keys_spread_over_salts(spark):
+def test_distinct_texts_are_hashed_not_sorted(spark):
+    chunks = table(spark, "a", "b")
+    keyed = chunks.select(F.sha2("chunk", 256).alias("text_key"), F.col("chunk").alias("original"))
+    plan = keyed.distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_hot_keys_are_dealt_to_salts(spark):
     many = spark.range(1000).select("id", F.when(F.col("id") < 700, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     one = many.groupBy("k").agg(F.count("*").alias("n")).withColumn("v", F.upper("k"))
-    joined = join_one_per_key(many, one, "k", "n", ["id"], rows_per_salt=100)
-    rows = joined.collect()
+    rows = join_one_per_key(many, one, "k", ["id"], salts=16).collect()
     assert len(rows) == 1000 and len({r.id for r in rows}) == 1000
     assert all(r.v == r.k.upper() and r.n == (700 if r.k == "hot" else 1) for r in rows)
+    missing = join_one_per_key(many, one.filter("k != 'hot'"), "k", ["id"]).filter("v is null")
+    assert missing.count() == 700
