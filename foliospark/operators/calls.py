@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from dataclasses import dataclass
 
 
@@ -180,6 +181,35 @@ def list_folders(recursive: bool):
     return run
 
 
+def open_texts(columns: dict[str, str]):
+    """``mapInArrow`` function that adds the text behind each path column, without byte order
+    mark; no path, a lost file or one that is not UTF-8 gives NULL. One file at a time."""
+    import pyarrow as pa
+
+    def text(path: str | None) -> str | None:
+        if path is None:
+            return None
+        filesystem, inner, _ = locate(path)
+        try:
+            with filesystem.open_input_stream(inner) as stream:
+                return stream.read().decode("utf-8-sig")
+        except (OSError, UnicodeDecodeError):
+            return None
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                texts = [
+                    pa.array([text(p) for p in part.column(c).to_pylist()], pa.string()) for c in columns
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *texts], [*part.schema.names, *columns.values()]
+                )
+
+    return run
+
+
 def extract_documents(fn, attempts: int, wait_seconds: float, from_column: bool):
     """``mapInArrow`` function over (key, path, content, ...): the user's extractor per document.
 
@@ -236,8 +266,11 @@ def write_files(folder: str, bom: bool):
         filesystem, root, _ = locate(folder)
         for row in rows:
             target = f"{root}/{row['out_name']}"
-            filesystem.create_dir(target.rsplit("/", 1)[0], recursive=True)
-            with filesystem.open_output_stream(target) as stream:
-                stream.write(row["content"].encode("utf-8-sig" if bom else "utf-8"))
+            parent, name = target.rsplit("/", 1)
+            filesystem.create_dir(parent, recursive=True)
+            part = f"{parent}/.{name}.{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(part) as stream:
+                stream.write((row["content"] or "").encode("utf-8-sig" if bom else "utf-8"))
+            filesystem.move(part, target)
 
     return run

@@ -39,8 +39,9 @@ def batch_totals(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def batch_details(outcomes: DataFrame) -> DataFrame:
-    """One record per document: ``file``, ``success``, ``error`` and its stages as JSON.
+def batch_details(outcomes: DataFrame, *extra: str) -> DataFrame:
+    """One record per document: ``file``, ``success``, ``error`` and its stages as JSON, then
+    the ``extra`` columns of ``outcomes``.
 
     A table and not one nested value: gathering all documents into one cell would not survive
     a large run. Sort by ``path`` where the order matters.
@@ -54,4 +55,4 @@ def batch_details(outcomes: DataFrame) -> DataFrame:
             ),
         )
     )
-    return outcomes.select("doc_id", "path", "file", "success", "error", "outcome", F.to_json(stages).alias("stages"))
+    return outcomes.select("doc_id", "path", "file", "success", "error", "outcome", F.to_json(stages).alias("stages"), *extra)

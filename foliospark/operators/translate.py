@@ -121,7 +121,7 @@ def apply_results(chunks: DataFrame, results: DataFrame, keys: tuple[str, ...])
     )
 
 
-def translate_markdown(
+def answer_documents(
     docs: DataFrame,
     fn: Callable,
     target_lang: str = K.DEFAULT_TARGET_LANG,
@@ -136,11 +136,11 @@ def translate_markdown(
     texts_per_call: int = K.TEXTS_PER_CALL,
     give_up_after: int = K.GIVE_UP_AFTER,
 ) -> DataFrame:
-    """Whole documents: split, pack, translate, fall back to the original, join.
+    """Split, pack and send whole documents: ``keys, blank_source, chunks, answers``.
 
     The chunks of a document stay in its row as an array, so the texts are never shuffled:
-    the plan is one scan, one Python stage and projections around it. Blank documents come
-    back unchanged and are not sent.
+    the plan is one scan, one Python stage and projections around it. Blank documents have no
+    chunks, keep their text in ``blank_source`` and are not sent.
     """
     prompt = system_prompt or K.MARKDOWN_PROMPT.replace("{target_lang}", target_lang)
     rows = docs.select(*keys, F.col(content).alias("source"))
@@ -153,10 +153,16 @@ def translate_markdown(
     )
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema.fields)
     calling = calls.Calling(max_attempts, backoff, texts_per_call, give_up_after)
-    answered = packed.mapInArrow(
+    return packed.mapInArrow(
         calls.answer_lists(fn, prompt, "chunks", calling),
         f"{columns}, answers array<struct<response:string,error:string>>",
     )
+
+
+def joined_documents(
+    answered: DataFrame, keys: tuple[str, ...], target_lang: str, separator: str
+) -> DataFrame:
+    """The documents of :func:`answer_documents` put together, failed chunks as they were."""
     final = F.zip_with(
         "chunks",
         "answers",
@@ -169,11 +175,46 @@ def translate_markdown(
         *keys,
         F.lit(target_lang).alias("target_lang"),
         F.coalesce(F.array_join(final, separator), F.col("blank_source")).alias("content"),
-        F.coalesce(F.size("chunks"), F.lit(0)).alias("n_chunks"),
         F.when(F.col("answers").isNull(), 0).otherwise(F.size(failed)).alias("n_failed_chunks"),
     )
 
 
+def result_rows(answered: DataFrame, keys: tuple[str, ...], target_lang: str) -> DataFrame:
+    """The chunks of :func:`answer_documents` as one result row each, with ``chunk_key``."""
+    pairs = F.arrays_zip("chunks", "answers")
+    rows = answered.select(*keys, F.posexplode(pairs).alias("chunk_idx", "p"))
+    answer, original = F.col("p.answers"), F.col("p.chunks")
+    success = T.is_blank(original) | answer["response"].isNotNull()
+    return rows.select(
+        *keys,
+        "chunk_idx",
+        F.sha2(original, 256).alias("chunk_key"),
+        F.lit(target_lang).alias("target_lang"),
+        original.alias("original"),
+        F.coalesce(T.strip(answer["response"]), F.lit("")).alias("translated"),
+        success.alias("success"),
+        F.when(success, "").otherwise(F.coalesce(answer["error"], F.lit(""))).alias("error"),
+    )
+
+
+def translate_markdown(
+    docs: DataFrame,
+    fn: Callable,
+    target_lang: str = K.DEFAULT_TARGET_LANG,
+    keys: tuple[str, ...] = ("doc_id",),
+    content: str = "content",
+    separator: str = K.PARAGRAPH_SEPARATOR,
+    max_chars: int = K.MAX_CHARS,
+    **options,
+) -> DataFrame:
+    """Whole documents: split, pack, translate, fall back to the original, join; ``options`` are
+    those of :func:`answer_documents`. Blank documents come back unchanged."""
+    answered = answer_documents(docs, fn, target_lang, keys, content, separator, max_chars, **options)
+    counted = answered.withColumn("n_chunks", F.coalesce(F.size("chunks"), F.lit(0)))
+    whole = joined_documents(counted, (*keys, "n_chunks"), target_lang, separator)
+    return whole.select(*keys, "target_lang", "content", "n_chunks", "n_failed_chunks")
+
+
 def translate_batches(
     batches: DataFrame,
     fn: Callable,

@@ -27,6 +27,7 @@ from foliospark.operators import translate as TR
 from foliospark.sources import files, sinks
 
 _TASK_BYTES = 128 * 1024 * 1024
+# Keys up to this measured size are broadcast to the raw documents they select.
 _BROADCAST_BYTES = 32 * 1024 * 1024
 MISSING_OUTPUT = "output of the finished parse stage is missing"
 
@@ -42,41 +43,73 @@ class Tables:
         base = f"{self.out.rstrip('/')}/{table}"
         return f"{base}/run_id={run_id}" if run_id else base
 
+    def _folder(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
+
     def _read(self, table: str, schema: str) -> DataFrame:
-        """A table of all runs, partitioned by its last column; created before the first run."""
+        """A table of all runs; without rows where no run has written it yet."""
         path = self.path(table)
-        empty = self.spark.createDataFrame([], schema)
-        by = empty.columns[-1:] if len(empty.columns) > 1 else []
-        empty.write.mode("ignore").partitionBy(*by).parquet(path)
+        filesystem, folder = self._folder(path)
+        if not filesystem.exists(folder):
+            return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
     def state_version(self) -> str | None:
         """The last compacted state, if there is any."""
         return self._read("state_versions", "version STRING").agg(F.max("version")).first()[0]
 
-    def events(self, version: str | None = None) -> DataFrame:
+    def _appends(self) -> list[str]:
+        """The appends to the event log that have committed: a few names for each run."""
+        filesystem, folder = self._folder(self.path("stage_events"))
+        if not filesystem.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in filesystem.listStatus(folder)]
+        done = [n for n in names if filesystem.exists(self._folder(f"{self.path('stage_events')}/{n}/_SUCCESS")[1])]
+        return sorted(n.removeprefix("append=") for n in done if n.startswith("append="))
+
+    def _covered(self, version: str) -> list[str]:
+        rows = self.spark.read.schema("append STRING").parquet(self.path(f"stage_state/{version}/covers"))
+        return [r["append"] for r in rows.collect()]
+
+    def events(self, version: str | None = None, only_run: str | None = None) -> DataFrame:
         """The stage events, from a compacted state on when its version is given.
 
-        Events lie in a folder per run, so those already compacted are not read.
+        Events lie in a folder per append. A compacted state knows which appends it holds, so
+        what a run adds after the compaction, whenever that run began, is never left out.
+        ``only_run`` reads the appends of one run alone.
         """
-        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, logged_by STRING")
+        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
+        if only_run is not None:
+            return new.filter(F.col("append").startswith(only_run)).drop("append")
         if version is None:
-            return new.drop("logged_by")
-        old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{version}"))
-        return old.unionByName(new.filter(F.col("logged_by") > version).drop("logged_by"))
+            return new.drop("append")
+        old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{version}/events"))
+        covered = self._covered(version)
+        return old.unionByName(new.filter(~F.col("append").isin(covered)).drop("append"))
 
     def append_events(self, events: DataFrame, run_id: str) -> None:
-        sinks.append_events(events.withColumn("logged_by", F.lit(run_id)), self.path("stage_events"))
+        append = f"{run_id}-{uuid.uuid4().hex[:8]}"
+        sinks.append_events(events, f"{self.path('stage_events')}/append={append}")
 
     def compact(self) -> str:
         """Write the current state as a new version; later runs start from it.
 
         Nothing is overwritten: a version counts once it is in ``state_versions``, which is
-        written after the state itself has committed. Run it between runs.
+        written after the state itself has committed. Runs may go on meanwhile.
         """
-        version = new_run_id()
-        events = self.events(self.state_version())
-        S.compact_events(events).write.parquet(self.path(f"stage_state/{version}"))
+        version, before = new_run_id(), self.state_version()
+        appends = self._appends()
+        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
+        known = self._covered(before) if before else []
+        fresh = new.filter(F.col("append").isin([x for x in appends if x not in set(known)])).drop("append")
+        if before:
+            old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{before}/events"))
+            fresh = old.unionByName(fresh)
+        S.compact_events(fresh).write.parquet(self.path(f"stage_state/{version}/events"))
+        names = [(x,) for x in sorted({*known, *appends})]
+        covers = self.spark.createDataFrame(names, "append STRING").coalesce(1)
+        covers.write.parquet(self.path(f"stage_state/{version}/covers"))
         done = self.spark.createDataFrame([(version,)], "version STRING").coalesce(1)
         done.write.mode("append").parquet(self.path("state_versions"))
         return version
@@ -109,8 +142,8 @@ def new_run_id() -> str:
     return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
-def _tasks(spark: SparkSession, docs: DataFrame, size: str | None) -> int:
-    """Tasks for a stage that calls user code: enough for every core and for the bytes read.
+def _tasks(spark: SparkSession, docs: DataFrame, size: str | None) -> int | None:
+    """Tasks for a stage that opens files: enough for every core and for the bytes read.
 
     Given explicitly, because a list of keys is far too small for the shuffle to spread itself.
     """
@@ -121,10 +154,10 @@ def _tasks(spark: SparkSession, docs: DataFrame, size: str | None) -> int:
     return max(cores * 4, -(-int(total) // _TASK_BYTES))
 
 
-def _broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df`` marked for broadcast when its measured size allows it, else as it is."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= _BROADCAST_BYTES else df
+def _broadcast_if_small(written: DataFrame) -> DataFrame:
+    """A written table marked for broadcast when its measured size allows it, else as it is."""
+    size = written.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(written) if size <= _BROADCAST_BYTES else written
 
 
 def run_batch(
@@ -141,13 +174,20 @@ def run_batch(
     max_attempts: int = K.MAX_ATTEMPTS,
     wait_seconds: float = 1.0,
     backoff: float = 2.0,
+    system_prompt: str | None = None,
+    export_to: str | None = None,
+    texts_per_call: int = K.TEXTS_PER_CALL,
 ) -> BatchRun:
     """Bring every document of ``manifest`` (``doc_id, path, file, stem, mtime``) up to date.
 
     Only new, changed or unfinished stages run. ``content`` names a manifest column with the raw
     document; without it the extractor tasks open the files. A failed stage ends its document for
     this run, later stages keep their state. After a run with failed chunks only those chunks are
-    sent again.
+    sent again. ``export_to`` is a folder for the documents translated by this run, a file each.
+
+    The recorded state is folded once and written; later questions add this run's own events to
+    it. Keys alone decide what is parsed. Raw documents and texts go through no shuffle, but for
+    documents whose failed chunks are sent again, and an explicit ``parallelism``.
     """
     run_id, tables = new_run_id(), Tables(spark, out)
     version = tables.state_version()
@@ -158,8 +198,12 @@ def run_batch(
         manifest.select(F.col("doc_id").cast("string").alias("doc_id"), *columns), "manifest", run_id
     )
 
+    recorded = tables.write(S.compact_events(tables.events(version)), "state_before", run_id)
+    first_run = recorded.isEmpty()
+
     def current() -> DataFrame:
-        return S.state_for(listed, S.latest_state(tables.events(version), target_lang))
+        events = recorded.unionByName(tables.events(only_run=run_id))
+        return S.state_for(listed, S.latest_state(events, target_lang))
 
     def mark(docs: DataFrame, stage: str, status, error="") -> None:
         tables.append_events(S.mark_stage(docs, stage, status, run_id, error, target_lang), run_id)
@@ -169,22 +213,25 @@ def run_batch(
 
     # Parse. What this run parses is known to need the later stages before it is parsed, so
     # their flags travel with it and no text is ever joined to the state.
-    def parse_inputs(docs: DataFrame, *extra: str) -> DataFrame:
-        recorded = S.latest_state(tables.events(version), target_lang)
-        state = S.state_for(docs, _broadcast_if_small(recorded) if content else recorded)
-        return state.filter(S.stage_needed(K.STAGE_PARSE)).select(
-            "doc_id", "path", "mtime", "stem", *extra,
-            S.stage_needed(K.STAGE_LAYOUT).alias("layout_needed"),
-            S.stage_needed(K.STAGE_TRANSLATE).alias("translate_needed"),
+    flags = [
+        S.stage_needed(K.STAGE_LAYOUT).alias("layout_needed"),
+        S.stage_needed(K.STAGE_TRANSLATE).alias("translate_needed"),
+    ]
+    keys = ["path", "mtime", "stem", *[c for c in ("length",) if c in listed.columns]]
+    if content and first_run:
+        docs = manifest.select(
+            F.col("doc_id").cast("string").alias("doc_id"), "path", "mtime", "stem", content,
+            *[F.lit(True).alias(f"{stage}_needed") for stage in (K.STAGE_LAYOUT, K.STAGE_TRANSLATE)],
         )
-
-    if content:
-        docs = parse_inputs(manifest.withColumn("doc_id", F.col("doc_id").cast("string")), content)
         tasks = parallelism
     else:
-        length = [c for c in ("length",) if c in listed.columns]
-        docs = tables.write(parse_inputs(listed, *length), "to_parse", run_id)
-        tasks = parallelism or _tasks(spark, docs, *(length or [None]))
+        docs = tables.write(
+            current().filter(S.stage_needed(K.STAGE_PARSE)).select("doc_id", *keys, *flags), "to_parse", run_id
+        )
+        tasks = parallelism or _tasks(spark, docs, "length" if "length" in docs.columns else None)
+        if content:
+            raw = manifest.select(F.col("doc_id").cast("string").alias("doc_id"), content)
+            docs, tasks = raw.join(_broadcast_if_small(docs), "doc_id"), parallelism
     extracted = tables.write(
         X.extract_elements(
             docs, extractor, content=content, keep=("mtime", "stem", "layout_needed", "translate_needed"),
@@ -224,32 +271,50 @@ def run_batch(
             F.when(entry["status"] == K.FAILED, entry["run_id"]).alias("failed_run_id"),
         )
         todo = tables.write(todo, "to_translate", run_id)
-        failed = _broadcast_if_small(summary.filter(~F.col("success")).select("doc_id"))
-        docs = parsed_now.filter("translate_needed").join(failed, "doc_id", "left_anti")
+        failed = tables.write(summary.filter(~F.col("success")).select("doc_id"), "failed_layouts", run_id)
+        docs = parsed_now.filter("translate_needed").join(_broadcast_if_small(failed), "doc_id", "left_anti")
         docs = docs.select("doc_id", "mtime", "stem", "markdown")
-        older = todo.filter(F.col("run_id") != run_id).drop("failed_run_id")
+        older = todo.filter(F.col("run_id") != run_id)
+        retried = older.filter(F.col("failed_run_id").isNotNull())
+        older = older.filter(F.col("failed_run_id").isNull()).drop("failed_run_id")
         if not older.isEmpty():
             docs = docs.unionByName(_outputs(tables, older, "markdown").drop("found"))
-        chunks = C.chunk_rows(
-            docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED),
-            ["doc_id", "mtime", "stem"],
-            content="markdown", separator=separator, max_chars=max_chars,
-        ).withColumn("chunk_key", F.sha2("chunk", 256))
-        results = _translated(
-            tables, todo, chunks, translator, target_lang,
-            parallelism or _tasks(spark, listed, None), max_attempts, backoff,
+        options = dict(
+            system_prompt=system_prompt, parallelism=parallelism, max_attempts=max_attempts,
+            backoff=backoff, texts_per_call=texts_per_call,
         )
-        results = tables.write(results, "translated_chunks", run_id)
-        final = results.withColumn(
-            "final", F.when(F.col("success"), F.col("translated")).otherwise(F.col("original"))
-        )
-        pairs = F.array_sort(F.collect_list(F.struct("chunk_idx", "final")))
-        whole = final.groupBy("doc_id", "mtime", "stem", "target_lang").agg(
-            pairs.alias("pairs"), F.count_if(~F.col("success")).alias("n_failed_chunks")
+        keys = ("doc_id", "mtime", "stem")
+        answered = TR.answer_documents(
+            docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED), translator, target_lang,
+            keys=keys, content="markdown", separator=separator, max_chars=max_chars, **options,
         )
+        answered = tables.write(answered, "answers", run_id)
+        results = TR.result_rows(answered, keys, target_lang)
+        whole = TR.joined_documents(answered, keys, target_lang, separator)
+        if not retried.isEmpty():
+            again = _outputs(tables, retried.drop("failed_run_id"), "markdown").drop("found")
+            chunks = C.chunk_rows(
+                again.filter(S.document_gate(F.col("markdown")) != K.SKIPPED), list(keys),
+                content="markdown", separator=separator, max_chars=max_chars,
+            ).withColumn("chunk_key", F.sha2("chunk", 256))
+            more = _sent_again(tables, retried, chunks, translator, target_lang, options)
+            more = tables.write(more, "retried_chunks", run_id)
+            results = results.unionByName(more)
+            final = more.withColumn(
+                "final", F.when(F.col("success"), F.col("translated")).otherwise(F.col("original"))
+            )
+            pairs = F.array_sort(F.collect_list(F.struct("chunk_idx", "final")))
+            whole = whole.unionByName(
+                final.groupBy(*keys, "target_lang").agg(
+                    pairs.alias("pairs"), F.count_if(~F.col("success")).alias("n_failed_chunks")
+                ).select(
+                    *keys, "target_lang", F.array_join("pairs.final", separator).alias("content"),
+                    F.col("n_failed_chunks").cast("int").alias("n_failed_chunks"),
+                )
+            )
+        tables.write(results, "translated_chunks", run_id)
         whole = sinks.with_output_name(whole).select(
-            "doc_id", "mtime", "target_lang", "out_name", "n_failed_chunks",
-            F.array_join("pairs.final", separator).alias("content"),
+            "doc_id", "mtime", "stem", "target_lang", "out_name", "n_failed_chunks", "content"
         )
         whole = tables.write(whole, "translated_markdown", run_id)
         n = F.col("n_failed_chunks")
@@ -258,6 +323,8 @@ def run_batch(
         # The gate let no chunk of these through.
         gated = todo.join(whole.select("doc_id"), "doc_id", "left_anti")
         mark(gated, K.STAGE_TRANSLATE, K.SKIPPED)
+        if export_to:
+            sinks.export_markdown(whole, export_to)
 
     # Report.
     mine = F.filter("stages", lambda s: s["run_id"] == run_id)
@@ -269,10 +336,7 @@ def run_batch(
         .withColumn("outcome", R.outcome(translator is not None))
         .withColumn("stages_run", F.size(F.filter(mine, lambda s: s["status"] != K.SKIPPED)))
     )
-    details = tables.write(
-        R.batch_details(outcomes).join(outcomes.select("doc_id", "stages_run"), "doc_id"),
-        "batch_details", run_id,
-    )
+    details = tables.write(R.batch_details(outcomes, "stages_run"), "batch_details", run_id)
     totals = R.batch_totals(details)
     sinks.write_batch_summary(totals, tables.path("batch_summary", run_id))
     return BatchRun(run_id, tables, details, totals)
@@ -294,37 +358,27 @@ def _outputs(tables: Tables, docs: DataFrame, column: str) -> DataFrame:
     return found.unionByName(lost).drop("run_id")
 
 
-def _translated(
+def _sent_again(
     tables: Tables,
-    todo: DataFrame,
+    retried: DataFrame,
     chunks: DataFrame,
     translator: Callable,
     target_lang: str,
-    tasks: int,
-    max_attempts: int,
-    backoff: float,
+    options: dict,
 ) -> DataFrame:
-    """Results for all ``chunks``; those an earlier, partly failed run has are taken over."""
+    """Results for all ``chunks`` of partly failed documents; what succeeded then is taken over."""
     keys = ("doc_id", "mtime", "stem", "chunk_idx", "chunk_key")
-
-    def call(rows: DataFrame) -> DataFrame:
-        return TR.translate_table(
-            rows, translator, target_lang, keys=keys, parallelism=tasks,
-            max_attempts=max_attempts, backoff=backoff,
-        )
-
-    retried = todo.filter(F.col("failed_run_id").isNotNull())
-    retried = retried.select("doc_id", F.col("failed_run_id").alias("run_id"))
-    if retried.isEmpty():
-        return call(chunks)
+    runs = retried.select("doc_id", F.col("failed_run_id").alias("run_id"))
     known = (
         tables.translated_chunks()
         .filter((F.col("target_lang") == target_lang) & F.col("success"))
-        .join(_broadcast_if_small(retried), ["doc_id", "run_id"], "left_semi")
+        .join(runs, ["doc_id", "run_id"], "left_semi")
         .select("doc_id", "chunk_idx", "chunk_key", "translated")
     )
     on = ["doc_id", "chunk_idx", "chunk_key"]
-    fresh = call(chunks.join(known, on, "left_anti"))
+    fresh = TR.translate_table(
+        chunks.join(known, on, "left_anti"), translator, target_lang, keys=keys, **options
+    )
     reused = chunks.join(known, on).select(
         *keys,
         F.lit(target_lang).alias("target_lang"),

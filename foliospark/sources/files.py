@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions.text import without_bom
-from foliospark.operators.calls import list_folders, locate
+from foliospark.operators.calls import list_folders, locate, open_texts
+from foliospark.session import shared_path
 
 
 def _kind(path: str) -> str:
@@ -22,26 +23,42 @@ def _kind(path: str) -> str:
     return {"File": "file", "Directory": "folder"}.get(kind, "missing")
 
 
-def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """``doc_id, path, mtime, length`` per file, empty and hidden ones included.
+def list_files(
+    spark: SparkSession, path: str, recursive: bool = True, folders: bool = False
+) -> DataFrame:
+    """``doc_id, path, mtime, length`` per file, empty and hidden ones included; with ``folders``
+    those too, and a column ``folder`` to tell them.
 
-    Spark's own file sources leave out empty files and names that start with ``.`` or ``_``, so
-    the folders are listed by tasks: the top folder by one, the folders in it by as many as there
-    are. No contents are read and no list goes through the driver.
+    Spark's own file sources leave out empty files and names that start with ``.`` or ``_``. So
+    the folders of each level are dealt to the tasks, which list what lies right in them; every
+    level is written to the shared folder before the next one. No contents are read and no list
+    goes through the driver or, beyond one folder, through one task.
     """
     schema = "path string, folder boolean, micros bigint, length bigint"
     filesystem, inner, prefix = locate(path)
     top = filesystem.get_file_info(inner)
     row = (prefix + inner, top.type.name == "Directory", (top.mtime_ns or 0) // 1000, top.size or 0)
-    rows = spark.createDataFrame([row], schema).mapInArrow(list_folders(False), schema)
+    found = spark.createDataFrame([row], schema)
+    level = found.mapInArrow(list_folders(False), schema)
     if recursive:
+        work, depth = shared_path(spark, "listing"), 0
         tasks = spark.sparkContext.defaultParallelism * 4
-        rows = rows.repartition(tasks).mapInArrow(list_folders(True), schema)
-    return rows.filter(~F.col("folder")).select(
+        while True:
+            level.write.parquet(f"{work}/depth={depth}")
+            below = spark.read.schema(schema).parquet(f"{work}/depth={depth}").filter("folder")
+            if below.isEmpty():
+                break
+            level = below.repartition(tasks).mapInArrow(list_folders(False), schema)
+            depth += 1
+        level = spark.read.schema(schema).parquet(*[f"{work}/depth={d}" for d in range(depth + 1)])
+    if not folders:
+        level = level.filter(~F.col("folder"))
+    return level.select(
         P.document_id(F.col("path")).alias("doc_id"),
         "path",
         F.timestamp_micros("micros").alias("mtime"),
         "length",
+        *(["folder"] if folders else []),
     )
 
 
@@ -65,7 +82,8 @@ def in_path_order(files: DataFrame) -> DataFrame:
 def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> DataFrame:
     """The artifact folder of each document and the layout and Markdown files in it.
 
-    ``manifest`` has ``stem``, ``listing`` the paths below ``output``. The folder is
+    ``manifest`` has ``stem``, ``listing`` the paths below ``output``; with a column ``folder``
+    (see :func:`list_files`) folders without any file count as well. The folder is
     ``stem/auto``, else the first ``stem/*/auto``, else ``stem``; within it the layout file named
     after the folder's parent, else the first one; the Markdown named after the document, else
     the first that is not a translation written earlier. Missing ones are NULL.
@@ -76,9 +94,12 @@ def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> D
     root = re.sub(r"^file:/*", "/", output).rstrip("/") + "/"
     suffixes = sorted({*K.LANGUAGE_SUFFIX.values(), K.OTHER_LANGUAGE_SUFFIX})
     parts = F.split(F.substr("path", F.lit(len(root) + 1)), "/")
+    folder_row = F.col("folder") if "folder" in listing.columns else F.lit(False)
     files = listing.filter(F.col("path").startswith(root)).select(
-        "path", parts.alias("parts"), F.size(parts).alias("n")
+        "path", folder_row.alias("folder"), parts.alias("parts"), F.size(parts).alias("n")
     )
+    # Parts that are folders: all of a folder's own path, all but the name of a file's.
+    depth = F.when(F.col("folder"), F.col("n")).otherwise(F.col("n") - 1)
     stem, second, third = F.col("parts")[0], F.get("parts", F.lit(1)), F.get("parts", F.lit(2))
 
     def folder(rank: int, depth: int):
@@ -86,14 +107,14 @@ def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> D
 
     folders = F.array_compact(
         F.array(
-            F.when((second == K.ARTIFACT_DIR) & (F.col("n") > 2), folder(0, 2)),
-            F.when((third == K.ARTIFACT_DIR) & (F.col("n") > 3), folder(1, 3)),
-            F.when(F.col("n") > 1, folder(2, 1)),
+            F.when((second == K.ARTIFACT_DIR) & (depth > 1), folder(0, 2)),
+            F.when((third == K.ARTIFACT_DIR) & (depth > 2), folder(1, 3)),
+            F.when(depth > 0, folder(2, 1)),
         )
     )
     name = F.element_at("parts", -1)
-    rows = files.select("path", "parts", "n", stem.alias("stem"), name.alias("name"), F.explode(folders).alias("f"))
-    inside = F.size("f.dir") == F.col("n") - 1
+    rows = files.select("path", "folder", "parts", "n", stem.alias("stem"), name.alias("name"), F.explode(folders).alias("f"))
+    inside = (F.size("f.dir") == F.col("n") - 1) & ~F.col("folder")
     parent_name = F.when(F.size("f.dir") > 1, F.element_at("f.dir", -2)).otherwise(
         output.rstrip("/").rsplit("/", 1)[-1]
     )
@@ -153,15 +174,21 @@ def read_markdown(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return read_texts(spark, paths, f"*{K.MARKDOWN_SUFFIX}")
 
 
-def read_artifacts(spark: SparkSession, manifest: DataFrame, output: str) -> DataFrame:
+def read_artifacts(
+    spark: SparkSession, manifest: DataFrame, output: str, parallelism: int | None = None
+) -> DataFrame:
     """``manifest`` with the ``layout_json`` and ``markdown`` texts found for each document.
 
-    For output folders a parser has already written; what is missing is NULL.
+    For output folders a parser has already written; what is missing is NULL. Paths are resolved
+    first; the tasks then open just those files, so no text is shuffled.
     """
-    found = resolve_artifacts(manifest, list_files(spark, output), output)
-    layout = read_layout(spark, output).withColumnRenamed("path", "layout_path")
-    markdown = read_markdown(spark, output).toDF("markdown_path", "markdown")
-    return found.join(layout, "layout_path", "left").join(markdown, "markdown_path", "left")
+    found = resolve_artifacts(manifest, list_files(spark, output, folders=True), output)
+    tasks = parallelism or spark.sparkContext.defaultParallelism * 4
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
+    return found.repartition(tasks).mapInArrow(
+        open_texts({"layout_path": "layout_json", "markdown_path": "markdown"}),
+        f"{columns}, layout_json string, markdown string",
+    )
 
 
 def read_saved_state(

@@ -139,6 +139,72 @@ def test_only_failed_chunks_are_sent_again(spark, tmp_path):
     assert text.content == "T:one\n\nT:bad\n\nT:three"
 
 
+def test_compaction_keeps_what_running_runs_add(spark, inputs, tmp_path):
+    """A run that began before the compaction and marks a stage after it."""
+    from foliospark.operators import state as S
+
+    done = run(spark, inputs, tmp_path / "out")
+    tables = done.tables
+    docs = done.details.filter("path LIKE '%unreadable.pdf'").withColumn("mtime", S.F.current_timestamp())
+    tables.append_events(S.mark_stage(docs, "parse", "done", "0-early"), "0-early")
+    tables.compact()
+    tables.append_events(S.mark_stage(docs, "layout", "done", "0-early"), "0-early")
+    tables.compact()
+    tables.append_events(S.mark_stage(docs, "translate", "done", "0-early", target_lang="英文"), "0-early")
+    state = S.latest_state(tables.events(tables.state_version()), "英文").join(docs.select("doc_id"), "doc_id")
+    row = state.first()
+    assert [row[s].status for s in ("parse", "layout", "translate")] == ["done"] * 3
+
+
+def test_exports_and_system_prompt(spark, inputs, tmp_path):
+    def echo(texts, prompt):
+        return [f"{prompt}:{t}" for t in texts]
+
+    done = run(
+        spark, inputs, tmp_path / "out", echo, system_prompt="mine", export_to=f"file://{tmp_path}/md"
+    )
+    found = sorted(p.read_text(encoding="utf-8-sig") for p in (tmp_path / "md").rglob("*.md"))
+    assert found == ["mine:# A\n\nbody", "mine:other", "mine:text of empty"]
+    assert done.totals.first().success == 3
+
+
+def test_no_raw_document_is_shuffled(spark, tmp_path):
+    """Neither on a first run nor on a rerun does an exchange carry the documents or texts."""
+    from pyspark.sql import functions as F
+
+    from foliospark.plans import batch
+
+    plans = []
+    write = batch.Tables.write
+
+    def watched(self, df, table, run_id):
+        plans.append((table, df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, df, table, run_id)
+
+    manifest = spark.range(50).select(
+        F.concat(F.lit("d"), "id").alias("doc_id"), F.concat(F.lit("/in/"), "id").alias("path"),
+        F.col("id").cast("string").alias("file"), F.col("id").cast("string").alias("stem"),
+        F.lit("2024-01-01").cast("timestamp").alias("mtime"),
+        F.encode(F.concat(F.lit('{"markdown": "m'), "id", F.lit('"}')), "utf-8").alias("content"),
+    )
+    path = str(tmp_path / "docs")
+    manifest.write.parquet(path)
+    batch.Tables.write = watched
+    try:
+        for when in ("2024-01-01", "2024-01-02"):
+            docs = spark.read.parquet(path).withColumn("mtime", F.lit(when).cast("timestamp"))
+            done = batch.run_batch(
+                spark, docs, str(tmp_path / "out"), extractor, lambda t, p: t, content="content", max_attempts=1
+            )
+            assert done.totals.first().success == 50
+            assert done.details.agg(F.min("stages_run")).first()[0] == 3
+    finally:
+        batch.Tables.write = write
+    for table, plan in plans:
+        if table in ("extracted", "answers", "translated_chunks", "translated_markdown"):
+            assert "Exchange hashpartitioning" not in plan and "Exchange Round" not in plan, (table, plan)
+
+
 def test_without_translation(spark, tmp_path):
     inputs, out, calls = tmp_path / "in", tmp_path / "out", Calls(tmp_path / "calls")
     put(inputs, "a.pdf", markdown="text")

@@ -116,6 +116,28 @@ def test_artifacts(spark, tmp_path):
     }
 
 
+def test_empty_artifact_folders(spark, tmp_path):
+    for name in ("one/auto", "two/x/auto", "three"):
+        (tmp_path / name).mkdir(parents=True)
+    touch(tmp_path / "one/one.md")
+    manifest = spark.createDataFrame([("one",), ("two",), ("three",), ("four",)], "stem string")
+    listing = files.list_files(spark, str(tmp_path), folders=True)
+    rows = files.resolve_artifacts(manifest, listing, str(tmp_path)).collect()
+    assert {r.stem: r.artifact_dir and os.path.relpath(r.artifact_dir, tmp_path) for r in rows} == {
+        "one": "one/auto", "two": "two/x/auto", "three": "three", "four": None
+    }
+    assert all(r.markdown_path is None for r in rows)
+
+
+def test_deep_trees_are_listed_by_many_tasks(spark, tmp_path):
+    for i in range(40):
+        touch(tmp_path / f"top/a{i}/b/c.pdf")
+    listed = files.list_files(spark, str(tmp_path))
+    assert listed.count() == 40
+    files_of = listed.select(F.input_file_name().alias("f")).distinct().count()
+    assert files_of > 1
+
+
 def test_layout_and_markdown_files(spark, tmp_path):
     touch(tmp_path / "d/auto/d_content_list.json", "﻿" + json.dumps([{"type": "text", "text": "é\n\n1"}], indent=1))
     touch(tmp_path / "e x/auto/e_content_list.json", "[")
@@ -142,7 +164,7 @@ def test_artifact_texts(spark, tmp_path):
     manifest = files.list_sources(spark, str(tmp_path / "in"))
     found = files.read_artifacts(spark, manifest, f"file://{tmp_path}/out")
     assert {r.stem: (r.layout_json, r.markdown) for r in found.collect()} == {
-        "a": ('[{"type": "title"}]', "# A"), "b": ("[]", None), "c": (None, None)
+        "a": ('[{"type": "title"}]', "# A"), "b": ("[]", ""), "c": (None, None)
     }
     assert {r.stem: r.success for r in E.parse_layout(found).collect()} == {"a": True, "b": True, "c": False}
 
@@ -171,13 +193,22 @@ def test_saved_state(spark, tmp_path):
 
 
 def test_exports(spark, tmp_path):
-    docs = spark.createDataFrame([("d", "英文", "# Hé"), ("e", "other", "x")], "stem string, target_lang string, content string")
+    docs = spark.createDataFrame(
+        [
+            (1, "d", "英文", "# Hé"), (2, "d", "英文", "same stem"),
+            (3, "e", "other", "x"), (3, "e", "an/other", "no suffix of its own"),
+        ],
+        "doc_id int, stem string, target_lang string, content string",
+    )
     named = sinks.with_output_name(docs)
-    sinks.export_markdown(named, f"file://{tmp_path}/md")
-    assert (tmp_path / "md/d_en.md").read_bytes() == "﻿# Hé".encode("utf-8")
-    assert (tmp_path / "md/e_translated.md").exists()
+    for _ in range(2):  # written again, as by a retried task
+        sinks.export_markdown(named, f"file://{tmp_path}/md")
+    found = {p.relative_to(tmp_path / "md"): p.read_bytes() for p in (tmp_path / "md").rglob("*.md")}
+    assert sorted(p.name for p in found) == ["d_en.md", "d_en.md", "e_translated.md", "e_translated.md"]
+    assert sorted({p.parts[0] for p in found}) == ["an_other", "other", "英文"]
+    assert "\ufeff# Hé".encode() in found.values()
     sinks.write_translated(named, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).filter("target_lang = '英文'").count() == 1
+    assert spark.read.parquet(str(tmp_path / "t")).filter("target_lang = '英文'").count() == 2
     results = spark.createDataFrame(
         [("d", 1, "o", "t", True, "")],
         "doc_id string, chunk_idx int, original string, translated string, success boolean, error string",
