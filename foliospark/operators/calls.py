@@ -24,7 +24,7 @@ def attempt(call, attempts: int, wait):
 @dataclass(frozen=True)
 class Calling:
     """How the user's function is called: attempts for each text, growth of the wait between them,
-    texts in one call, and after how many failed texts in a row a task stops calling."""
+    texts in one call, and after how many texts in a row whose calls failed a task stops calling."""
 
     attempts: int
     backoff: float
@@ -71,10 +71,13 @@ class Caller:
 
     def _single(self, text: str) -> tuple:
         if self.refused >= self.calling.give_up_after:
-            return None, f"not sent after {self.refused} failures in a row"
+            return None, f"not sent after {self.refused} failed calls in a row"
+        answered = False
 
         def call():
+            nonlocal answered
             answer = self._ask([text])[0]
+            answered = True  # the service is up, whatever it says of this text
             if isinstance(answer, Exception):
                 raise answer
             if not isinstance(answer, str):
@@ -82,7 +85,7 @@ class Caller:
             return answer
 
         pair = attempt(call, self.calling.attempts, lambda n: self.calling.backoff**n)
-        self.refused = 0 if pair[1] is None else self.refused + 1
+        self.refused = 0 if answered else self.refused + 1
         return pair
 
 

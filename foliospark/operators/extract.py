@@ -11,6 +11,9 @@ from foliospark import constants as K
 from foliospark.operators import calls
 
 
+NO_LAYOUT = "no layout file"
+
+
 def extract_elements(
     files: DataFrame,
     fn: Callable,
@@ -43,6 +46,24 @@ def extract_elements(
     return rows.mapInArrow(task, schema)
 
 
+def opened_artifacts(docs: DataFrame, keep: tuple[str, ...], parallelism: int | None) -> DataFrame:
+    """The layout and Markdown files that a parser has left, in the columns of
+    :func:`extract_elements`. The tasks open them; a document without a layout file fails."""
+    rows = docs.select("doc_id", "layout_path", "markdown_path", *keep)
+    if parallelism:
+        rows = rows.repartition(parallelism)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    opened = rows.mapInArrow(
+        calls.open_texts({"layout_path": "layout_json", "markdown_path": "markdown"}),
+        f"{columns}, layout_json string, markdown string",
+    )
+    success = F.col("layout_json").isNotNull()
+    error = F.when(success, "").otherwise(NO_LAYOUT)
+    return opened.select(
+        "doc_id", "layout_json", "markdown", success.alias("success"), error.alias("error"), *keep
+    )
+
+
 # Extraction rule for web pages: tag to raw element type; ``a`` maps to a type outside the set.
 PAGE_TAGS = {
     "h1": "title",

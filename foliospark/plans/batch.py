@@ -164,7 +164,7 @@ def run_batch(
     spark: SparkSession,
     manifest: DataFrame,
     out: str,
-    extractor: Callable,
+    extractor: Callable | None,
     translator: Callable | None = None,
     target_lang: str = K.DEFAULT_TARGET_LANG,
     content: str | None = None,
@@ -177,23 +177,28 @@ def run_batch(
     system_prompt: str | None = None,
     export_to: str | None = None,
     texts_per_call: int = K.TEXTS_PER_CALL,
+    saved_events: DataFrame | None = None,
 ) -> BatchRun:
     """Bring every document of ``manifest`` (``doc_id, path, file, stem, mtime``) up to date.
 
     Only new, changed or unfinished stages run. ``content`` names a manifest column with the raw
     document; without it the extractor tasks open the files. A failed stage ends its document for
     this run, later stages keep their state. After a run with failed chunks only those chunks are
-    sent again. ``export_to`` is a folder for the documents translated by this run, a file each.
+    sent again. Without an ``extractor`` the manifest's ``layout_path`` and ``markdown_path`` name
+    what a parser has left; the files are opened by the tasks, for the documents that need it.
+    ``saved_events`` are stage events from elsewhere that count before all others. ``export_to`` is a folder for the documents translated by this run, a file each.
 
     The recorded state is folded once and written; later questions add this run's own events to
     it. Keys alone decide what is parsed. Raw documents and texts go through no shuffle, but for
     documents whose failed chunks are sent again, and an explicit ``parallelism``.
     """
     run_id, tables = new_run_id(), Tables(spark, out)
+    if saved_events is not None:
+        tables.append_events(saved_events, f"{run_id}-saved")
     version = tables.state_version()
-    columns = [F.col(c) for c in ("path", "file", "stem", "mtime")]
-    if "length" in manifest.columns:
-        columns.append(F.col("length"))
+    wanted = ("length",) if extractor else ("length", "layout_path", "markdown_path")
+    optional = [c for c in wanted if c in manifest.columns]
+    columns = [F.col(c) for c in ("path", "file", "stem", "mtime", *optional)]
     listed = tables.write(
         manifest.select(F.col("doc_id").cast("string").alias("doc_id"), *columns), "manifest", run_id
     )
@@ -202,11 +207,12 @@ def run_batch(
     first_run = recorded.isEmpty()
 
     def current() -> DataFrame:
-        events = recorded.unionByName(tables.events(only_run=run_id))
+        events = recorded.unionByName(tables.events(only_run=f"{run_id}-run"))
         return S.state_for(listed, S.latest_state(events, target_lang))
 
     def mark(docs: DataFrame, stage: str, status, error="") -> None:
-        tables.append_events(S.mark_stage(docs, stage, status, run_id, error, target_lang), run_id)
+        events = S.mark_stage(docs, stage, status, run_id, error, target_lang)
+        tables.append_events(events, f"{run_id}-run")
 
     def outcome_of(success):
         return F.when(success, K.DONE).otherwise(K.FAILED)
@@ -217,7 +223,7 @@ def run_batch(
         S.stage_needed(K.STAGE_LAYOUT).alias("layout_needed"),
         S.stage_needed(K.STAGE_TRANSLATE).alias("translate_needed"),
     ]
-    keys = ["path", "mtime", "stem", *[c for c in ("length",) if c in listed.columns]]
+    keys = ["path", "mtime", "stem", *optional]
     if content and first_run:
         docs = manifest.select(
             F.col("doc_id").cast("string").alias("doc_id"), "path", "mtime", "stem", content,
@@ -232,14 +238,15 @@ def run_batch(
         if content:
             raw = manifest.select(F.col("doc_id").cast("string").alias("doc_id"), content)
             docs, tasks = raw.join(_broadcast_if_small(docs), "doc_id"), parallelism
-    extracted = tables.write(
-        X.extract_elements(
-            docs, extractor, content=content, keep=("mtime", "stem", "layout_needed", "translate_needed"),
+    kept = ("mtime", "stem", "layout_needed", "translate_needed")
+    if extractor:
+        made = X.extract_elements(
+            docs, extractor, content=content, keep=kept,
             parallelism=tasks, max_attempts=max_attempts, wait_seconds=wait_seconds,
-        ),
-        "extracted",
-        run_id,
-    )
+        )
+    else:
+        made = X.opened_artifacts(docs, kept, tasks)
+    extracted = tables.write(made, "extracted", run_id)
     mark(extracted, K.STAGE_PARSE, outcome_of(F.col("success")), F.col("error"))
     parsed_now = extracted.filter("success")
 
@@ -391,10 +398,22 @@ def _sent_again(
 
 
 def run_files(
-    spark: SparkSession, path: str, out: str, extractor: Callable, recursive: bool = False, **options
+    spark: SparkSession,
+    path: str,
+    out: str,
+    extractor: Callable | None,
+    recursive: bool = False,
+    artifacts: str | None = None,
+    **options,
 ) -> BatchRun:
-    """:func:`run_batch` over PDF files; a folder without any is an error."""
+    """:func:`run_batch` over PDF files; a folder without any is an error.
+
+    Without an extractor, ``artifacts`` is the output folder a parser has filled.
+    """
     manifest = files.list_sources(spark, path, recursive)
     if manifest.isEmpty():
         raise ValueError(f"no PDF files under {path}")
+    if extractor is None:
+        listing = files.list_files(spark, artifacts, folders=True)
+        manifest = files.resolve_artifacts(manifest, listing, artifacts)
     return run_batch(spark, manifest, out, extractor, **options)

@@ -184,8 +184,42 @@ outcomes AS (
 NEEDED = "status <> 'done' OR mtime > source_mtime"
 
 
+RUN = rf"""paras AS (
+              SELECT url, string_agg(inner_text, chr(10) || chr(10) ORDER BY i) AS markdown
+              FROM (SELECT url,
+                           unnest(regexp_extract_all(html, {PATTERN}, 1)) AS tag,
+                           unnest(regexp_extract_all(html, {PATTERN}, 3)) AS inner_text,
+                           generate_subscripts(regexp_extract_all(html, {PATTERN}, 1), 1) AS i
+                    FROM pages)
+              WHERE tag = 'p' GROUP BY url
+            ),
+            split AS (
+              SELECT url, unnest(string_split(markdown, chr(10) || chr(10))) AS p,
+                     generate_subscripts(string_split(markdown, chr(10) || chr(10)), 1) AS i
+              FROM paras
+            ),
+            fold AS (
+              SELECT url, i, length(p) AS running, 0 AS chunk_idx FROM split WHERE i = 1
+              UNION ALL
+              SELECT f.url, n.i,
+                     CASE WHEN f.running + length(n.p) > {K.MAX_CHARS} THEN length(n.p) ELSE f.running + length(n.p) END,
+                     CASE WHEN f.running + length(n.p) > {K.MAX_CHARS} THEN f.chunk_idx + 1 ELSE f.chunk_idx END
+              FROM fold f JOIN split n ON n.url = f.url AND n.i = f.i + 1
+            ),
+            refused AS (
+              SELECT f.url, count(DISTINCT f.chunk_idx) AS n
+              FROM fold f JOIN split s ON s.url = f.url AND s.i = f.i WHERE contains(s.p, 'ß') GROUP BY f.url
+            ),
+            facts AS (
+              SELECT p.url, p.url LIKE '%.html' AS no_parse, p.url LIKE '%#top' AS no_layout,
+                     p.url LIKE '%/' OR m.markdown IS NULL OR {strip("m.markdown")} = '' AS no_markdown,
+                     coalesce(r.n, 0) AS n
+              FROM pages p LEFT JOIN paras m USING (url) LEFT JOIN refused r USING (url)
+            )"""
+
+
 def statements() -> dict[str, str]:
-    return {
+    found = {
         "elements_from_pages": f"WITH {ELEMENTS} SELECT {FLAT} FROM elements",
         "element_metadata": f"""WITH {ELEMENTS}
             SELECT page_id, elem_idx, 'img_path' AS key, img_path AS value FROM elements WHERE img_path IS NOT NULL
@@ -252,9 +286,7 @@ def statements() -> dict[str, str]:
         "translate_markdown": f"""WITH RECURSIVE {CHUNKS},
             results AS (SELECT doc_id, chunk_idx, chunk, {translated("chunk")} FROM chunks),
             whole AS (
-              SELECT doc_id, string_agg(CASE WHEN success THEN translated ELSE chunk END, chr(10) || chr(10)
-                                        ORDER BY chunk_idx) AS doubled,
-                     string_agg(CASE WHEN success THEN translated ELSE chunk END, chr(10) ORDER BY chunk_idx) AS content,
+              SELECT doc_id, string_agg(CASE WHEN success THEN translated ELSE chunk END, chr(10) ORDER BY chunk_idx) AS content,
                      CAST(count(*) AS INTEGER) AS n_chunks,
                      CAST(count(*) FILTER (WHERE NOT success) AS INTEGER) AS n_failed_chunks
               FROM results GROUP BY doc_id)
@@ -310,39 +342,7 @@ def statements() -> dict[str, str]:
         "batch_details": f"""WITH {STATE}
             SELECT doc_id || '.pdf' AS file, success, parse_error AS error, outcome,
                    layout AS layout_status, translate_error FROM outcomes""",
-        "batch_run": rf"""
-            WITH RECURSIVE paras AS (
-              SELECT url, string_agg(inner_text, chr(10) || chr(10) ORDER BY i) AS markdown
-              FROM (SELECT url,
-                           unnest(regexp_extract_all(html, {PATTERN}, 1)) AS tag,
-                           unnest(regexp_extract_all(html, {PATTERN}, 3)) AS inner_text,
-                           generate_subscripts(regexp_extract_all(html, {PATTERN}, 1), 1) AS i
-                    FROM pages)
-              WHERE tag = 'p' GROUP BY url
-            ),
-            split AS (
-              SELECT url, unnest(string_split(markdown, chr(10) || chr(10))) AS p,
-                     generate_subscripts(string_split(markdown, chr(10) || chr(10)), 1) AS i
-              FROM paras
-            ),
-            fold AS (
-              SELECT url, i, length(p) AS running, 0 AS chunk_idx FROM split WHERE i = 1
-              UNION ALL
-              SELECT f.url, n.i,
-                     CASE WHEN f.running + length(n.p) > {K.MAX_CHARS} THEN length(n.p) ELSE f.running + length(n.p) END,
-                     CASE WHEN f.running + length(n.p) > {K.MAX_CHARS} THEN f.chunk_idx + 1 ELSE f.chunk_idx END
-              FROM fold f JOIN split n ON n.url = f.url AND n.i = f.i + 1
-            ),
-            refused AS (
-              SELECT f.url, count(DISTINCT f.chunk_idx) AS n
-              FROM fold f JOIN split s ON s.url = f.url AND s.i = f.i WHERE contains(s.p, 'ß') GROUP BY f.url
-            ),
-            facts AS (
-              SELECT p.url, p.url LIKE '%.html' AS no_parse, p.url LIKE '%#top' AS no_layout,
-                     p.url LIKE '%/' OR m.markdown IS NULL OR {strip("m.markdown")} = '' AS no_markdown,
-                     coalesce(r.n, 0) AS n
-              FROM pages p LEFT JOIN paras m USING (url) LEFT JOIN refused r USING (url)
-            )
+        "batch_run": f"""WITH RECURSIVE {RUN}
             SELECT url AS path,
                    NOT (no_parse OR no_layout OR (n > 0 AND NOT no_markdown)) AS success,
                    CASE WHEN no_parse THEN 'cannot open page' WHEN no_layout THEN {quote(LAYOUT_ERROR)}
@@ -355,4 +355,77 @@ def statements() -> dict[str, str]:
                         WHEN n > 0 THEN 'failed' ELSE 'done' END AS translate,
                    CASE WHEN no_parse THEN 1 WHEN no_layout OR no_markdown THEN 2 ELSE 3 END AS stages_run
             FROM facts""",
+        "batch_run_elements": f"""WITH {ELEMENTS}
+            SELECT sha256(url) AS doc_id, elem_idx, element_type, coalesce(text, '') AS text, page_idx,
+                   CAST(elem_idx AS DOUBLE) AS x, CAST(0.5 AS DOUBLE) AS y, 2 AS n_bbox
+            FROM elements WHERE NOT (url LIKE '%.html' OR url LIKE '%#top')""",
+        "batch_run_summary": f"""WITH RECURSIVE {RUN},
+            o AS (SELECT CASE WHEN no_parse OR no_layout OR (n > 0 AND NOT no_markdown) THEN 'failed'
+                              WHEN no_markdown THEN 'skipped' ELSE 'success' END AS outcome FROM facts)
+            SELECT count(*) AS total, count(*) FILTER (WHERE outcome = 'success') AS success,
+                   count(*) FILTER (WHERE outcome = 'skipped') AS skipped,
+                   count(*) FILTER (WHERE outcome = 'failed') AS failed,
+                   count(*) FILTER (WHERE outcome = 'failed') = 0 AS ok FROM o""",
+        "batch_run_markdown": f"""WITH RECURSIVE {RUN},
+            pieces AS (
+              SELECT f.url, f.chunk_idx, string_agg(s.p, chr(10) || chr(10) ORDER BY s.i) AS chunk
+              FROM fold f JOIN split s ON s.url = f.url AND s.i = f.i GROUP BY f.url, f.chunk_idx
+            ),
+            results AS (SELECT url, chunk_idx, chunk, {translated("chunk")} FROM pieces),
+            whole AS (
+              SELECT url, string_agg(CASE WHEN success THEN translated ELSE chunk END, chr(10) || chr(10)
+                                     ORDER BY chunk_idx) AS content,
+                     CAST(count(*) FILTER (WHERE NOT success) AS INTEGER) AS n_failed_chunks
+              FROM results GROUP BY url
+            )
+            SELECT sha256(url) AS doc_id, 'p' || page_id || '_en.md' AS out_name, n_failed_chunks, content
+            FROM whole JOIN facts USING (url) JOIN pages USING (url)
+            WHERE NOT (no_parse OR no_layout OR no_markdown)""",
+        # Later runs: what failed to open opens, nothing is refused, every fifth page has changed.
+        "batch_rerun": f"""WITH RECURSIVE {RUN},
+            again AS (
+              SELECT url, page_id % 5 = 0 OR no_parse AS parsed, no_layout,
+                     (url LIKE '%/' OR m.markdown IS NULL OR {strip("m.markdown")} = '') AS no_markdown, n
+              FROM facts JOIN pages USING (url) LEFT JOIN paras m USING (url)
+            )
+            SELECT 2 AS run_no, url AS path, NOT no_layout AS success,
+                   CASE WHEN no_layout THEN 'failed' WHEN no_markdown THEN 'skipped' ELSE 'success' END AS outcome,
+                   CASE WHEN no_layout THEN 1 WHEN parsed THEN 2 ELSE 0 END
+                     + CASE WHEN parsed AND no_layout THEN 1
+                            WHEN no_layout OR no_markdown THEN 0
+                            WHEN parsed OR n > 0 THEN 1 ELSE 0 END AS stages_run
+            FROM again
+            UNION ALL
+            SELECT 3, url, NOT no_layout,
+                   CASE WHEN no_layout THEN 'failed' WHEN no_markdown THEN 'skipped' ELSE 'success' END,
+                   CASE WHEN no_layout OR NOT no_markdown THEN 1 ELSE 0 END
+            FROM again""",
+        "source_files": """SELECT page_id, 'p' || page_id || '.PDF' AS file,
+            replace(regexp_extract(url, '//([^/]+)', 1), '.', '/') AS host, strlen(html) AS length FROM pages""",
+        "artifact_files": f"""WITH {ELEMENTS}
+            SELECT p.page_id, {PAGE_OK.replace("url", "p.url")} AS success,
+                   CASE WHEN {PAGE_OK.replace("url", "p.url")} THEN '' ELSE {quote(LAYOUT_ERROR)} END AS error,
+                   p.url AS markdown,
+                   count(e.elem_idx) AS total_elements,
+                   CASE WHEN p.url LIKE '%.html' THEN 0 ELSE coalesce(max(e.page_idx) + 1, 0) END AS page_count,
+                   count(*) FILTER (WHERE e.element_type IN {TRANSLATABLE}) AS translatable_count
+            FROM pages p LEFT JOIN (SELECT * FROM elements WHERE {PAGE_OK}) e USING (page_id)
+            GROUP BY p.page_id, p.url""",
+        "markdown_files": "SELECT doc_id, text AS content FROM documents",
+        "summary_files": SUMMARY,
+        "translated_files": f"""WITH RECURSIVE {CHUNKS},
+            results AS (SELECT doc_id, chunk_idx, chunk, {translated("chunk")} FROM chunks),
+            whole AS (SELECT doc_id, string_agg(CASE WHEN success THEN translated ELSE chunk END, chr(10)
+                                                ORDER BY chunk_idx) AS content FROM results GROUP BY doc_id)
+            SELECT 's' || (doc_id // 4) || '_en.md' AS file,
+                   CASE WHEN {strip("d.text")} = '' THEN d.text ELSE w.content END AS content
+            FROM documents d LEFT JOIN whole w USING (doc_id)""",
+        "result_files": CHUNK_RESULTS,
+        "saved_state_files": f"WITH {STATE} SELECT doc_id, stage, status, error FROM state",
+        "run_from_artifacts": f"""SELECT page_id, {PAGE_OK} AS success,
+            CASE WHEN {PAGE_OK} THEN '' ELSE {quote(LAYOUT_ERROR)} END AS error,
+            CASE WHEN {PAGE_OK} THEN 'success' ELSE 'failed' END AS outcome,
+            CASE WHEN {PAGE_OK} THEN 3 ELSE 2 END AS stages_run FROM pages""",
     }
+    found["stream_markdown"] = found["translate_markdown"]
+    return found

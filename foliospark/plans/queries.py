@@ -15,15 +15,17 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions import text as T
+from foliospark.operators import calls
 from foliospark.operators import chunks as C
 from foliospark.operators import elements as E
 from foliospark.operators import extract as X
 from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
-from foliospark.plans.batch import run_batch
+from foliospark.plans.batch import run_batch, run_files
 from foliospark.session import shared_path
 from foliospark.sources import files, sinks
+from foliospark.streaming.markdown import translate_new_files
 
 # The paragraphs of the given documents are separated by single line breaks.
 LINE = "\n"
@@ -511,10 +513,9 @@ def batch_details(spark, folder):
     )
 
 
-def batch_run(spark, folder):
-    """A whole run over the pages: extraction, layout, translation, state and report."""
+def page_manifest(spark: SparkSession, folder: str) -> DataFrame:
     url = F.col("url")
-    manifest = table(spark, folder, "pages").select(
+    return table(spark, folder, "pages").select(
         P.document_id(url).alias("doc_id"),
         url.alias("path"),
         P.file_name(url).alias("file"),
@@ -523,16 +524,23 @@ def batch_run(spark, folder):
         F.octet_length("html").cast("bigint").alias("length"),
         F.encode("html", "utf-8").alias("content"),
     )
-    run = run_batch(
+
+
+def page_run(spark: SparkSession, folder: str):
+    return run_batch(
         spark,
-        manifest,
+        page_manifest(spark, folder),
         shared_path(spark, "batch-run"),
         _bytes_extractor,
         translator,
         content="content",
         max_attempts=1,
     )
-    return run.details.select(
+
+
+def batch_run(spark, folder):
+    """A whole run over the pages: extraction, layout, translation, state and report."""
+    return page_run(spark, folder).details.select(
         "path",
         "success",
         "error",
@@ -545,7 +553,203 @@ def batch_run(spark, folder):
 
 
 def _bytes_extractor(path, content):
-    return page_extractor(path, content.decode("utf-8"))
+    elements, markdown = page_extractor(path, content.decode("utf-8"))
+    if isinstance(elements, list):
+        for i, element in enumerate(elements):
+            element["bbox"] = [i, 0.5]
+    return elements, markdown
+
+
+def batch_run_elements(spark, folder):
+    """The elements that a run has written, boxes included."""
+    run = page_run(spark, folder)
+    rows = spark.read.parquet(run.tables.path("elements", run.run_id)).filter("elem_idx IS NOT NULL")
+    return rows.select(
+        "doc_id", "elem_idx", "element_type", "text", "page_idx",
+        F.col("bbox")[0].alias("x"), F.col("bbox")[1].alias("y"), F.size("bbox").alias("n_bbox"),
+    )
+
+
+def batch_run_summary(spark, folder):
+    """The total of a run, read back from its JSON file."""
+    run = page_run(spark, folder)
+    schema = "total BIGINT, success BIGINT, skipped BIGINT, failed BIGINT, ok BOOLEAN"
+    return spark.read.schema(schema).json(run.tables.path("batch_summary", run.run_id))
+
+
+def batch_run_markdown(spark, folder):
+    """The translated documents that a run has written."""
+    run = page_run(spark, folder)
+    rows = spark.read.parquet(run.tables.path("translated_markdown", run.run_id))
+    return rows.select("doc_id", "out_name", F.col("n_failed_chunks").cast("int").alias("n_failed_chunks"), "content")
+
+
+def _later_extractor(path, content):
+    """What failed to open before opens now."""
+    return _bytes_extractor(path.removesuffix(".html"), content)
+
+
+def _later_translator(texts, prompt):
+    return [f"[later] {t}" for t in texts]
+
+
+def batch_rerun(spark, folder):
+    """Two later runs: after a fifth of the sources changed and what failed works, and in a second
+    language. The state is compacted in between."""
+    first = page_run(spark, folder)
+    out = first.tables.out
+    first.tables.compact()
+    changed = (F.substr("stem", F.lit(2)).cast("bigint") % 5) == 0
+    manifest = page_manifest(spark, folder).withColumn(
+        "mtime", F.when(changed, F.lit("2024-06-01").cast("timestamp")).otherwise(F.col("mtime"))
+    )
+    runs = []
+    for number, lang in ((2, K.DEFAULT_TARGET_LANG), (3, "中文")):
+        run = run_batch(
+            spark, manifest, out, _later_extractor, _later_translator, lang, content="content", max_attempts=1
+        )
+        runs.append(run.details.select(F.lit(number).alias("run_no"), "path", "success", "outcome", "stages_run"))
+        run.tables.compact()
+    return runs[0].unionByName(runs[1])
+
+
+# Round trips through files in the shared folder.
+
+
+def written_files(spark: SparkSession, name: str, docs: DataFrame) -> str:
+    """A fresh folder with one file per row of ``docs`` (``out_name``, ``content``)."""
+    root = shared_path(spark, name)
+    docs.select("out_name", "content").foreachPartition(calls.write_files(root, False))
+    return root
+
+
+def page_files(spark: SparkSession, folder: str, html: bool, artifacts: bool) -> str:
+    """Sources below ``in``, in folders by host, and what a parser leaves of them below ``out``."""
+    pages = table(spark, folder, "pages")
+    stem = F.format_string("p%d", "page_id")
+    host = F.regexp_replace(F.regexp_extract("url", "//([^/]+)", 1), r"\.", "/")
+    parts = []
+    if html:
+        parts.append(pages.select(F.concat(F.lit("in/"), host, F.lit("/"), stem, F.lit(".PDF")).alias("out_name"), F.col("html").alias("content")))
+    if artifacts:
+        json = page_json(pages).withColumn("stem", stem)
+        parts.append(json.select(
+            F.concat(F.lit("out/"), "stem", F.lit("/auto/"), "stem", F.lit("_content_list.json")).alias("out_name"),
+            F.col("layout_json").alias("content"),
+        ))
+        parts.append(pages.select(
+            F.concat(F.lit("out/"), stem, F.lit("/auto/"), stem, F.lit(".md")).alias("out_name"),
+            F.col("url").alias("content"),
+        ))
+    docs = parts[0]
+    for part in parts[1:]:
+        docs = docs.unionByName(part)
+    return written_files(spark, "page-files", docs)
+
+
+def page_id_of(stem: Column) -> Column:
+    return F.substr(stem, F.lit(2)).cast("bigint")
+
+
+def source_files(spark, folder):
+    """Source files of all folders, found again and put in path order."""
+    root = page_files(spark, folder, html=True, artifacts=False)
+    found = files.in_path_order(files.list_sources(spark, f"{root}/in", recursive=True))
+    inner = re.sub(r"^file:/*", "/", root)
+    return found.select(
+        page_id_of(F.col("stem")).alias("page_id"),
+        "file",
+        F.substr(P.parent(F.col("path")), F.lit(len(f"{inner}/in/") + 1)).alias("host"),
+        "length",
+    )
+
+
+def artifact_files(spark, folder):
+    """Layout and Markdown files, resolved, opened and summarised."""
+    root = page_files(spark, folder, html=True, artifacts=True)
+    manifest = files.list_sources(spark, f"{root}/in", recursive=True)
+    found = files.read_artifacts(spark, manifest, f"{root}/out")
+    parsed = E.parse_layout(found.withColumn("page_id", page_id_of(F.col("stem"))))
+    keys = ["page_id", "success", "error", "markdown"]
+    summary = E.document_summary(E.normalise(E.raw_elements(parsed, keys, outer=True), keys), keys)
+    return summary.select(*keys, "total_elements", "page_count", "translatable_count")
+
+
+def markdown_files(spark, folder):
+    docs = documents(spark, folder).withColumn("out_name", F.format_string("%d/d%d.md", F.col("doc_id") % 7, "doc_id"))
+    root = written_files(spark, "markdown-files", docs)
+    found = files.read_markdown(spark, root)
+    return found.select(page_id_of(P.stem(F.col("path"))).alias("doc_id"), "content")
+
+
+def summary_files(spark, folder):
+    raw = X.elements_from_html(table(spark, folder, "pages"), ["page_id"], outer=True)
+    summary = E.document_summary(E.normalise(raw, ["page_id"]), ["page_id"])
+    path = shared_path(spark, "summary-files")
+    sinks.write_summaries(summary, path, "json")
+    return summary_columns(spark.read.schema(summary.schema).json(path))
+
+
+def translated_files(spark, folder):
+    """Translated documents, exported as files and read back; four documents share each stem."""
+    docs = TR.translate_markdown(documents(spark, folder), translator, separator=LINE, max_attempts=1)
+    docs = sinks.with_output_name(docs.withColumn("stem", F.format_string("s%d", F.floor(F.col("doc_id") / 4))))
+    root = shared_path(spark, "translated-files")
+    sinks.export_markdown(docs, root)
+    found = files.read_markdown(spark, root)
+    return found.select(P.file_name(F.col("path")).alias("file"), "content")
+
+
+def result_files(spark, folder):
+    results = TR.translate_table(document_chunks(spark, folder), translator, max_attempts=1)
+    path = shared_path(spark, "result-files")
+    sinks.write_results(results, path)
+    schema = "doc_id BIGINT, index INT, original STRING, translated STRING, success BOOLEAN, error STRING"
+    rows = spark.read.schema(schema).option("maxStringLen", str(2**31 - 1)).json(path)
+    return rows.withColumnRenamed("index", "chunk_idx")
+
+
+def saved_state_files(spark, folder):
+    """The state of every document as a JSON file, imported as stage events."""
+    whole = S.overview(state(spark, folder)).select(
+        F.format_string("%s/state.json", "doc_id").alias("out_name"),
+        F.to_json(
+            F.struct(
+                F.col("path").alias("source_path"),
+                (F.unix_micros("source_mtime") / 1000000).alias("source_mtime"),
+                "stages",
+            )
+        ).alias("content"),
+    )
+    root = written_files(spark, "state-files", whole)
+    manifest = source_manifest(spark, folder).select("doc_id", "path")
+    return files.read_saved_state(spark, manifest, root).select("doc_id", "stage", "status", "error")
+
+
+def run_from_artifacts(spark, folder):
+    """A run over folders that a parser has already filled."""
+    root = page_files(spark, folder, html=True, artifacts=True)
+    run = run_files(
+        spark, f"{root}/in", f"{root}/tables", None, recursive=True, artifacts=f"{root}/out",
+        translator=_later_translator, max_attempts=1,
+    )
+    return run.details.select(
+        page_id_of(P.stem(F.col("path"))).alias("page_id"), "success", "error", "outcome", "stages_run"
+    )
+
+
+def stream_markdown(spark, folder):
+    """Markdown files translated by the streaming query, as they lie in its output."""
+    docs = documents(spark, folder).withColumn("out_name", F.format_string("d%d.md", "doc_id"))
+    root = written_files(spark, "stream-files", docs)
+    out = shared_path(spark, "stream-out")
+    query = translate_new_files(
+        spark, root, out, shared_path(spark, "stream-state"), translator, separator=LINE, max_attempts=1
+    )
+    query.awaitTermination()
+    schema = "stem STRING, content STRING, n_chunks INT, n_failed_chunks INT"
+    rows = spark.read.schema(schema).parquet(out)
+    return rows.select(page_id_of(F.col("stem")).alias("doc_id"), "content", "n_chunks", "n_failed_chunks")
 
 
 QUERIES = {
@@ -588,5 +792,18 @@ QUERIES = {
         batch_totals,
         batch_details,
         batch_run,
+        batch_run_elements,
+        batch_run_summary,
+        batch_run_markdown,
+        batch_rerun,
+        source_files,
+        artifact_files,
+        markdown_files,
+        summary_files,
+        translated_files,
+        result_files,
+        saved_state_files,
+        run_from_artifacts,
+        stream_markdown,
     )
 }

@@ -92,7 +92,9 @@ def test_calls_are_bounded():
     # A service that is down is not asked for every text.
     sizes.clear()
     found = answers(some, ["bad"] * 50, give_up_after=3)
-    assert len(sizes) == 3 and found[-1] == (None, "not sent after 3 failures in a row")
+    assert len(sizes) == 3 and found[-1] == (None, "not sent after 3 failed calls in a row")
+    # Refusing texts is an answer.
+    assert {e for _, e in answers(lambda t, p: [ValueError("no")] * len(t), ["x"] * 50)} == {"no"}
 
 
 def test_prompts(spark):
