@@ -1,5 +1,103 @@
-"""DuckDB statements for the queries of this package that SQL can express."""
+"""DuckDB statements for the queries of this package that SQL can express.
+
+The others rest on bounded-error matching, learned models, checksums of tokens, alignments or
+BPE merges; they are tested against plain versions in ``tests/llm``.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from foliospark.llm.common import WORD
+from foliospark.llm.queries import PROBE
+
+UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+
+def words(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), {UPPER}, {LOWER}), '{WORD}')"
+
+
+OP3 = rf"""
+WITH docs AS (SELECT doc_id, {words("text")} AS w FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {words("text")} AS w FROM benchmark
+),
+cut AS (
+  SELECT item, w, least(10, len(w)) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+  FROM items WHERE len(w) > 0
+),
+windows AS (SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win FROM cut),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs JOIN sizes ON len(w) >= n
+),
+hits AS (
+  SELECT p.doc_id, p.i, p.n, x.item
+  FROM places p JOIN windows x ON x.n = p.n AND x.win = array_to_string(list_slice(p.w, p.i, p.i + p.n - 1), ' ')
+),
+marked AS (
+  SELECT doc_id, count(DISTINCT word_no) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS word_no FROM hits) GROUP BY doc_id
+),
+owners AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(m.n_hit, 0) AS n_hit, coalesce(o.n_items, 0) AS n_items,
+       sha256(coalesce(o.names, '')) AS items_sha256, m.n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN marked m USING (doc_id) LEFT JOIN owners o USING (doc_id)"""
+
+
+def escaped(text: str) -> str:
+    return rf"replace(replace({text}, '\', '\\'), '<|', '<\|')"
+
+
+# A block costs its start mark, role and line break, and its end mark; another turn of the
+# block costs one mark.
+OP8 = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'
+),
+marked AS (
+  SELECT *, role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS opens
+  FROM turns
+),
+wide AS (
+  SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+         sum(length({escaped("text")})
+             + CASE WHEN opens THEN length('<|im_start|>') + length({escaped("role")}) + 1 + length('<|im_end|>') + 1
+                    ELSE length('<|im_next|>') END) AS formatted_chars
+  FROM marked GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+       CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM wide"""
+
+
+def nibble(at: str) -> str:
+    return f"(strpos('0123456789abcdef', substr(h, {at}, 1)) - 1)"
+
+
+# Five bits of the digest at a time, from two of its hex digits.
+OP10 = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((({nibble("5 * k // 4 + 1")} * 16 + {nibble("5 * k // 4 + 2")})
+                 // CAST(pow(2, 3 - (5 * k) % 4) AS BIGINT)) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+       true AS intact
+FROM f"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": OP3,
+    "op8_chat_format": OP8,
+    "op10_warc": OP10,
+}

@@ -176,7 +176,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.build_archives(read(spark, sf_dir, "pages")).write.parquet(path)
     schema = T._parse_datatype_string(warc.ARCHIVES)
     archives = spark.read.schema(schema).parquet(path)
-    return warc.read_archives(archives, with_payload=False).drop("url", "payload")
+    records = warc.read_archives(archives, with_payload=False)
+    return records.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        F.col("problem").isNull().alias("intact"),
+    )
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

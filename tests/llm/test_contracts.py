@@ -9,6 +9,8 @@ from tokenizers import Tokenizer
 from foliospark.llm import bpe, chat_format, decontaminate, license_scan, pii, quality_rules
 from foliospark.llm import queries as Q
 from foliospark.llm import secret_scan, warc
+from foliospark.llm.oracle import ORACLE_SQL
+from tests.compare import connect, difference
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -146,7 +148,7 @@ def test_very_long_texts(spark):
     df = spark.createDataFrame(rows, "doc_id int, text string").withColumn("lang", F.lit("en"))
     found = pii.find_pii(df).select("doc_id", F.size("spans").alias("n"))
     counts = {r.doc_id: r.n for r in found.collect()}
-    assert (counts[0], counts[2], counts[7]) == (0, 62_500, 1)
+    assert (counts[0], counts[2], counts[7]) == (0, 125_000, 1)
     path = Q.vocabulary_path()
     for made in (
         license_scan.scan_licenses(df),
@@ -281,7 +283,7 @@ def test_warc_of_the_table(spark):
     assert set(rows) == set(want)
     for page, expected in want.items():
         assert {k: rows[page][k] for k in expected} == expected
-        assert rows[page]["problem"] is None
+        assert rows[page]["intact"]
 
 
 def test_warc_of_odd_pages(spark):
@@ -324,3 +326,8 @@ def test_broken_archives(spark):
     assert problems["noise"][0] is None and problems["noise"][1].startswith("error")
     assert problems["spoiled"] == ["payload digest differs", None]
     assert problems["none"] == problems["null"] == []
+
+
+@pytest.mark.parametrize("name", list(ORACLE_SQL))
+def test_sql(spark, name):
+    assert difference(Q.QUERIES[name](spark, SMALL), connect(SMALL), ORACLE_SQL[name]) is None
