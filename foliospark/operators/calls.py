@@ -153,8 +153,8 @@ def locate(path: str):
     return filesystem, f"{base}/{inner}", f"{scheme}://{authority}" if not base else f"{scheme}://"
 
 
-def list_folders(recursive: bool):
-    """``mapInArrow`` function that replaces folders by what lies in them; files pass through."""
+def list_folders():
+    """``mapInArrow`` function that replaces folders by what lies right in them; files pass."""
     import pyarrow as pa
     from pyarrow import fs
 
@@ -168,7 +168,7 @@ def list_folders(recursive: bool):
             yield pa.RecordBatch.from_arrays(files.columns, schema=schema)
             for row in batch.filter(batch.column("folder")).to_pylist():
                 filesystem, inner, prefix = locate(row["path"])
-                found = filesystem.get_file_info(fs.FileSelector(inner, recursive=recursive))
+                found = filesystem.get_file_info(fs.FileSelector(inner))
                 for start in range(0, len(found), 10_000):
                     part = found[start : start + 10_000]
                     yield pa.RecordBatch.from_arrays(

@@ -1,8 +1,7 @@
 """Layout elements: normalisation, filters and per-document summaries.
 
-``raw`` tables hold one row per element with the columns of
-:data:`foliospark.schemas.RAW_ELEMENT_COLUMNS` plus the document key and ``elem_idx``, the reading
-order. ``elements`` tables are their normalised form.
+``raw`` tables hold one row per element: the document key, ``elem_idx`` (the reading order) and the
+fields as :func:`raw_elements` reads them. ``elements`` tables are their normalised form.
 """
 
 from __future__ import annotations

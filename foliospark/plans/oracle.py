@@ -401,7 +401,7 @@ def statements() -> dict[str, str]:
                    CASE WHEN no_layout OR NOT no_markdown THEN 1 ELSE 0 END
             FROM again""",
         "source_files": """SELECT page_id, 'p' || page_id || '.PDF' AS file,
-            replace(regexp_extract(url, '//([^/]+)', 1), '.', '/') AS host, strlen(html) AS length FROM pages""",
+            replace(regexp_extract(url, '//([^/]+)', 1), '.', '/') AS host, strlen(html) AS length, true AS in_order FROM pages""",
         "artifact_files": f"""WITH {ELEMENTS}
             SELECT p.page_id, {PAGE_OK.replace("url", "p.url")} AS success,
                    CASE WHEN {PAGE_OK.replace("url", "p.url")} THEN '' ELSE {quote(LAYOUT_ERROR)} END AS error,

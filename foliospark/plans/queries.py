@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliospark import constants as K
@@ -652,15 +652,19 @@ def page_id_of(stem: Column) -> Column:
 
 
 def source_files(spark, folder):
-    """Source files of all folders, found again and put in path order."""
+    """Source files of all folders, found again and put in path order. ``in_order`` compares each
+    file with the one before it in its sorted partition."""
     root = page_files(spark, folder, html=True, artifacts=False)
-    found = files.in_path_order(files.list_sources(spark, f"{root}/in", recursive=True))
     inner = re.sub(r"^file:/*", "/", root)
-    return found.select(
+    found = files.in_path_order(files.list_sources(spark, f"{root}/in", recursive=True))
+    placed = found.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    before = F.lag(P.path_order(F.col("path"))).over(Window.partitionBy("part").orderBy("at"))
+    return placed.select(
         page_id_of(F.col("stem")).alias("page_id"),
         "file",
         F.substr(P.parent(F.col("path")), F.lit(len(f"{inner}/in/") + 1)).alias("host"),
         "length",
+        (before.isNull() | (before <= P.path_order(F.col("path")))).alias("in_order"),
     )
 
 

@@ -1,19 +1,5 @@
 """Explicit schemas of the tables; nothing is ever inferred."""
 
-# Raw layout elements, one row per element, before normalisation.
-RAW_ELEMENT_COLUMNS = (
-    "type",
-    "text",
-    "table_body",
-    "page_idx",
-    "bbox",
-    "img_path",
-    "table_caption",
-    "table_footnote",
-    "text_level",
-    "level",
-)
-
 STAGE_EVENTS = (
     "doc_id STRING, stage STRING, target_lang STRING, status STRING, ts TIMESTAMP, "
     "error STRING, source_mtime TIMESTAMP, run_id STRING"

@@ -14,7 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Repeated keys in a layout file: the last one counts.
+    # Repeated keys in a saved state file: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Python workers get batches bounded in bytes: rows here are whole texts.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),

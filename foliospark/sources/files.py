@@ -39,7 +39,7 @@ def list_files(
     top = filesystem.get_file_info(inner)
     row = (prefix + inner, top.type.name == "Directory", (top.mtime_ns or 0) // 1000, top.size or 0)
     found = spark.createDataFrame([row], schema)
-    level = found.mapInArrow(list_folders(False), schema)
+    level = found.mapInArrow(list_folders(), schema)
     if recursive:
         work, depth = shared_path(spark, "listing"), 0
         tasks = spark.sparkContext.defaultParallelism * 4
@@ -48,7 +48,7 @@ def list_files(
             below = spark.read.schema(schema).parquet(f"{work}/depth={depth}").filter("folder")
             if below.isEmpty():
                 break
-            level = below.repartition(tasks).mapInArrow(list_folders(False), schema)
+            level = below.repartition(tasks).mapInArrow(list_folders(), schema)
             depth += 1
         level = spark.read.schema(schema).parquet(*[f"{work}/depth={d}" for d in range(depth + 1)])
     if not folders:
