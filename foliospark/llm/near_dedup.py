@@ -8,7 +8,10 @@ as the wanted similarity allows.
 
 Exact copies become one node before anything else. Nodes that share a sketch are first compared with
 one centre per sketch only, the member with the most company, which settles groups of any size in
-linear work. Sketches whose members are then still of several classes are compared in full.
+linear work. Where members of a sketch are then still of several classes, all pairs between classes are
+compared: few classes by joining them, many classes (documents around a passage that many
+share) in blocks, whose shingles are matched exactly inside the tasks, so that only
+pairs that reach the similarity ever become rows.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ class Settings:
     similarity: float = 0.8
     sketches: int = 24
     picks: int = 4
+    joined_classes: int = 16  # up to so many classes in a sketch are compared by a join
+    block: int = 512  # documents of a block of those with more
 
 
 MASK = (1 << 64) - 1
@@ -298,18 +303,22 @@ def near_groups(
     links = written(_verified(keyed, nodes, first, settings), "first-links")
     classes = written(components(spark, links, f"{work}/first"), "first-classes")
 
-    # Sketches with members of several classes: all pairs between classes that share two sketches.
+    # Sketches with members of several classes.
     known = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = (
-        known.groupBy("bucket")
-        .agg(F.min("label").alias("l"), F.max("label").alias("m"))
-        .filter("l < m")
-        .select("bucket")
+        known.groupBy("bucket", "label")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("classes"))
+        .filter("classes > 1")
     )
-    several = written(known.join(mixed, "bucket").select("bucket", "node", "n", "label"), "mixed")
-    left = several.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    right = several.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
-    rest = written(
+    several = written(known.join(mixed, "bucket").select("bucket", "node", "n", "label", "classes"), "mixed")
+
+    # Few classes: pairs between them that share two such sketches.
+    few = several.filter(F.col("classes") <= settings.joined_classes)
+    left = few.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
+    right = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
+    joined = (
         left.join(right, "bucket")
         .filter("a > b and al != bl")
         .filter(comparable("an", "bn"))
@@ -317,9 +326,13 @@ def near_groups(
         .count()
         .filter("count > 1")
         .select("a", "b")
-        .join(first, ["a", "b"], "left_anti"),
-        "rest-pairs",
     )
+    # Many classes: everything that such sketches connect is one cluster, compared in blocks.
+    many = several.filter(F.col("classes") > settings.joined_classes)
+    rest = joined
+    if not many.isEmpty():
+        rest = joined.unionByName(_pairs_in_blocks(keyed, nodes, many, settings, work)).distinct()
+    rest = written(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
     more = written(_verified(keyed, nodes, rest, settings), "rest-links")
     if not more.isEmpty():
         classes = components(spark, links.unionByName(more), f"{work}/rest")
@@ -337,6 +350,99 @@ def near_groups(
     )
 
 
+def sequencer(settings: Settings):
+    shingles = Shingler(settings.shingle)
+    return lambda text: (labelled(shingles(text or "")[1]).view("int64").tolist(),)
+
+
+def block_pairs(similarity: float):
+    """Pairs of one group of rows (side, node, label, items) whose shared items reach the
+    similarity: side 0 with side 1, or side 0 with itself where there is no other.
+
+    Counts come from products of 0/1 matrices over the items that occur twice, some thousand
+    columns at a time, so memory does not grow with the texts.
+    """
+    columns = 4096
+
+    def run(table):
+        import numpy as np
+        import pyarrow as pa
+
+        side = table["side"].to_numpy()
+        node, label = table["node"].to_numpy(), table["label"].to_numpy()
+        items = table["items"].combine_chunks()
+        if isinstance(items, pa.ChunkedArray):
+            items = pa.concat_arrays(items.chunks)
+        sizes = np.diff(items.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        values, at, times = np.unique(
+            items.flatten().to_numpy(), return_inverse=True, return_counts=True
+        )
+        again = np.cumsum(times > 1) - 1
+        keep = times[at] > 1
+        owner, at = owner[keep], again[at[keep]]
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        rows = np.flatnonzero(side == 0)
+        others = np.flatnonzero(side == 1) if (side == 1).any() else rows
+        shared = np.zeros((len(rows), len(others)), np.float32)
+        for start in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+            a, b = np.searchsorted(at, [start, start + columns])
+            held = np.zeros((len(sizes), columns), np.float32)
+            held[owner[a:b], at[a:b] - start] = 1
+            shared += held[rows] @ held[others].T
+        total = sizes[rows][:, None] + sizes[others][None, :] - shared
+        good = (shared >= similarity * total - 1e-3) & (label[rows][:, None] != label[others][None, :])
+        i, j = np.nonzero(good)
+        x, y = node[rows[i]], node[others[j]]
+        return pa.table({"a": np.maximum(x, y), "b": np.minimum(x, y)})
+
+    return run
+
+
+def _pairs_in_blocks(
+    keyed: DataFrame, nodes: DataFrame, many: DataFrame, settings: Settings, work: str
+) -> DataFrame:
+    """Pairs (a, b) of different classes, among the documents that share the sketches of ``many``,
+    whose sets of labelled shingles reach the similarity. An alignment never shares more.
+
+    A cluster's documents are cut into blocks by hash; each task gets two blocks.
+    """
+    spark = keyed.sparkSession
+    anchors = many.groupBy("bucket").agg(F.min("node").alias("b"))
+    edges = many.join(anchors, "bucket").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
+    clusters = components(spark, edges, f"{work}/clusters").withColumnRenamed("label", "cluster")
+    docs = many.select("node", "label").distinct().join(clusters, "node")
+    blocks = docs.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
+    docs = docs.join(blocks, "cluster").withColumn("block", F.pmod(F.hash("node"), "blocks"))
+    texts = keyed.select("key", "text").join(docs.join(nodes.select("node", "key"), "node"), "key")
+    texts = texts.groupBy("node").agg(
+        *(F.first(c).alias(c) for c in ("text", "label", "cluster", "block", "blocks"))
+    )
+    items = struct_udf(lambda: sequencer(settings), "items array<bigint>")
+    sequences = texts.withColumn("s", items("text")).select(
+        "node", "label", "cluster", "block", "blocks", "s.items"
+    )
+    sequences.write.parquet(f"{work}/sequences")
+    sequences = spark.read.schema(sequences.schema).parquet(f"{work}/sequences")
+    pairs = sequences.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sides = pairs.select(
+        "cluster",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
+        "node",
+        "label",
+        "items",
+    )
+    return (
+        sides.groupBy("cluster", "low", "high")
+        .applyInArrow(block_pairs(settings.similarity), "a bigint, b bigint")
+        .filter("a != b")
+        .distinct()
+    )
+
+
 def _verified(keyed: DataFrame, nodes: DataFrame, pairs: DataFrame, settings: Settings) -> DataFrame:
     """Those of ``pairs`` (a, b) whose texts are similar enough, each text read once."""
     needed = (
