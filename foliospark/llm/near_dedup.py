@@ -9,9 +9,9 @@ as the wanted similarity allows.
 Exact copies become one node before anything else. Nodes that share a sketch are first compared with
 one centre per sketch only, the member with the most company, which settles groups of any size in
 linear work. Where members of a sketch are then still of several classes, all pairs between classes are
-compared: few classes by joining them, many classes (documents around a passage that many
-share) in blocks, whose shingles are matched exactly inside the tasks, so that only
-pairs that reach the similarity ever become rows.
+compared: by a join where those are few for each member, else (documents around a passage that
+many share) in blocks, whose shingles are matched exactly inside the tasks, so that only pairs
+that reach the similarity ever become rows.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ class Settings:
     similarity: float = 0.8
     sketches: int = 24
     picks: int = 4
-    joined_classes: int = 16  # up to so many classes in a sketch are compared by a join
+    joined_pairs: int = 16  # a sketch with up to so many pairs per member is compared by a join
     block: int = 512  # documents of a block of those with more
 
 
@@ -278,11 +278,13 @@ def near_groups(
 
     # The centre of a sketch: the member that shares its sketches with the most others.
     company = members.groupBy("node").agg(F.sum("size").alias("company"))
-    centres = (
+    # Written, so that the join below has no aggregation in its stage and AQE can split it.
+    centres = written(
         members.join(company, "node")
         .groupBy("bucket")
         .agg(F.max(F.struct("company", "node", "n")).alias("c"))
-        .select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
+        .select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n")),
+        "centres",
     )
     # Fewer words than this share of the other's cannot be similar.
     words = settings.shingle - 1
@@ -305,30 +307,39 @@ def near_groups(
 
     # Sketches with members of several classes.
     known = members.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (
+    pairs = (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2
+    mixed = written(
         known.groupBy("bucket", "label")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("classes"))
-        .filter("classes > 1")
+        .agg(F.count(F.lit(1)).alias("classes"), (pairs <= settings.joined_pairs * F.sum("n")).alias("few"))
+        .filter("classes > 1"),
+        "mixed",
     )
-    several = written(known.join(mixed, "bucket").select("bucket", "node", "n", "label", "classes"), "mixed")
-
-    # Few classes: pairs between them that share two such sketches.
-    few = several.filter(F.col("classes") <= settings.joined_classes)
-    left = few.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("label").alias("al"))
-    right = few.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("label").alias("bl"))
+    several = written(known.join(mixed, "bucket").select("bucket", "node", "n", "label", "few"), "several")
+
+    # Few pairs: those of them that share two such sketches. Members meet by sketch and class, so
+    # a class of any size is never paired with itself.
+    few = several.filter("few")
+    labels = few.groupBy("bucket").agg(F.collect_set("label").alias("labels"))
+    left = few.join(labels, "bucket").select(
+        "bucket",
+        F.col("node").alias("a"),
+        F.col("n").alias("an"),
+        F.explode(F.filter("labels", lambda x: x < F.col("label"))).alias("other"),
+    )
+    right = few.select("bucket", F.col("label").alias("other"), F.col("node").alias("b"), F.col("n").alias("bn"))
     joined = (
-        left.join(right, "bucket")
-        .filter("a > b and al != bl")
+        left.join(right, ["bucket", "other"])
         .filter(comparable("an", "bn"))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .groupBy("a", "b")
         .count()
         .filter("count > 1")
         .select("a", "b")
     )
-    # Many classes: everything that such sketches connect is one cluster, compared in blocks.
-    many = several.filter(F.col("classes") > settings.joined_classes)
+    # Many pairs: everything that such sketches connect is one cluster, compared in blocks.
+    many = several.filter("not few")
     rest = joined
     if not many.isEmpty():
         rest = joined.unionByName(_pairs_in_blocks(keyed, nodes, many, settings, work)).distinct()

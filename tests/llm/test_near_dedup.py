@@ -98,12 +98,12 @@ def crowd():
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("joined", [1, 16, 10_000])
+@pytest.mark.parametrize("joined", [0, 1, 16, 10_000])
 def test_crowd(spark, crowd, joined):
     df = spark.createDataFrame(crowd, "doc_id long, text string")
     want = classes(crowd)
     assert len(set(want.values())) > 50
-    assert found(df, joined_classes=joined, block=20) == want
+    assert found(df, joined_pairs=joined, block=20) == want
 
 
 def test_odd_rows(spark):
