@@ -65,6 +65,8 @@ def seeds(words: str, edits: int) -> list[tuple[str, int]]:
 def scanner(notices: tuple[Notice, ...], base: tuple[Notice, ...]):
     """The function of one text, with the automaton over all seeds built."""
     import re
+    from bisect import bisect_right
+    from itertools import accumulate
 
     import ahocorasick
     import regex
@@ -127,13 +129,15 @@ def scanner(notices: tuple[Notice, ...], base: tuple[Notice, ...]):
                     score = max(score, 1 - edits / len(notice.words))
         if not exact and not close:
             return len(words), 0, None, None, "", "", 0.0, []
-        firsts = [line.count(" ", 0, at) for at, _ in exact]
+        # Where each word begins in the line, so that a place costs a look-up whatever the length.
+        begins = list(accumulate((len(w) + 1 for w in words), initial=1))
+        firsts = [bisect_right(begins, at + 1) - 1 for at, _ in exact]
         base_labels = {label for _, label in exact}
         spans = []
         if close:
             where = [m.span() for m in each_word.finditer(text)]
             for (label, a, b), edits in sorted(close.items(), key=lambda x: (x[0][1], x[0])):
-                first, last = line.count(" ", 0, a) - 1, line.count(" ", 0, b) - 1
+                first, last = bisect_right(begins, a) - 1, bisect_right(begins, b - 1) - 1
                 spans.append(
                     {
                         "label": label,
