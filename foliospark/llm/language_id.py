@@ -139,9 +139,10 @@ def fit(
         return Model(languages, code, None, None, None)
     fine = 1_000_000
     parts = {x: -(-settings.rows_per_language * fine // n) for x, n in sizes.items()}
-    at = F.lit(0)
+    # One flat expression: a nested one would be as deep as there are languages.
+    at = F.when(F.lit(False), F.lit(0))
     for x in languages:
-        at = F.when(F.col("lang") == x, F.lit(min(fine, parts[x]))).otherwise(at)
+        at = at.when(F.col("lang") == x, F.lit(min(fine, parts[x])))
     sample = known.filter(F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(fine)) < at)
     sums = (
         sample.mapInArrow(sample_counts(settings), "lang string, gram bigint, n bigint")

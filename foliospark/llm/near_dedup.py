@@ -38,7 +38,8 @@ class Settings:
     sketches: int = 24
     picks: int = 4
     joined_pairs: int = 16  # a sketch with up to so many pairs per member is compared by a join
-    block: int = 512  # documents of a block of those with more
+    block: int = 512  # documents of a block of those with more, on average at most
+    block_words: int = 1 << 20  # and words of a block
 
 
 MASK = (1 << 64) - 1
@@ -417,14 +418,16 @@ def _pairs_in_blocks(
     """Pairs (a, b) of different classes, among the documents that share the sketches of ``many``,
     whose sets of labelled shingles reach the similarity. An alignment never shares more.
 
-    A cluster's documents are cut into blocks by hash; each task gets two blocks.
+    A cluster's documents are cut into blocks by hash, more of them where texts are long; each task
+    gets two blocks.
     """
     spark = keyed.sparkSession
     anchors = many.groupBy("bucket").agg(F.min("node").alias("b"))
     edges = many.join(anchors, "bucket").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
     clusters = components(spark, edges, f"{work}/clusters").withColumnRenamed("label", "cluster")
-    docs = many.select("node", "label").distinct().join(clusters, "node")
-    blocks = docs.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
+    docs = many.select("node", "label", "n").distinct().join(clusters, "node")
+    needed = F.greatest(F.count(F.lit(1)) / settings.block, F.sum("n") / settings.block_words)
+    blocks = docs.groupBy("cluster").agg(F.ceil(needed).cast("int").alias("blocks"))
     docs = docs.join(blocks, "cluster").withColumn("block", F.pmod(F.hash("node"), "blocks"))
     texts = keyed.select("key", "text").join(docs.join(nodes.select("node", "key"), "node"), "key")
     texts = texts.groupBy("node").agg(

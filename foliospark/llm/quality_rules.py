@@ -7,6 +7,7 @@ rules. A document far from every reference is rejected, where it is long enough
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import struct_udf
+from foliospark.session import shared_path
 
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\x0c\r"
@@ -31,10 +33,12 @@ SCHEMA = (
 @dataclass(frozen=True)
 class Rules:
     """``common_share``: words that make up at least this share of a language's words are its
-    common words (so it has at most 1 / common_share of them). Distances lie between 0 and 1;
+    common words (so it has at most 1 / common_share of them). ``language_share``: labels with less
+    than this share of all words have one reference together. Distances lie between 0 and 1;
     beyond the limits a text of at least the given size is rejected."""
 
     common_share: float = 0.002
+    language_share: float = 0.001
     class_limit: float = 0.33
     class_min_chars: int = 200
     word_limit: float = 0.42
@@ -124,12 +128,24 @@ def counted(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 COUNTS = "lang string, kind string, key binary, n bigint"
 
 
-def counter(common: dict[str, set[bytes]] | None, share: float):
+def summary(counts: dict[bytes, int], size: int) -> dict[bytes, int]:
+    """At most ``size`` of the counts, each lowered by the next smaller one.
+
+    A count is lowered by no more than the sum of all, divided by ``size`` + 1, and the same holds
+    for sums of such summaries (Misra and Gries; Agarwal and others, Mergeable summaries).
+    """
+    if len(counts) <= size:
+        return counts
+    cut = heapq.nlargest(size + 1, counts.values())[-1]
+    return {w: n - cut for w, n in counts.items() if n > cut}
+
+
+def counter(common: dict[str, set[bytes]] | None, size: int, pooled: set[str] | None = None):
     """Sums by language over one batch of texts that pass the base rules.
 
-    Without ``common``: the words with the given share of the batch's words. A word with that
-    share of all words has it in at least one batch, so none is missed. With ``common``: the counts of those words, of all
-    words ("words") and of the character classes ("class").
+    Without ``common``: a summary of the words and the number of all words ("words"). With
+    ``common``: the counts of those words, of all words and of the character classes ("class");
+    languages outside ``pooled`` count as the empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,6 +158,8 @@ def counter(common: dict[str, set[bytes]] | None, share: float):
             totals: Counter = Counter()
             for text, lang in zip(batch["text"], batch["lang"], strict=True):
                 text, lang = text.as_py(), lang.as_py()
+                if pooled is not None and lang not in pooled:
+                    lang = ""
                 found, counts, failed = base_counts(text)
                 if failed:
                     continue
@@ -150,15 +168,18 @@ def counter(common: dict[str, set[bytes]] | None, share: float):
                 if common is None:
                     known.update(map(plain, found))
                 else:
-                    known.update(w for w in map(plain, found) if w in common.get(lang, ()))
+                    held = common.get(lang, ())
+                    known.update(w for w in map(plain, found) if w in held)
                     made = class_counts(text, table)
                     classes[lang] = [
                         a + b for a, b in zip(classes.get(lang, [0] * 7), made, strict=True)
                     ]
             rows = []
             for lang, known in words.items():
-                least = share * totals[lang] if common is None else 0
-                rows += [(lang, "word", w, n) for w, n in known.items() if w and n >= least]
+                if common is None:
+                    known.pop(b"", None)
+                    known = summary(known, size)
+                rows += [(lang, "word", w, n) for w, n in known.items() if w]
                 rows.append((lang, "words", b"", totals[lang]))
                 rows += [(lang, "class", b"%d" % i, n) for i, n in enumerate(classes.get(lang, []))]
             yield pa.RecordBatch.from_pylist(
@@ -171,22 +192,47 @@ def counter(common: dict[str, set[bytes]] | None, share: float):
     return run
 
 
+def common_candidates(rows: DataFrame, rules: Rules) -> dict[str, set[bytes]]:
+    """Per language a superset of its common words, at most 2 / common_share of them.
+
+    Languages with less than ``language_share`` of all words are the empty one together, so there
+    are at most 1 / language_share others. Summaries of batches are added up by Spark; a common
+    word keeps at least half of ``common_share`` in the sum.
+    """
+    spark = rows.sparkSession
+    work = shared_path(spark, "quality-rules")
+    size = math.ceil(2 / rules.common_share)
+    sums = rows.mapInArrow(counter(None, size), COUNTS).groupBy("lang", "kind", "key")
+    sums.agg(F.sum("n").alias("n")).write.parquet(f"{work}/summaries")
+    sums = spark.read.parquet(f"{work}/summaries")
+    totals = sums.filter("kind = 'words'")
+    every = totals.agg(F.sum("n")).first()[0] or 0
+    large = totals.filter(F.col("n") >= rules.language_share * every).select("lang")
+    names = {r["lang"] for r in large.collect()} | {""}
+    lang = F.when(F.col("lang").isin(*names), F.col("lang")).otherwise("").alias("lang")
+    pooled = sums.select(lang, "kind", "key", "n").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    sizes = pooled.filter("kind = 'words'").select("lang", F.col("n").alias("total"))
+    out: dict[str, set[bytes]] = {r["lang"]: set() for r in sizes.collect()}
+    # A row for each of at most 1 / language_share + 1 languages.
+    found = pooled.filter("kind = 'word'").join(F.broadcast(sizes), "lang")
+    for r in found.filter(F.col("n") >= rules.common_share / 2 * F.col("total")).collect():
+        out[r["lang"]].add(bytes(r["key"]))
+    return out
+
+
 def language_references(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", rules: Rules = Rules()
 ) -> dict[str, tuple[list[int], dict[bytes, int], int]]:
     """Per language: character classes, common words with their counts, number of words.
 
-    Two passes over all documents: candidates for common words by batch, then exact counts of
-    those candidates. The driver gets at most 1 / common_share words for each language and batch
-    from the first, distinct ones only, and as many for each language from the second. A null
-    language is one of its own; null texts and such that fail the base rules count nowhere.
+    Two passes over all documents: candidates for common words from summaries, then exact counts of
+    those candidates. What the driver gets is bounded by ``rules`` alone: 1 / language_share
+    languages with 2 / common_share words each. A null language is the empty one; null texts and
+    such that fail the base rules count nowhere.
     """
     rows = counted(docs, text_col, lang_col)
-    candidates: dict[str, set[bytes]] = {}
-    first = rows.mapInArrow(counter(None, rules.common_share), COUNTS).filter("kind = 'word'")
-    for r in first.select("lang", "key").distinct().collect():
-        candidates.setdefault(r["lang"], set()).add(bytes(r["key"]))
-    second = rows.mapInArrow(counter(candidates, rules.common_share), COUNTS)
+    candidates = common_candidates(rows, rules)
+    second = rows.mapInArrow(counter(candidates, 0, set(candidates)), COUNTS)
     out: dict[str, tuple[list[int], dict[bytes, int], int]] = {}
     words: dict[str, dict[bytes, int]] = {}
     for r in second.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).collect():

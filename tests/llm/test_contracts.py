@@ -1,6 +1,8 @@
 """The registered queries on whole small tables, and the operators on odd rows, against plain
 versions of their contracts."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -257,6 +259,51 @@ def test_quality_of_odd_texts(spark, odd):
     assert quality_rules.rate_quality(labelled.limit(0)).count() == 0
 
 
+def test_quality_references_against_plain_counts(spark):
+    """Small batches and limits, so that summaries cut; rare labels have one reference together."""
+    rules = quality_rules.Rules(common_share=0.02, language_share=0.05)
+    docs = Q.read(spark, SMALL, "documents").select(
+        "text", F.when(F.col("doc_id") % 25 == 3, F.concat(F.lit("rare"), "doc_id")).otherwise(F.col("lang")).alias("lang")
+    )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = quality_rules.language_references(docs, rules=rules)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = [(r.lang or "", *quality_rules.base_counts(r.text)) for r in docs.collect() if r.text]
+    found = [(lang, words) for lang, words, _, failed in found if not failed]
+    sizes = Counter()
+    for lang, words in found:
+        sizes[lang] += len(words)
+    large = {x for x, n in sizes.items() if n >= 0.05 * sum(sizes.values())}
+    counts, totals = {}, Counter()
+    for lang, words in found:
+        lang = lang if lang in large else ""
+        counts.setdefault(lang, Counter()).update(map(quality_rules.plain, words))
+        totals[lang] += len(words)
+    want = {
+        x: ({w: n for w, n in c.items() if w and n >= 0.02 * totals[x]}, totals[x])
+        for x, c in counts.items()
+    }
+    assert "" in want and len(want) > 2
+    assert {x: r[1:] for x, r in got.items()} == want
+
+
+def test_summary_keeps_frequent_words():
+    counts = {b"%d" % i: 1 for i in range(100)} | {b"the": 40, b"of": 30}
+    made = quality_rules.summary(counts, 9)
+    assert made == {b"the": 39, b"of": 29}
+    assert quality_rules.summary(counts, 200) == counts
+
+
+def test_license_places_in_a_long_text():
+    one = license_scan.scanner(license_scan.NOTICES, license_scan.BASE)
+    text = "the mit license, é " * 20_000
+    found = one(text)
+    assert found[:4] == (80_000, 20_000, 1, 79_997)
+    assert all(text[s["start"] : s["end"]] == "mit license" for s in found[7])
+
+
 def test_quality_verdicts_follow_the_labels(spark):
     folder = "/root/testdata/sf0.01"
     rows = Q.op9_quality_rules(spark, folder).join(Q.read(spark, folder, "labels"), "doc_id").toPandas()

@@ -104,6 +104,8 @@ def test_crowd(spark, crowd, joined):
     want = classes(crowd)
     assert len(set(want.values())) > 50
     assert found(df, joined_pairs=joined, block=20) == want
+    if joined == 0:
+        assert found(df, joined_pairs=joined, block_words=3_000) == want
 
 
 def test_odd_rows(spark):
