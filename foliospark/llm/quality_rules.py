@@ -1,8 +1,8 @@
-"""Quality rules: Jensen-Shannon distance of a document to the references of the languages.
+"""Quality rules: Jensen-Shannon distance of a document to the reference of its language.
 
 Two histograms describe a text: its characters by class, and its words over the language's common
 words and "any other". A language's reference is the sum over all its documents that pass the base
-rules. A document far from every reference is rejected, where it is long enough to tell.
+rules. A document far from its language's reference is rejected, where it is long enough to tell.
 """
 
 from __future__ import annotations
@@ -34,15 +34,20 @@ SCHEMA = (
 class Rules:
     """``common_share``: words that make up at least this share of a language's words are its
     common words (so it has at most 1 / common_share of them). ``language_share``: labels with less
-    than this share of all words have one reference together. Distances lie between 0 and 1;
-    beyond the limits a text of at least the given size is rejected."""
+    than this share of all words are counted together; no text is judged by them, by null labels or
+    by labels with fewer than ``min_documents`` documents. Distances lie between 0 and 1; beyond the
+    limits a text of at least the given size is rejected. ``word_limit`` is a fraction of the
+    distance that a text without any common word has to the reference; a text of which less than
+    ``word_min_common`` common words are expected is too short to tell."""
 
     common_share: float = 0.002
-    language_share: float = 0.001
+    language_share: float = 0.00001
+    min_documents: int = 10
     class_limit: float = 0.33
     class_min_chars: int = 200
-    word_limit: float = 0.42
+    word_limit: float = 0.95
     word_min_words: int = 100
+    word_min_common: float = 20
 
 
 def class_table():
@@ -144,8 +149,8 @@ def counter(common: dict[str, set[bytes]] | None, size: int, pooled: set[str] |
     """Sums by language over one batch of texts that pass the base rules.
 
     Without ``common``: a summary of the words and the number of all words ("words"). With
-    ``common``: the counts of those words, of all words and of the character classes ("class");
-    languages outside ``pooled`` count as the empty one.
+    ``common``: the counts of those words, of all words, of the texts ("texts") and of the character
+    classes ("class"); languages outside ``pooled`` count as the empty one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +161,7 @@ def counter(common: dict[str, set[bytes]] | None, size: int, pooled: set[str] |
             words: dict[str, Counter] = {}
             classes: dict[str, list[int]] = {}
             totals: Counter = Counter()
+            texts: Counter = Counter()
             for text, lang in zip(batch["text"], batch["lang"], strict=True):
                 text, lang = text.as_py(), lang.as_py()
                 if pooled is not None and lang not in pooled:
@@ -165,6 +171,7 @@ def counter(common: dict[str, set[bytes]] | None, size: int, pooled: set[str] |
                     continue
                 known = words.setdefault(lang, Counter())
                 totals[lang] += counts[0]
+                texts[lang] += 1
                 if common is None:
                     known.update(map(plain, found))
                 else:
@@ -181,6 +188,8 @@ def counter(common: dict[str, set[bytes]] | None, size: int, pooled: set[str] |
                     known = summary(known, size)
                 rows += [(lang, "word", w, n) for w, n in known.items() if w]
                 rows.append((lang, "words", b"", totals[lang]))
+                if common is not None:
+                    rows.append((lang, "texts", b"", texts[lang]))
                 rows += [(lang, "class", b"%d" % i, n) for i, n in enumerate(classes.get(lang, []))]
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("lang", "kind", "key", "n"), r, strict=True)) for r in rows],
@@ -207,10 +216,10 @@ def common_candidates(rows: DataFrame, rules: Rules) -> dict[str, set[bytes]]:
     sums = spark.read.parquet(f"{work}/summaries")
     totals = sums.filter("kind = 'words'")
     every = totals.agg(F.sum("n")).first()[0] or 0
-    large = totals.filter(F.col("n") >= rules.language_share * every).select("lang")
-    names = {r["lang"] for r in large.collect()} | {""}
-    lang = F.when(F.col("lang").isin(*names), F.col("lang")).otherwise("").alias("lang")
-    pooled = sums.select(lang, "kind", "key", "n").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    large = totals.filter(F.col("n") >= rules.language_share * every).select("lang", F.lit(True).alias("large"))
+    lang = F.when(F.col("large"), F.col("lang")).otherwise("").alias("lang")
+    named = sums.join(F.broadcast(large), "lang", "left").select(lang, "kind", "key", "n")
+    pooled = named.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     sizes = pooled.filter("kind = 'words'").select("lang", F.col("n").alias("total"))
     out: dict[str, set[bytes]] = {r["lang"]: set() for r in sizes.collect()}
     # A row for each of at most 1 / language_share + 1 languages.
@@ -230,21 +239,29 @@ def language_references(
     languages with 2 / common_share words each. A null language is the empty one; null texts and
     such that fail the base rules count nowhere.
     """
+    return _references(docs, text_col, lang_col, rules)[0]
+
+
+def _references(docs: DataFrame, text_col: str, lang_col: str, rules: Rules) -> tuple[dict, dict[str, int]]:
+    """The references, and the number of texts behind each."""
     rows = counted(docs, text_col, lang_col)
     candidates = common_candidates(rows, rules)
     second = rows.mapInArrow(counter(candidates, 0, set(candidates)), COUNTS)
     out: dict[str, tuple[list[int], dict[bytes, int], int]] = {}
     words: dict[str, dict[bytes, int]] = {}
+    texts: dict[str, int] = {}
     for r in second.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).collect():
         classes, _, total = out.get(r["lang"], ([0] * 7, {}, 0))
         if r["kind"] == "class":
             classes[int(r["key"])] = r["n"]
         elif r["kind"] == "words":
             total = r["n"]
+        elif r["kind"] == "texts":
+            texts[r["lang"]] = r["n"]
         else:
             words.setdefault(r["lang"], {})[bytes(r["key"])] = r["n"]
         out[r["lang"]] = (classes, {}, total)
-    return {
+    references = {
         lang: (
             classes,
             {
@@ -256,34 +273,45 @@ def language_references(
         )
         for lang, (classes, _, total) in sorted(out.items())
     }
+    return references, texts
 
 
 def judge(references: dict, rules: Rules):
-    """The function of one text."""
+    """The function of one text and its label."""
     table = class_table()
-    refs = [
-        (classes, list(words), [*words.values(), total - sum(words.values())])
-        for classes, words, total in references.values()
-    ]
-
-    def one(text: str | None) -> tuple:
+    refs = {}
+    for lang, (classes, words, total) in references.items():
+        expected = [*words.values(), total - sum(words.values())]
+        # Nothing is told by a language without common words: a text without any is like the rest.
+        nothing = distance([0] * len(words) + [1], expected) if words else 0.0
+        share = sum(words.values()) / total if total else 0.0
+        refs[lang] = (classes, list(words), expected, nothing, share)
+
+    def one(text: str | None, lang: str | None) -> tuple:
         words, counts, failed = base_counts(text or "")
         n_words, chars = counts[0], counts[1]
         by_class = by_word = None
-        if refs and chars >= rules.class_min_chars:
+        far = False
+        asked = [refs[lang]] if lang in refs else list(refs.values())
+        if asked and chars >= rules.class_min_chars:
             own = class_counts(text, table)
-            by_class = min(distance(own, classes) for classes, _, _ in refs)
-        if refs and n_words >= rules.word_min_words:
+            by_class = min(distance(own, classes) for classes, *_ in asked)
+            far = by_class > rules.class_limit
+        if n_words >= rules.word_min_words:
             own = {}
             for w in map(plain, words):
                 own[w] = own.get(w, 0) + 1
-            by_word = 1.0
-            for _, common, expected in refs:
-                n = [own.get(w, 0) for w in common]
-                by_word = min(by_word, distance([*n, n_words - sum(n)], expected))
-        far = (by_class is not None and by_class > rules.class_limit) or (
-            by_word is not None and by_word > rules.word_limit
-        )
+            found = []
+            for _, common, expected, nothing, share in asked:
+                if nothing:
+                    n = [own.get(w, 0) for w in common]
+                    d = distance([*n, n_words - sum(n)], expected)
+                    found.append((d / nothing, -share, d))
+            # Of languages equally near, that with the most common words can tell best.
+            part, share, d = min(found, default=(0.0, 0.0, 0.0))
+            if -share * n_words >= rules.word_min_common:
+                by_word = d
+                far = far or part > rules.word_limit
         return *counts, failed, by_class, by_word, not failed and not far
 
     return one
@@ -298,10 +326,17 @@ def rate_quality(
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: what ``SCHEMA`` lists, for each row.
 
-    A null or empty text has no words and fails the base rules. Distances are to the nearest
-    language, so a wrong or null language label costs nothing; they are null for texts below the
-    length guards and where no document passes the base rules. Repeated rows count as often as
-    they stand there. Scoring is narrow; only sums by language and word are shuffled.
+    A null or empty text has no words and fails the base rules. Distances are to the reference of
+    the text's own label. Where the label is null or empty, or has no reference because fewer than
+    ``min_documents`` of its documents pass the base rules, they are to the nearest language; no
+    reference is made of such labels. Distances are null for texts below the length guards, where
+    no language has a reference, and by words where too few common words are expected to tell.
+    Repeated rows count as often as they stand there. Scoring is narrow; only sums by language and
+    word are shuffled.
     """
-    references = language_references(docs, text_col, lang_col, rules)
-    return docs.withColumn(into, struct_udf(lambda: judge(references, rules), SCHEMA)(F.col(text_col)))
+    references, texts = _references(docs, text_col, lang_col, rules)
+    real = {
+        lang: r for lang, r in references.items() if lang and texts.get(lang, 0) >= rules.min_documents
+    }
+    score = struct_udf(lambda: judge(real, rules), SCHEMA)
+    return docs.withColumn(into, score(F.col(text_col), F.col(lang_col)))

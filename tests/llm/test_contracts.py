@@ -1,6 +1,7 @@
 """The registered queries on whole small tables, and the operators on odd rows, against plain
 versions of their contracts."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -289,6 +290,28 @@ def test_quality_references_against_plain_counts(spark):
     assert {x: r[1:] for x, r in got.items()} == want
 
 
+def test_quality_rejects_texts_without_common_words(spark):
+    """Mixed null labels, rare labels and a language of few common words leave the word rule alive."""
+    rng = random.Random(4)
+
+    def prose(n, share, names):
+        return " ".join(rng.choice(names) if rng.random() < share else f"x{rng.randrange(10**9)}" for _ in range(n))
+
+    full, poor, small = ([f"{x}{i}" for i in range(20)] for x in ("the", "ja", "lu"))
+    rows = [("en", prose(300, 0.4, full), True) for _ in range(60)]
+    rows += [("fi", prose(300, 0.12, poor), True) for _ in range(60)]
+    rows += [("lb", prose(300, 0.4, small), True) for _ in range(12)]
+    rows += [(None, prose(300, 0.4, full), True) for _ in range(4)] + [("rare", prose(300, 0.4, full), True)]
+    rows += [(x, prose(300, 0, full), False) for x in ("en", "fi", "lb", None, "", "rare2", None, "rare3") for _ in range(2)]
+    # Each label of a few common words and with a reference judges by that alone.
+    rows += [("fi", prose(110, 0.12, poor), True), ("en", prose(300, 0.4, poor), False)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, lang string, text string, good boolean")
+    rules = quality_rules.Rules(language_share=0.02)
+    made = quality_rules.rate_quality(df, rules=rules).select("doc_id", "lang", "good", "quality.*").collect()
+    assert not any(r.base_failed for r in made)
+    assert [(r.doc_id, r.lang) for r in made if r.kept != r.good] == []
+
+
 def test_summary_keeps_frequent_words():
     counts = {b"%d" % i: 1 for i in range(100)} | {b"the": 40, b"of": 30}
     made = quality_rules.summary(counts, 9)
