@@ -29,14 +29,20 @@ from foliospark.session import shared_path
 class Settings:
     """Shingles of ``shingle`` words; pairs at ``similarity`` or above are linked.
 
-    With ``picks`` shingles in a sketch, two texts of similarity 0.8 share one with probability 0.8^4 =
-    0.41; of 24 they share at least two but for 6 in 100,000 and one but for 3 in a million.
+    With ``picks`` shingles in a sketch, two texts that share s of u shingles share a sketch with
+    probability C(s, 4) / C(u, 4): at similarity 0.8 that is 0.41 for long texts, so they share none
+    of 24 in 3 of a million cases, but 0.38 for 20 of 25 shingles and 0.2 for 4 of 5. So texts of up to
+    ``short`` shingles also have ``short_sketches`` of two shingles, with probability 0.6 for 4 of 5:
+    two such texts share none of either in less than 1 of 10 million cases. Any one shared sketch
+    makes a pair a candidate.
     """
 
     shingle: int = 5
     similarity: float = 0.8
     sketches: int = 24
     picks: int = 4
+    short: int = 32
+    short_sketches: int = 12
     joined_pairs: int = 16  # a sketch with up to so many pairs per member is compared by a join
     block: int = 512  # documents of a block of those with more, on average at most
     block_words: int = 1 << 20  # and words of a block
@@ -101,28 +107,36 @@ def sketcher(settings: Settings):
     import numpy as np
 
     shingles = Shingler(settings.shingle)
-    seeds = mix(np.arange(1, settings.sketches + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
+    every = settings.sketches + settings.short_sketches
+    seeds = mix(np.arange(1, every + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
     odd = mix(seeds) | np.uint64(1)
 
-    def one(text: str | None) -> tuple:
-        n, h = shingles(text or "")
-        if not n:
-            return 0, []
-        x = labelled(h)
-        picks = min(settings.picks, len(x))
+    def sketches(x, first: int, last: int, picks: int) -> list[int]:
+        picks = min(picks, len(x))
         out = []
         # A few hash functions at a time for long texts.
         step = max(1, min(settings.sketches, (1 << 20) // len(x)))
-        for s in range(0, settings.sketches, step):
-            v = (x[None, :] ^ seeds[s : s + step, None]) * odd[s : s + step, None]
+        for s in range(first, last, step):
+            now, by = seeds[s : min(s + step, last)], odd[s : min(s + step, last)]
+            v = (x[None, :] ^ now[:, None]) * by[:, None]
             v ^= v >> np.uint64(32)
             v *= np.uint64(0xC4CEB9FE1A85EC53)
             least = np.argpartition(v, picks - 1, axis=1)[:, :picks]
             chosen = x[np.sort(least, axis=1)]  # in the order of the text
-            made = seeds[s : s + step].copy()
+            made = now.copy()
             for i in range(picks):
                 made = mix(made * np.uint64(0x9E3779B97F4A7C15) + chosen[:, i])
             out += made.view(np.int64).tolist()
+        return out
+
+    def one(text: str | None) -> tuple:
+        n, h = shingles(text or "")
+        if not n:
+            return 0, []
+        x = labelled(h)
+        out = sketches(x, 0, settings.sketches, settings.picks)
+        if len(x) <= settings.short:
+            out += sketches(x, settings.sketches, every, 2)
         return n, out
 
     return one
@@ -319,8 +333,8 @@ def near_groups(
     )
     several = written(known.join(mixed, "bucket").select("bucket", "node", "n", "label", "few"), "several")
 
-    # Few pairs: those of them that share two such sketches. Members meet by sketch and class, so
-    # a class of any size is never paired with itself.
+    # Few pairs: all of them. Members meet by sketch and class, so a class of any size is never
+    # paired with itself.
     few = several.filter("few")
     labels = few.groupBy("bucket").agg(F.collect_set("label").alias("labels"))
     left = few.join(labels, "bucket").select(
@@ -334,10 +348,7 @@ def near_groups(
         left.join(right, ["bucket", "other"])
         .filter(comparable("an", "bn"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .groupBy("a", "b")
-        .count()
-        .filter("count > 1")
-        .select("a", "b")
+        .distinct()
     )
     # Many pairs: everything that such sketches connect is one cluster, compared in blocks.
     many = several.filter("not few")

@@ -134,6 +134,37 @@ def test_odd_rows(spark):
     assert N.near_groups(df.limit(0)).count() == 0 and N.one_of_each(df.limit(0)).count() == 0
 
 
+def test_pairs_that_share_one_crowded_sketch(spark):
+    """Two similar texts and a third, unlike both, meet in one sketch; the third may be its centre."""
+    rng = random.Random(8)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    options = {"sketches": 1, "picks": 1}
+    one, texts = N.sketcher(N.Settings(**options)), []
+    while len(texts) < 90:
+        passage = prose(60)
+        three = [" ".join([*passage, *prose(n)]) for n in (5, 5, 17)]
+        if len({one(t)[1][0] for t in three}) == 1:
+            texts += three
+    rows = list(enumerate(texts))
+    want = classes(rows)
+    assert all(want[i] == i - i % 3 for i in want if i % 3 < 2) and all(want[i] == i for i in want if i % 3 == 2)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), **options) == want
+
+
+def test_short_similar_texts_share_a_sketch():
+    rng = random.Random(9)
+    one = N.sketcher(N.Settings())
+    for k in range(6_000):
+        n = 4 * (1 + k % 5)  # of n and a quarter more shingles, all of the shorter text are shared
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n + n // 4 + 4)]
+        a, b = " ".join(words), " ".join(words[: n + 4])
+        assert similar(shingles(a), shingles(b))
+        assert set(one(a)[1]) & set(one(b)[1]), a
+
+
 def test_banded_alignment_is_the_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
