@@ -91,3 +91,49 @@ def fresh(df: DataFrame, name: str) -> str:
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Key and text alone, under fixed names, whatever else the table holds."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
+# ASCII bytes that end a word become spaces, A-Z become a-z; bytes beyond ASCII stay.
+_WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)
+)
+
+
+def byte_words(raw: bytes) -> list[bytes]:
+    """The words of :func:`word_finder` from UTF-8 bytes, as UTF-8 bytes."""
+    return raw.translate(_WORD_BYTES).split()
+
+
+class Ids(dict):
+    """Numbers keys from 0 as they are first looked up; ``names`` are the keys in that order."""
+
+    def __init__(self):
+        self.names: list = []
+
+    def __missing__(self, key):
+        n = self[key] = len(self.names)
+        self.names.append(key)
+        return n
+
+
+def numbered(df: DataFrame, path: str, into: str = "row_no", order: tuple[Column, ...] = ()) -> DataFrame:
+    """``df`` written to ``path`` and read back, its rows numbered 0, 1, 2... in ``order``.
+
+    No task sees more than its own rows: every task numbers the rows it writes, and the number of
+    rows of each earlier task is added on reading. The driver holds one count per task of the
+    write.
+    """
+    spark = df.sparkSession
+    shift = 33  # of Spark's ids: the task above, its rows below
+    at, task = fresh(df, "_at"), fresh(df, "_task")
+    sorted_rows = df.orderBy(*order) if order else df
+    sorted_rows.withColumn(at, F.monotonically_increasing_id()).write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField(at, T.LongType())])
+    rows = spark.read.schema(schema).parquet(path).withColumn(task, F.shiftright(at, shift))
+    offsets, before = [], 0
+    for found in sorted(tuple(r) for r in rows.groupBy(task).count().collect()):
+        offsets.append((found[0], before - (found[0] << shift)))
+        before += found[1]
+    shifts = spark.createDataFrame(offsets, f"{task} bigint, `{into}` bigint")
+    joined = rows.join(F.broadcast(shifts), task)
+    return joined.select(*df.columns, (F.col(into) + F.col(at)).alias(into))

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliospark.llm import bpe, chat_format, decontaminate, language_id, license_scan
-from foliospark.llm import near_dedup, pii, quality_rules, secret_scan, warc
+from foliospark.llm import near_dedup, packing, pii, quality_rules, resampling, secret_scan, warc
 from foliospark.llm.common import id_and_text
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -187,6 +187,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.decompose(read(spark, sf_dir, "documents"), vocabulary_path(WORD_VOCABULARY))
+    return packing.with_checksums(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -204,5 +216,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op11_resampling": op11_resampling,
+    "op12_packing": op12_packing,
     "pipeline": pipeline,
 }
