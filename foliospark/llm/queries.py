@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.llm import bpe, chat_format, decontaminate, language_id, license_scan
+from foliospark.llm import bpe, chat_format, collocations, decontaminate, language_id, license_scan
 from foliospark.llm import near_dedup, packing, pii, quality_rules, resampling, secret_scan, warc
 from foliospark.llm.common import id_and_text
 
@@ -199,6 +199,10 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -218,5 +222,6 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_resampling": op11_resampling,
     "op12_packing": op12_packing,
+    "op13_collocations": op13_collocations,
     "pipeline": pipeline,
 }
