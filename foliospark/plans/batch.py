@@ -21,14 +21,14 @@ from foliospark import schemas
 from foliospark.operators import chunks as C
 from foliospark.operators import elements as E
 from foliospark.operators import extract as X
+from foliospark.operators import memory as M
 from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
 from foliospark.sources import files, sinks
+from foliospark.sources.tables import small_broadcast
 
 _TASK_BYTES = 128 * 1024 * 1024
-# Keys up to this measured size are broadcast to the raw documents they select.
-_BROADCAST_BYTES = 32 * 1024 * 1024
 MISSING_OUTPUT = "output of the finished parse stage is missing"
 
 
@@ -154,12 +154,6 @@ def _tasks(spark: SparkSession, docs: DataFrame, size: str | None) -> int | None
     return max(cores * 4, -(-int(total) // _TASK_BYTES))
 
 
-def _broadcast_if_small(written: DataFrame) -> DataFrame:
-    """A written table marked for broadcast when its measured size allows it, else as it is."""
-    size = written.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(written) if size <= _BROADCAST_BYTES else written
-
-
 def run_batch(
     spark: SparkSession,
     manifest: DataFrame,
@@ -178,6 +172,7 @@ def run_batch(
     export_to: str | None = None,
     texts_per_call: int = K.TEXTS_PER_CALL,
     saved_events: DataFrame | None = None,
+    memory: str | None = None,
 ) -> BatchRun:
     """Bring every document of ``manifest`` (``doc_id, path, file, stem, mtime``) up to date.
 
@@ -188,6 +183,10 @@ def run_batch(
     what a parser has left; the files are opened by the tasks, for the documents that need it.
     ``saved_events`` are stage events from elsewhere that count before all others. ``export_to`` is a folder for the documents translated by this run, a file each.
 
+    ``memory`` is the folder of a translation memory, which other output folders may share: with it
+    every distinct text is sent once for a prompt and language, over all documents and runs; the texts that are
+    unknown and the translations are shuffled for that. Without it every chunk is sent and none shuffled.
+
     The recorded state is folded once and written; later questions add this run's own events to
     it. Keys alone decide what is parsed. Raw documents and texts go through no shuffle, but for
     documents whose failed chunks are sent again, and an explicit ``parallelism``.
@@ -237,7 +236,7 @@ def run_batch(
         tasks = parallelism or _tasks(spark, docs, "length" if "length" in docs.columns else None)
         if content:
             raw = manifest.select(F.col("doc_id").cast("string").alias("doc_id"), content)
-            docs, tasks = raw.join(_broadcast_if_small(docs), "doc_id"), parallelism
+            docs, tasks = raw.join(small_broadcast(docs), "doc_id"), parallelism
     kept = ("mtime", "stem", "layout_needed", "translate_needed")
     if extractor:
         made = X.extract_elements(
@@ -279,9 +278,12 @@ def run_batch(
         )
         todo = tables.write(todo, "to_translate", run_id)
         failed = tables.write(summary.filter(~F.col("success")).select("doc_id"), "failed_layouts", run_id)
-        docs = parsed_now.filter("translate_needed").join(_broadcast_if_small(failed), "doc_id", "left_anti")
+        docs = parsed_now.filter("translate_needed").join(small_broadcast(failed), "doc_id", "left_anti")
         docs = docs.select("doc_id", "mtime", "stem", "markdown")
         older = todo.filter(F.col("run_id") != run_id)
+        if memory:
+            # What failed is not in the memory and what did not is, so retries need no path of their own.
+            older = older.withColumn("failed_run_id", F.lit(None).cast("string"))
         retried = older.filter(F.col("failed_run_id").isNotNull())
         older = older.filter(F.col("failed_run_id").isNull()).drop("failed_run_id")
         if not older.isEmpty():
@@ -291,35 +293,22 @@ def run_batch(
             backoff=backoff, texts_per_call=texts_per_call,
         )
         keys = ("doc_id", "mtime", "stem")
-        answered = TR.answer_documents(
-            docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED), translator, target_lang,
-            keys=keys, content="markdown", separator=separator, max_chars=max_chars, **options,
-        )
-        answered = tables.write(answered, "answers", run_id)
-        results = TR.result_rows(answered, keys, target_lang)
-        whole = TR.joined_documents(answered, keys, target_lang, separator)
-        if not retried.isEmpty():
-            again = _outputs(tables, retried.drop("failed_run_id"), "markdown").drop("found")
+        sendable = docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED)
+        if memory:
             chunks = C.chunk_rows(
-                again.filter(S.document_gate(F.col("markdown")) != K.SKIPPED), list(keys),
-                content="markdown", separator=separator, max_chars=max_chars,
-            ).withColumn("chunk_key", F.sha2("chunk", 256))
-            more = _sent_again(tables, retried, chunks, translator, target_lang, options)
-            more = tables.write(more, "retried_chunks", run_id)
-            results = results.unionByName(more)
-            final = more.withColumn(
-                "final", F.when(F.col("success"), F.col("translated")).otherwise(F.col("original"))
+                sendable, list(keys), content="markdown", separator=separator, max_chars=max_chars
             )
-            pairs = F.array_sort(F.collect_list(F.struct("chunk_idx", "final")))
-            whole = whole.unionByName(
-                final.groupBy(*keys, "target_lang").agg(
-                    pairs.alias("pairs"), F.count_if(~F.col("success")).alias("n_failed_chunks")
-                ).select(
-                    *keys, "target_lang", F.array_join("pairs.final", separator).alias("content"),
-                    F.col("n_failed_chunks").cast("int").alias("n_failed_chunks"),
-                )
+            results = M.translate_remembered(
+                chunks, translator, M.TranslationMemory(spark, memory), run_id, tables.path("chunk_keys", run_id),
+                target_lang, keys=(*keys, "chunk_idx"), **options,
             )
-        tables.write(results, "translated_chunks", run_id)
+            results = tables.write(results, "translated_chunks", run_id)
+            whole = M.documents_of(results, keys, separator)
+        else:
+            results, whole = _sent(
+                tables, run_id, sendable, retried, translator, target_lang, separator, max_chars, options
+            )
+            tables.write(results, "translated_chunks", run_id)
         whole = sinks.with_output_name(whole).select(
             "doc_id", "mtime", "stem", "target_lang", "out_name", "n_failed_chunks", "content"
         )
@@ -349,6 +338,39 @@ def run_batch(
     return BatchRun(run_id, tables, details, totals)
 
 
+def _sent(
+    tables: Tables,
+    run_id: str,
+    docs: DataFrame,
+    retried: DataFrame,
+    translator: Callable,
+    target_lang: str,
+    separator: str,
+    max_chars: int,
+    options: dict,
+) -> tuple[DataFrame, DataFrame]:
+    """Chunk results and whole documents, every chunk sent; of ``retried`` ones those that failed."""
+    keys = ("doc_id", "mtime", "stem")
+    answered = TR.answer_documents(
+        docs, translator, target_lang,
+        keys=keys, content="markdown", separator=separator, max_chars=max_chars, **options,
+    )
+    answered = tables.write(answered, "answers", run_id)
+    results = TR.result_rows(answered, keys, target_lang)
+    whole = TR.joined_documents(answered, keys, target_lang, separator)
+    if not retried.isEmpty():
+        again = _outputs(tables, retried.drop("failed_run_id"), "markdown").drop("found")
+        chunks = C.chunk_rows(
+            again.filter(S.document_gate(F.col("markdown")) != K.SKIPPED), list(keys),
+            content="markdown", separator=separator, max_chars=max_chars,
+        ).withColumn("chunk_key", F.sha2("chunk", 256))
+        more = _sent_again(tables, retried, chunks, translator, target_lang, options)
+        more = tables.write(more, "retried_chunks", run_id)
+        results = results.unionByName(more)
+        whole = whole.unionByName(M.documents_of(more, keys, separator))
+    return results, whole
+
+
 def _outputs(tables: Tables, docs: DataFrame, column: str) -> DataFrame:
     """``docs`` with one column of the extraction of the earlier run that parsed them.
 
@@ -358,7 +380,7 @@ def _outputs(tables: Tables, docs: DataFrame, column: str) -> DataFrame:
     """
     output = tables.extracted().select("doc_id", "run_id", column)
     on = ["doc_id", "run_id"]
-    found = output.join(_broadcast_if_small(docs), on).withColumn("found", F.lit(True))
+    found = output.join(small_broadcast(docs), on).withColumn("found", F.lit(True))
     lost = docs.join(output.select(*on), on, "left_anti").select(
         "*", F.lit(None).cast("string").alias(column), F.lit(False).alias("found")
     )

@@ -400,6 +400,30 @@ def statements() -> dict[str, str]:
                    CASE WHEN no_layout THEN 'failed' WHEN no_markdown THEN 'skipped' ELSE 'success' END,
                    CASE WHEN no_layout OR NOT no_markdown THEN 1 ELSE 0 END
             FROM again""",
+        # What was refused in the first run is sent by the second, nothing by the third.
+        "batch_memory": f"""WITH RECURSIVE {RUN},
+            pieces AS (
+              SELECT f.url, f.chunk_idx, string_agg(s.p, chr(10) || chr(10) ORDER BY s.i) AS chunk
+              FROM fold f JOIN split s ON s.url = f.url AND s.i = f.i JOIN facts ON facts.url = f.url
+              WHERE NOT (no_parse OR no_layout OR no_markdown) GROUP BY f.url, f.chunk_idx
+            ),
+            results AS (SELECT url, chunk_idx, chunk, {translated("chunk")} FROM pieces),
+            final AS (
+              SELECT run_no, url, chunk_idx, chunk, NOT success AND run_no = 1 AS failed,
+                     CASE WHEN success THEN translated WHEN run_no = 1 THEN chunk
+                          ELSE {strip("'[later] ' || chunk")} END AS text
+              FROM results, (VALUES (1), (2), (3)) r(run_no)
+            ),
+            sent AS (
+              SELECT 1 AS run_no, count(DISTINCT chunk) AS n_sent FROM results WHERE {strip("chunk")} <> ''
+              UNION ALL SELECT 2, count(DISTINCT chunk) FROM results WHERE NOT success
+              UNION ALL SELECT 3, 0
+            )
+            SELECT run_no, sha256('copy ' || run_no || ' of ' || url) AS doc_id,
+                   CAST(count(*) FILTER (WHERE failed) AS INTEGER) AS n_failed_chunks,
+                   string_agg(text, chr(10) || chr(10) ORDER BY chunk_idx) AS content,
+                   CAST(any_value(n_sent) AS INTEGER) AS n_sent
+            FROM final JOIN sent USING (run_no) GROUP BY run_no, url""",
         "source_files": """SELECT page_id, 'p' || page_id || '.PDF' AS file,
             replace(regexp_extract(url, '//([^/]+)', 1), '.', '/') AS host, strlen(html) AS length, true AS in_order FROM pages""",
         "artifact_files": f"""WITH {ELEMENTS}

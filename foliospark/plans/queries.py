@@ -22,6 +22,7 @@ from foliospark.operators import extract as X
 from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
+from foliospark.operators.memory import TranslationMemory
 from foliospark.plans.batch import run_batch, run_files
 from foliospark.session import shared_path
 from foliospark.sources import files, sinks
@@ -613,6 +614,24 @@ def batch_rerun(spark, folder):
     return runs[0].unionByName(runs[1])
 
 
+def batch_memory(spark, folder):
+    """Three runs into output folders of their own that share a translation memory: over the pages, some
+    texts being refused, and twice over copies of them. ``n_sent``: texts that a run had to send."""
+    store = shared_path(spark, "memory")
+    runs = []
+    for number, fn in ((1, translator), (2, _later_translator), (3, _later_translator)):
+        doc_id = P.document_id(F.concat(F.lit(f"copy {number} of "), "path"))
+        run = run_batch(
+            spark, page_manifest(spark, folder).withColumn("doc_id", doc_id), shared_path(spark, "batch-memory"),
+            _bytes_extractor, fn, content="content", max_attempts=1, memory=store,
+        )
+        prompt = K.MARKDOWN_PROMPT.replace("{target_lang}", K.DEFAULT_TARGET_LANG)
+        sent = TranslationMemory(spark, store).sent(run.run_id, prompt, K.DEFAULT_TARGET_LANG).count()
+        rows = spark.read.parquet(run.tables.path("translated_markdown", run.run_id))
+        runs.append(rows.select(F.lit(number).alias("run_no"), "doc_id", "n_failed_chunks", "content", F.lit(sent).alias("n_sent")))
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
 # Round trips through files in the shared folder.
 
 
@@ -800,6 +819,7 @@ QUERIES = {
         batch_run_summary,
         batch_run_markdown,
         batch_rerun,
+        batch_memory,
         source_files,
         artifact_files,
         markdown_files,

@@ -15,3 +15,8 @@ EXTRACTED = (
     "doc_id STRING, layout_json STRING, markdown STRING, success BOOLEAN, error STRING, "
     "mtime TIMESTAMP, stem STRING, layout_needed BOOLEAN, translate_needed BOOLEAN"
 )
+
+# Results of a translation memory; ``run_id`` is the folder of the run that has sent the text.
+MEMORY = (
+    "chunk_key STRING, original STRING, translated STRING, success BOOLEAN, error STRING, run_id STRING"
+)
