@@ -47,7 +47,7 @@ class Tables:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
 
-    def _read(self, table: str, schema: str) -> DataFrame:
+    def read(self, table: str, schema: str) -> DataFrame:
         """A table of all runs; without rows where no run has written it yet."""
         path = self.path(table)
         filesystem, folder = self._folder(path)
@@ -57,7 +57,7 @@ class Tables:
 
     def state_version(self) -> str | None:
         """The last compacted state, if there is any."""
-        return self._read("state_versions", "version STRING").agg(F.max("version")).first()[0]
+        return self.read("state_versions", "version STRING").agg(F.max("version")).first()[0]
 
     def _appends(self) -> list[str]:
         """The appends to the event log that have committed: a few names for each run."""
@@ -79,7 +79,7 @@ class Tables:
         what a run adds after the compaction, whenever that run began, is never left out.
         ``only_run`` reads the appends of one run alone.
         """
-        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
+        new = self.read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
         if only_run is not None:
             return new.filter(F.col("append").startswith(only_run)).drop("append")
         if version is None:
@@ -100,7 +100,7 @@ class Tables:
         """
         version, before = new_run_id(), self.state_version()
         appends = self._appends()
-        new = self._read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
+        new = self.read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
         known = self._covered(before) if before else []
         fresh = new.filter(F.col("append").isin([x for x in appends if x not in set(known)])).drop("append")
         if before:
@@ -115,10 +115,10 @@ class Tables:
         return version
 
     def extracted(self) -> DataFrame:
-        return self._read("extracted", f"{schemas.EXTRACTED}, run_id STRING")
+        return self.read("extracted", f"{schemas.EXTRACTED}, run_id STRING")
 
     def translated_chunks(self) -> DataFrame:
-        return self._read("translated_chunks", schemas.TRANSLATED_CHUNKS)
+        return self.read("translated_chunks", schemas.TRANSLATED_CHUNKS)
 
     def write(self, df: DataFrame, table: str, run_id: str) -> DataFrame:
         """Commit a stage's output and read it back, so that it is computed once."""

@@ -181,6 +181,9 @@ outcomes AS (
   FROM wide
 )"""
 
+# Which of the first two runs holds a page's layout.
+PAGE_RUN = "CASE WHEN page_id % 5 = 0 OR url LIKE '%.html' THEN 2 ELSE 1 END"
+
 NEEDED = "status <> 'done' OR mtime > source_mtime"
 
 
@@ -424,6 +427,31 @@ def statements() -> dict[str, str]:
                    string_agg(text, chr(10) || chr(10) ORDER BY chunk_idx) AS content,
                    CAST(any_value(n_sent) AS INTEGER) AS n_sent
             FROM final JOIN sent USING (run_no) GROUP BY run_no, url""",
+        "current_elements": f"""WITH {ELEMENTS}
+            SELECT sha256(url) AS doc_id, {PAGE_RUN} AS run_no, elem_idx, element_type, coalesce(text, '') AS text,
+                   page_idx, CAST(elem_idx AS DOUBLE) AS x
+            FROM elements WHERE NOT url LIKE '%#top'""",
+        "current_summaries": f"""WITH s AS ({SUMMARY})
+            SELECT sha256(url) AS doc_id, {PAGE_RUN} AS run_no, total_elements, page_count, translatable_count
+            FROM s JOIN pages USING (page_id) WHERE NOT url LIKE '%#top'""",
+        # In the second run all chunks of changed documents are new, of others those refused before.
+        "current_translations": f"""WITH RECURSIVE {RUN},
+            pieces AS (
+              SELECT f.url, f.chunk_idx, string_agg(s.p, chr(10) || chr(10) ORDER BY s.i) AS chunk
+              FROM fold f JOIN split s ON s.url = f.url AND s.i = f.i GROUP BY f.url, f.chunk_idx
+            ),
+            results AS (SELECT url, chunk, chunk_idx, {strip("'[later] ' || chunk")} AS later, {translated("chunk")} FROM pieces),
+            named AS (SELECT *, {PAGE_RUN} AS parsed_in FROM results JOIN facts USING (url) JOIN pages USING (url)
+                      WHERE NOT (no_layout OR no_markdown))
+            SELECT sha256(url) AS doc_id, greatest(any_value(parsed_in), max(CASE WHEN success THEN 1 ELSE 2 END)) AS run_no,
+                   '英文' AS target_lang, 'p' || any_value(page_id) || '_en.md' AS out_name, CAST(0 AS INTEGER) AS n_failed_chunks,
+                   string_agg(CASE WHEN {strip("chunk")} = '' THEN '' WHEN parsed_in = 2 OR NOT success THEN later
+                                   ELSE translated END, chr(10) || chr(10) ORDER BY chunk_idx) AS content
+            FROM named GROUP BY url
+            UNION ALL
+            SELECT sha256(url), 3, '中文', 'p' || any_value(page_id) || '_zh.md', CAST(0 AS INTEGER),
+                   string_agg(CASE WHEN {strip("chunk")} = '' THEN '' ELSE later END, chr(10) || chr(10) ORDER BY chunk_idx)
+            FROM named GROUP BY url""",
         "source_files": """SELECT page_id, 'p' || page_id || '.PDF' AS file,
             replace(regexp_extract(url, '//([^/]+)', 1), '.', '/') AS host, strlen(html) AS length, true AS in_order FROM pages""",
         "artifact_files": f"""WITH {ELEMENTS}

@@ -23,6 +23,7 @@ from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
 from foliospark.operators.memory import TranslationMemory
+from foliospark.plans import views
 from foliospark.plans.batch import run_batch, run_files
 from foliospark.session import shared_path
 from foliospark.sources import files, sinks
@@ -594,24 +595,68 @@ def _later_translator(texts, prompt):
     return [f"[later] {t}" for t in texts]
 
 
-def batch_rerun(spark, folder):
-    """Two later runs: after a fifth of the sources changed and what failed works, and in a second
-    language. The state is compacted in between."""
-    first = page_run(spark, folder)
-    out = first.tables.out
-    first.tables.compact()
+def _later_runs(spark, folder, languages=(K.DEFAULT_TARGET_LANG, "中文")):
+    """A run over the pages, one after a fifth of the sources changed and what failed works, and one in a
+    second language. The state is compacted in between."""
+    runs = [page_run(spark, folder)]
+    tables = runs[0].tables
+    tables.compact()
     changed = (F.substr("stem", F.lit(2)).cast("bigint") % 5) == 0
     manifest = page_manifest(spark, folder).withColumn(
         "mtime", F.when(changed, F.lit("2024-06-01").cast("timestamp")).otherwise(F.col("mtime"))
     )
-    runs = []
-    for number, lang in ((2, K.DEFAULT_TARGET_LANG), (3, "中文")):
-        run = run_batch(
-            spark, manifest, out, _later_extractor, _later_translator, lang, content="content", max_attempts=1
+    for lang in languages:
+        runs.append(
+            run_batch(
+                spark, manifest, tables.out, _later_extractor, _later_translator, lang, content="content", max_attempts=1
+            )
+        )
+        tables.compact()
+    return runs
+
+
+def batch_rerun(spark, folder):
+    """The two later runs."""
+    runs = [
+        run.details.select(F.lit(number).alias("run_no"), "path", "success", "outcome", "stages_run")
+        for number, run in enumerate(_later_runs(spark, folder), 1)
+    ]
+    return runs[1].unionByName(runs[2])
+
+
+def run_number(runs) -> Column:
+    """Which of some runs a row's ``run_id`` is, from 1."""
+    number = F.lit(None).cast("int")
+    for n, run in enumerate(runs, 1):
+        number = F.when(F.col("run_id") == run.run_id, n).otherwise(number)
+    return number.alias("run_no")
+
+
+def current_elements(spark, folder):
+    """The elements of all documents after two runs, each from the run that holds them."""
+    runs = _later_runs(spark, folder, (K.DEFAULT_TARGET_LANG,))
+    rows = views.current_elements(runs[0].tables)
+    return rows.select(
+        "doc_id", run_number(runs), "elem_idx", "element_type", "text", "page_idx", F.col("bbox")[0].alias("x")
+    )
+
+
+def current_summaries(spark, folder):
+    runs = _later_runs(spark, folder, (K.DEFAULT_TARGET_LANG,))
+    rows = views.current_summaries(runs[0].tables)
+    return rows.select("doc_id", run_number(runs), "total_elements", "page_count", "translatable_count")
+
+
+def current_translations(spark, folder):
+    """The translations of all documents into both languages after three runs."""
+    runs = _later_runs(spark, folder)
+    rows = [
+        views.current_translations(runs[0].tables, lang).select(
+            "doc_id", run_number(runs), "target_lang", "out_name", "n_failed_chunks", "content"
         )
-        runs.append(run.details.select(F.lit(number).alias("run_no"), "path", "success", "outcome", "stages_run"))
-        run.tables.compact()
-    return runs[0].unionByName(runs[1])
+        for lang in (K.DEFAULT_TARGET_LANG, "中文")
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 def batch_memory(spark, folder):
@@ -820,6 +865,9 @@ QUERIES = {
         batch_run_markdown,
         batch_rerun,
         batch_memory,
+        current_elements,
+        current_summaries,
+        current_translations,
         source_files,
         artifact_files,
         markdown_files,

@@ -20,3 +20,18 @@ EXTRACTED = (
 MEMORY = (
     "chunk_key STRING, original STRING, translated STRING, success BOOLEAN, error STRING, run_id STRING"
 )
+
+ELEMENTS = (
+    "doc_id STRING, mtime TIMESTAMP, success BOOLEAN, error STRING, elem_idx INT, element_type STRING, "
+    "text STRING, page_idx INT, bbox ARRAY<DOUBLE>, metadata MAP<STRING, STRING>"
+)
+
+SUMMARY = (
+    "doc_id STRING, mtime TIMESTAMP, success BOOLEAN, error STRING, total_elements BIGINT, page_count INT, "
+    "type_distribution MAP<STRING, BIGINT>, translatable_count BIGINT"
+)
+
+TRANSLATED = (
+    "doc_id STRING, mtime TIMESTAMP, stem STRING, target_lang STRING, out_name STRING, n_failed_chunks INT, "
+    "content STRING"
+)
