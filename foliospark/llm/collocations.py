@@ -487,8 +487,10 @@ def frequent_phrases(
     n_words, occurrences = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("f"), F.lit(0))).first()
     width = max(1, (n_words - 1).bit_length()) if n_words else 1
 
-    pairs = occurring.join(words.drop("f"), ["lang", "word"]).groupBy("block")
-    pairs = pairs.agg(F.collect_list(F.struct(F.col("local").cast("bigint"), "gid")).alias("pairs"))
+    # A left join: every block comes back, with the numbers of those of its words that have one.
+    pair = F.when(F.col("gid").isNotNull(), F.struct(F.col("local").cast("bigint"), "gid"))
+    pairs = occurring.join(words.drop("f"), ["lang", "word"], "left").groupBy("block")
+    pairs = pairs.agg(F.collect_list(pair).alias("pairs"))
     streams = made.filter("stream is not null").select("block", "stream").join(pairs, "block")
     state = written(streams.mapInArrow(global_words, STATE), "state-1")
 
