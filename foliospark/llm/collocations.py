@@ -510,14 +510,22 @@ def frequent_phrases(
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)
-    return words, phrases, totals
+    return words, written(phrases, "phrases"), totals
 
 
 def lowest_cuts(words: DataFrame, phrases: DataFrame, totals: DataFrame) -> DataFrame:
     """(gids, lang, phrase, a, l, r, n, score) of each phrase by its lowest-scoring cut.
 
-    Products are decimals of 38 digits: a thousand times the square of 10^17 words still fits.
+    Products are decimals of 38 digits: a thousand times the square of 10^17 words still fits. Every
+    join's result is written, since each of them reads its rows twice.
     """
+    spark = phrases.sparkSession
+    work = shared_path(spark, "collocation-cuts")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{work}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
     parts = words.select(F.array("gid").alias("part"), F.col("f").alias("part_f"))
     parts = parts.unionByName(phrases.select(F.col("phrase").alias("part"), F.col("f").alias("part_f")))
     spelt = phrases.select(F.col("phrase").alias("gids"), F.posexplode("phrase").alias("pos", "gid"))
@@ -540,8 +548,8 @@ def lowest_cuts(words: DataFrame, phrases: DataFrame, totals: DataFrame) -> Data
     )
     for side, into in (("left", "l"), ("right", "r")):
         side_f = parts.select(F.col("part").alias(side), F.col("part_f").alias(into))
-        cuts = join_one_per_key(cuts, side_f, side, ["gids", "k"])
-    cuts = cuts.join(spelt, "gids").drop("left", "right")
+        cuts = written(join_one_per_key(cuts, side_f, side, ["gids", "k"]), into)
+    cuts = written(cuts.join(spelt, "gids").drop("left", "right"), "spelt")
     cuts = join_one_per_key(cuts, totals, "lang", ["gids", "k"])
 
     def wide(column: str):
