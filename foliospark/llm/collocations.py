@@ -4,7 +4,7 @@ Exact counts come level by level: words, then pairs, then longer phrases, each f
 both shorter phrases are frequent, so what is rare is left out before it is counted. No
 vocabulary is broadcast and no text is sent twice:
 
-* Texts are cut into blocks of about a million words. A block becomes a sequence of its own word numbers
+* Texts are cut into blocks of about half a million words. A block becomes a sequence of its own word numbers
   and the list of its words, which Spark sums and joins. Frequent words of all languages are
   numbered from 0, and blocks get the numbers of theirs.
 * On each level a block makes a counting quotient filter of its phrases. The words' numbers are packed
@@ -43,7 +43,7 @@ class Settings:
 
 
 # Words of a block, bytes of its list of words, and entries of a shard, about.
-BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 20, 1 << 25, 1 << 20
+BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 19, 1 << 25, 1 << 19
 
 # A byte that UTF-8 never has stands for the end of a piece; A-Z become a-z.
 BREAK = b"\xff"
