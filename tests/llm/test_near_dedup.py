@@ -11,11 +11,6 @@ from foliospark.llm import queries as Q
 from tests.llm import brute
 
 
-def shingles(text):
-    w = brute.words(text)
-    return [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
-
-
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
@@ -41,7 +36,7 @@ def classes(rows):
     for i, t in rows:
         if t is not None:
             first[t] = min(i, first.get(t, i))
-    texts = [(t, shingles(t)) for t in first]
+    texts = [(t, brute.words(t)) for t in first]
     parent = {t: t for t in first}
 
     def root(t):
@@ -154,15 +149,44 @@ def test_pairs_that_share_one_crowded_sketch(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), **options) == want
 
 
-def test_short_similar_texts_share_a_sketch():
-    rng = random.Random(9)
+def edited(rng, words, share):
+    """``words`` with a share of them replaced, deleted or with another word in front."""
+    out = []
+    for w in words:
+        if rng.random() >= share:
+            out.append(w)
+            continue
+        out += rng.choice([["new"], [], ["more", w]])
+    return out
+
+
+@pytest.mark.parametrize("length, least", [(30, 0.8), (100, 0.93), (400, 0.97), (1500, 0.98)])
+def test_edited_texts_are_candidates(length, least):
+    """Of texts of which 1 to 8 in a hundred words were edited, those that are similar share a sketch."""
+    rng = random.Random(length)
     one = N.sketcher(N.Settings())
-    for k in range(6_000):
-        n = 4 * (1 + k % 5)  # of n and a quarter more shingles, all of the shorter text are shared
-        words = [f"w{rng.randrange(10**9)}" for _ in range(n + n // 4 + 4)]
-        a, b = " ".join(words), " ".join(words[: n + 4])
-        assert similar(shingles(a), shingles(b))
-        assert set(one(a)[1]) & set(one(b)[1]), a
+    both = similar_ones = 0
+    for k in range(400):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(length)]
+        b = edited(rng, a, (1 + k % 8) / 100)
+        gaps = len(a) + len(b) - 2 * N.common_in_order(a, b, length)
+        if (len(a) + len(b) - gaps) / (len(a) + len(b) + gaps) >= 0.8:
+            similar_ones += 1
+            both += bool(set(one(" ".join(a))[1]) & set(one(" ".join(b))[1]))
+    assert similar_ones > 300 and both >= least * similar_ones
+
+
+@pytest.mark.parametrize("percent", [1, 2, 4, 6, 8])
+def test_edited_copies_are_linked(spark, percent):
+    rng = random.Random(percent)
+    rows = []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(edited(rng, words, percent / 100)))]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    linked = sum(got[2 * k] == got[2 * k + 1] for k in range(60))
+    assert linked >= (60 if percent <= 4 else 57)
+    assert len(set(got.values())) == 120 - linked
 
 
 def test_banded_alignment_is_the_longest_common_subsequence():
