@@ -2,10 +2,10 @@
 
 Exact counts come level by level: words, then pairs, then longer phrases, each from places where
 both shorter phrases are frequent, so what is rare is left out before it is counted. No
-vocabulary is broadcast and no text is sent twice:
+vocabulary need fit into a task:
 
 * Texts are cut into blocks of about half a million words. A block becomes a sequence of its own word numbers
-  and the list of its words, which Spark sums and joins. Frequent words of all languages are
+  and the list of its words, which Spark sums and joins to the frequent ones (by broadcast while those are small). Frequent words of all languages are
   numbered from 0, and blocks get the numbers of theirs.
 * On each level a block makes a counting quotient filter of its phrases. The words' numbers are packed
   into integers of fixed width, an invertible permutation spreads them evenly, the upper bits are the
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import numbered
 from foliospark.operators.skew import join_one_per_key
 from foliospark.session import shared_path
+from foliospark.sources.tables import small_broadcast
 
 
 @dataclass(frozen=True)
@@ -58,6 +59,20 @@ def piece_words(raw: bytes) -> list[bytes]:
     return (raw + BREAK).translate(TABLE).replace(BREAK, b" \xff ").split()
 
 
+def packed(values) -> bytes:
+    """An array's bytes, compressed: word numbers hold a third of what they take."""
+    import zstandard
+
+    return zstandard.compress(values.tobytes())
+
+
+def unpacked(raw: bytes, kind):
+    import numpy as np
+    import zstandard
+
+    return np.frombuffer(zstandard.decompress(raw), kind)
+
+
 class Block:
     """Words of several texts, numbered from 1 by language and word; 0 is a break."""
 
@@ -84,7 +99,7 @@ class Block:
         counts = np.bincount(stream, minlength=len(self.names) + 1)[1:]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([block]), pa.array([stream.tobytes()], pa.binary()), pa.nulls(1, pa.string()),
+                pa.array([block]), pa.array([packed(stream)], pa.binary()), pa.nulls(1, pa.string()),
                 pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()),
             ],
             ROWS,
@@ -152,7 +167,7 @@ def global_words(batches):
 
     for batch in batches:
         for i in range(batch.num_rows):
-            local = np.frombuffer(batch.column(1)[i].as_py(), np.int32)
+            local = unpacked(batch.column(1)[i].as_py(), np.int32)
             pairs = batch.column(2)[i].values
             number = np.zeros(int(local.max(initial=0)) + 1, np.int64)
             number[pairs.field(0).to_numpy()] = pairs.field(1).to_numpy() + 1
@@ -169,7 +184,7 @@ def state_row(block: int, words, open_places):
 
     bits = np.packbits(open_places).tobytes()
     return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([words.tobytes()], pa.binary()), pa.array([bits], pa.binary())],
+        [pa.array([block]), pa.array([packed(words)], pa.binary()), pa.array([bits], pa.binary())],
         ["block", "words", "open"],
     )
 
@@ -352,7 +367,7 @@ class Level:
         """Places, distinct phrases in order, and the phrase of each place."""
         import numpy as np
 
-        words = np.frombuffer(words, np.uint32)
+        words = unpacked(words, np.uint32)
         bits = np.unpackbits(np.frombuffer(open_places, np.uint8), count=len(words)).astype(bool)
         at = np.flatnonzero(bits[:-1] & bits[1:])
         keys, phrase = distinct(self.packing.permuted(words, at))
@@ -489,7 +504,8 @@ def frequent_phrases(
 
     # A left join: every block comes back, with the numbers of those of its words that have one.
     pair = F.when(F.col("gid").isNotNull(), F.struct(F.col("local").cast("bigint"), "gid"))
-    pairs = occurring.join(words.drop("f"), ["lang", "word"], "left").groupBy("block")
+    numbers = small_broadcast(words.drop("f"))
+    pairs = occurring.join(numbers, ["lang", "word"], "left").groupBy("block")
     pairs = pairs.agg(F.collect_list(pair).alias("pairs"))
     streams = made.filter("stream is not null").select("block", "stream").join(pairs, "block")
     state = written(streams.mapInArrow(global_words, STATE), "state-1")
