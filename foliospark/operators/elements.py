@@ -13,6 +13,9 @@ from foliospark import constants as K
 from foliospark.functions import layout as L
 from foliospark.functions.text import without_bom
 
+NO_LAYOUT = "no layout file"
+BAD_LAYOUT = "layout file is not a JSON array of objects"
+
 _STRING_FIELDS = ("type", "text", "table_body", *K.METADATA_KEYS)
 
 
@@ -52,8 +55,8 @@ def parse_layout(docs: DataFrame, json: str = "layout_json") -> DataFrame:
         .withColumn(
             "error",
             F.when(F.col("success"), "")
-            .when(F.col(json).isNull(), "no layout file")
-            .otherwise("layout file is not a JSON array of objects"),
+            .when(F.col(json).isNull(), NO_LAYOUT)
+            .otherwise(BAD_LAYOUT),
         )
     )
 

@@ -19,6 +19,7 @@ from foliospark.operators import calls
 from foliospark.operators import chunks as C
 from foliospark.operators import elements as E
 from foliospark.operators import extract as X
+from foliospark.operators import large
 from foliospark.operators import report as R
 from foliospark.operators import state as S
 from foliospark.operators import translate as TR
@@ -202,6 +203,13 @@ def layout_json(spark, folder):
     return flat(elements, "success", "n_bad_fields")
 
 
+def layout_json_parts(spark, folder):
+    """The same from texts that come in parts of 200 characters."""
+    docs = page_json(table(spark, folder, "pages"))
+    raw = large.layout_elements_of_parts(large.text_in_parts(docs, "page_id", "layout_json", 200), "page_id")
+    return flat(E.normalise(raw, ["page_id", "success", "n_bad_fields"]), "success", "n_bad_fields")
+
+
 def layout_json_summary(spark, folder):
     parsed = E.parse_layout(page_json(table(spark, folder, "pages")))
     keys = ["page_id", "success", "error"]
@@ -242,6 +250,12 @@ def markdown_chunks(spark, folder):
     return document_chunks(spark, folder)
 
 
+def paragraph_chunks(spark, folder):
+    """The same chunks from one row per paragraph."""
+    rows = C.paragraphs(documents(spark, folder), ["doc_id"], separator=LINE)
+    return large.chunk_paragraph_rows(rows, "doc_id", LINE)
+
+
 def reassembled(spark, folder):
     return C.reassemble(document_chunks(spark, folder), ["doc_id"], separator=LINE)
 
@@ -832,10 +846,12 @@ QUERIES = {
         layout_summary_of_manifest,
         type_distribution,
         layout_json,
+        layout_json_parts,
         layout_json_summary,
         extract_elements,
         paragraphs,
         markdown_chunks,
+        paragraph_chunks,
         reassembled,
         reassembled_parts,
         translate_requests,
