@@ -62,9 +62,8 @@ MAX_CHARS = 3000
 BATCH_SIZE = 32
 TEMPERATURE = 0.1
 MAX_ATTEMPTS = 3
-# Our own bounds on calls: texts in one call, and failed texts in a row that end a task's calls.
+# Our own bound on calls: texts in one call.
 TEXTS_PER_CALL = 1
-GIVE_UP_AFTER = 20
 NO_RESULT_ERROR = "未知错误"
 
 # The system prompts, {target_lang} is filled in per request.

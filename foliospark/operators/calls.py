@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 
@@ -21,34 +23,67 @@ def attempt(call, attempts: int, wait):
     return None, error
 
 
+class ServiceDown(RuntimeError):
+    """So many texts in a row whose calls raised that a task gives up, and its run with it."""
+
+
 @dataclass(frozen=True)
 class Calling:
     """How the user's function is called: attempts for each text, growth of the wait between them,
-    texts in one call, and after how many texts in a row whose calls failed a task stops calling."""
+    texts in one call, calls of one task at the same time, and after how many texts in a row whose
+    calls raised a task ends its run with an error (never, if not given)."""
 
     attempts: int
     backoff: float
     texts_per_call: int = 1
-    give_up_after: int = 20
+    in_flight: int = 1
+    stop_after: int | None = None
 
 
 class Caller:
-    """Calls the user's function for one task; errors are values."""
+    """Calls the user's function for one task; errors are values.
+
+    What becomes of a text depends on that text and its call alone, not on the texts before it.
+    """
 
     def __init__(self, fn, prompt: str, calling: Calling):
-        self.fn, self.prompt, self.calling, self.refused = fn, prompt, calling, 0
+        self.fn, self.prompt, self.calling, self.down = fn, prompt, calling, 0
 
     def answers(self, texts: list) -> list:
         """``(response, error)`` per text; blank texts are not sent and get ``(None, None)``."""
         results = [(None, None)] * len(texts)
         sent = [i for i, t in enumerate(texts) if t and t.strip()]
         size = max(1, self.calling.texts_per_call)
-        for start in range(0, len(sent), size):
-            part = sent[start : start + size]
-            for i, pair in zip(part, self._part([texts[i] for i in part])):
-                results[i] = pair
+        parts = [sent[start : start + size] for start in range(0, len(sent), size)]
+        for part, found in zip(parts, self._in_order([[texts[i] for i in part] for part in parts])):
+            for i, (response, error, asked) in zip(part, found):
+                results[i] = response, error
+                self._watch(asked, error)
         return results
 
+    def _in_order(self, parts: list):
+        """The results of each part, in order; up to ``in_flight`` calls overlap."""
+        if self.calling.in_flight <= 1:
+            yield from map(self._part, parts)
+            return
+        waiting: deque = deque()
+        with ThreadPoolExecutor(self.calling.in_flight) as pool:
+            try:
+                for part in parts:
+                    if len(waiting) == self.calling.in_flight:
+                        yield waiting.popleft().result()
+                    waiting.append(pool.submit(self._part, part))
+                while waiting:
+                    yield waiting.popleft().result()
+            finally:
+                for call in waiting:
+                    call.cancel()
+
+    def _watch(self, asked: bool, error: str | None) -> None:
+        self.down = 0 if asked else self.down + 1
+        if self.calling.stop_after and self.down >= self.calling.stop_after:
+            raise ServiceDown(f"{self.down} texts in a row failed, the last one with: {error}")
+
     def _ask(self, texts: list) -> list:
         answers = list(self.fn(texts, self.prompt))
         if len(answers) != len(texts):
@@ -56,22 +91,20 @@ class Caller:
         return answers
 
     def _part(self, texts: list) -> list:
-        """One call for several texts. A call that fails is halved, so a bad text is found in a
-        few calls and cannot fail its neighbours; a text alone gets all its attempts."""
+        """``(response, error, whether the service answered at all)`` for each text of one call. A
+        call that fails is halved, so a bad text is found in a few calls and cannot fail its neighbours; a
+        text alone gets all its attempts."""
         if len(texts) == 1:
             return [self._single(texts[0])]
         answers, _ = attempt(lambda: self._ask(texts), 1, None)
         if answers is None:
             half = len(texts) // 2
             return self._part(texts[:half]) + self._part(texts[half:])
-        self.refused = 0
         return [
-            (a, None) if isinstance(a, str) else self._single(t) for a, t in zip(answers, texts)
+            (a, None, True) if isinstance(a, str) else self._single(t) for a, t in zip(answers, texts)
         ]
 
     def _single(self, text: str) -> tuple:
-        if self.refused >= self.calling.give_up_after:
-            return None, f"not sent after {self.refused} failed calls in a row"
         answered = False
 
         def call():
@@ -85,8 +118,7 @@ class Caller:
             return answer
 
         pair = attempt(call, self.calling.attempts, lambda n: self.calling.backoff**n)
-        self.refused = 0 if answered else self.refused + 1
-        return pair
+        return (*pair, answered)
 
 
 def answer_column(fn, prompt: str, column: str, calling: Calling):

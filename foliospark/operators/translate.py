@@ -4,9 +4,11 @@ The function is ``fn(texts, system_prompt) -> list of str``. It may run again wh
 retried or a result is used twice, so write results once and read them back wherever the calls
 cost money; :func:`translate_distinct` and the batch run in ``plans`` do.
 
-``texts_per_call`` bounds what one call is given. ``give_up_after`` failed texts in a row, each
-tried ``max_attempts`` times, are taken for a service that is down: the rest of that task's rows
-fail at once, to be sent again by a later run.
+``texts_per_call`` bounds what one call is given, ``in_flight`` is the number of calls that one task
+makes at the same time (the function then has to bear threads); results keep their order. Every text
+is sent, whatever became of those before it. Whoever wants a service that is down to end the job
+gives ``stop_after``: so many texts in a row whose calls raised are an error of the task, and with it of
+the run or the micro-batch, which is then run again as a whole.
 """
 
 from __future__ import annotations
@@ -32,13 +34,14 @@ def _answered(
     max_attempts: int,
     backoff: float,
     texts_per_call: int,
-    give_up_after: int,
+    in_flight: int,
+    stop_after: int | None,
 ) -> DataFrame:
     """``rows`` plus ``response`` (NULL: blank or failed) and ``error`` (NULL: no failure)."""
     if parallelism:
         rows = rows.repartition(parallelism)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    calling = calls.Calling(max_attempts, backoff, texts_per_call, give_up_after)
+    calling = calls.Calling(max_attempts, backoff, texts_per_call, in_flight, stop_after)
     task = calls.answer_column(fn, prompt, text, calling)
     return rows.mapInArrow(task, f"{columns}, response string, error string")
 
@@ -54,13 +57,14 @@ def translate_table(
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
     texts_per_call: int = K.TEXTS_PER_CALL,
-    give_up_after: int = K.GIVE_UP_AFTER,
+    in_flight: int = 1,
+    stop_after: int | None = None,
 ) -> DataFrame:
     """One result per row; ``parallelism`` is the number of concurrent callers."""
     prompt = system_prompt or K.MARKDOWN_PROMPT.replace("{target_lang}", target_lang)
     answered = _answered(
         rows.select(*keys, F.col(text).alias("original")),
-        fn, prompt, "original", parallelism, max_attempts, backoff, texts_per_call, give_up_after,
+        fn, prompt, "original", parallelism, max_attempts, backoff, texts_per_call, in_flight, stop_after,
     )
     blank = T.is_blank(F.col("original"))
     success = blank | F.col("response").isNotNull()
@@ -134,7 +138,8 @@ def answer_documents(
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
     texts_per_call: int = K.TEXTS_PER_CALL,
-    give_up_after: int = K.GIVE_UP_AFTER,
+    in_flight: int = 1,
+    stop_after: int | None = None,
 ) -> DataFrame:
     """Split, pack and send whole documents: ``keys, blank_source, chunks, answers``.
 
@@ -152,7 +157,7 @@ def answer_documents(
         F.when(~T.is_blank(F.col("source")), F.col("chunks")).alias("chunks"),
     )
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema.fields)
-    calling = calls.Calling(max_attempts, backoff, texts_per_call, give_up_after)
+    calling = calls.Calling(max_attempts, backoff, texts_per_call, in_flight, stop_after)
     return packed.mapInArrow(
         calls.answer_lists(fn, prompt, "chunks", calling),
         f"{columns}, answers array<struct<response:string,error:string>>",
@@ -223,10 +228,11 @@ def translate_batches(
     max_attempts: int = K.MAX_ATTEMPTS,
     backoff: float = 2.0,
     texts_per_call: int = K.TEXTS_PER_CALL,
-    give_up_after: int = K.GIVE_UP_AFTER,
+    in_flight: int = 1,
+    stop_after: int | None = None,
 ) -> DataFrame:
     """Send packed batches; adds ``response`` and ``error`` for ``unpack_batches``."""
     prompt = K.BATCH_PROMPT.replace("{target_lang}", target_lang)
     return _answered(
-        batches, fn, prompt, "combined", parallelism, max_attempts, backoff, texts_per_call, give_up_after
+        batches, fn, prompt, "combined", parallelism, max_attempts, backoff, texts_per_call, in_flight, stop_after
     )

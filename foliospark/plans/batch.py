@@ -173,6 +173,8 @@ def run_batch(
     texts_per_call: int = K.TEXTS_PER_CALL,
     saved_events: DataFrame | None = None,
     memory: str | None = None,
+    in_flight: int = 1,
+    stop_after: int | None = None,
 ) -> BatchRun:
     """Bring every document of ``manifest`` (``doc_id, path, file, stem, mtime``) up to date.
 
@@ -186,6 +188,7 @@ def run_batch(
     ``memory`` is the folder of a translation memory, which other output folders may share: with it
     every distinct text is sent once for a prompt and language, over all documents and runs; the texts that are
     unknown and the translations are shuffled for that. Without it every chunk is sent and none shuffled.
+    How calls are made (``texts_per_call``, ``in_flight``, ``stop_after``) is said in ``operators.translate``.
 
     The recorded state is folded once and written; later questions add this run's own events to
     it. Keys alone decide what is parsed. Raw documents and texts go through no shuffle, but for
@@ -290,7 +293,7 @@ def run_batch(
             docs = docs.unionByName(_outputs(tables, older, "markdown").drop("found"))
         options = dict(
             system_prompt=system_prompt, parallelism=parallelism, max_attempts=max_attempts,
-            backoff=backoff, texts_per_call=texts_per_call,
+            backoff=backoff, texts_per_call=texts_per_call, in_flight=in_flight, stop_after=stop_after,
         )
         keys = ("doc_id", "mtime", "stem")
         sendable = docs.filter(S.document_gate(F.col("markdown")) != K.SKIPPED)

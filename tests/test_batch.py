@@ -235,6 +235,52 @@ def test_no_files(spark, tmp_path):
         run(spark, tmp_path / "in", tmp_path / "out")
 
 
+def test_refused_chunks_do_not_stop_others(spark, tmp_path):
+    """Thirty refused chunks stand in front of good ones, in the batch run and in the stream."""
+    text = "\n\n".join([*["ugly"] * 30, "good"])
+    inputs, folder, out = tmp_path / "in", tmp_path / "md", tmp_path / "stream"
+    put(inputs, "a.pdf", markdown=text)
+    put(inputs, "b.pdf", markdown="fine")
+    calls = Calls(tmp_path / "calls", bad="ugly")
+    done = run_files(
+        spark, str(inputs), str(tmp_path / "out"), extractor, True, translator=calls, parallelism=1, max_attempts=1,
+        max_chars=4, in_flight=2,
+    )
+    assert calls.sent() == ["fine", "good"]
+    rows = spark.read.parquet(done.tables.path("translated_markdown", done.run_id)).collect()
+    assert sorted(r.n_failed_chunks for r in rows) == [0, 30]
+    folder.mkdir()
+    (folder / "a.md").write_text(text)
+    (folder / "b.md").write_text("fine")
+    query = translate_new_files(
+        spark, f"file://{folder}", str(out), str(tmp_path / "ck"), calls, max_attempts=1, max_chars=4, parallelism=1
+    )
+    assert query.awaitTermination(120) and calls.sent() == ["fine", "good"]
+    assert sorted(r.n_failed_chunks for r in spark.read.parquet(str(out)).collect()) == [0, 30]
+
+
+def test_stream_runs_a_batch_again_when_the_service_was_down(spark, tmp_path):
+    folder, out = tmp_path / "md", tmp_path / "out"
+    folder.mkdir()
+    for i in range(6):
+        (folder / f"{i}.md").write_text(f"text {i}")
+    calls = Calls(tmp_path / "calls", bad="text")
+
+    def once():
+        query = translate_new_files(
+            spark, f"file://{folder}", str(out), str(tmp_path / "ck"), calls, max_attempts=1, parallelism=1, stop_after=3
+        )
+        query.awaitTermination(120)
+
+    with pytest.raises(Exception, match="3 texts in a row failed"):
+        once()
+    assert not list(out.glob("batch_id=*/part-*"))
+    calls.bad = None
+    once()
+    assert calls.sent() == [f"text {i}" for i in range(6)]
+    assert spark.read.parquet(str(out)).count() == 6
+
+
 def test_new_files_stream(spark, tmp_path):
     folder, out = tmp_path / "md", tmp_path / "out"
     folder.mkdir()

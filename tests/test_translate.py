@@ -1,9 +1,12 @@
+import threading
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from foliospark import constants as K
 from foliospark.operators import translate as TR
-from foliospark.operators.calls import Caller, Calling, attempt
+from foliospark.operators.calls import Caller, Calling, ServiceDown, attempt
 from foliospark.operators.skew import join_one_per_key
 from foliospark.session import shared_path
 
@@ -44,6 +47,17 @@ def test_a_bad_text_does_not_fail_its_neighbours(spark):
     ]
 
 
+def test_good_texts_behind_many_refused_ones(spark):
+    """In one task, row by row and as a document, also with calls that overlap."""
+    texts = ["bad"] * 25 + ["good"] * 5
+    for options in ({}, {"in_flight": 3}, {"texts_per_call": 4}):
+        rows = TR.translate_table(table(spark, *texts).coalesce(1), refuse_some, max_attempts=1, **options)
+        assert rows.filter("success").count() == 5
+        docs = spark.createDataFrame([("d", "\n\n".join(texts)), ("e", "good")], "doc_id string, content string")
+        made = TR.translate_markdown(docs.coalesce(1), refuse_some, max_chars=1, max_attempts=1, **options).collect()
+        assert {r.doc_id: r.n_failed_chunks for r in made} == {"d": 25, "e": 0}
+
+
 def test_attempts():
     calls = []
 
@@ -89,12 +103,49 @@ def test_calls_are_bounded():
     sizes.clear()
     assert answers(some, ["0", "1", "bad", "3"], texts_per_call=4)[2] == (None, "no")
     assert sizes == [4, 2, 2, 1, 1]
-    # A service that is down is not asked for every text.
+    # Every text is sent, however many before it have failed.
     sizes.clear()
-    found = answers(some, ["bad"] * 50, give_up_after=3)
-    assert len(sizes) == 3 and found[-1] == (None, "not sent after 3 failed calls in a row")
-    # Refusing texts is an answer.
-    assert {e for _, e in answers(lambda t, p: [ValueError("no")] * len(t), ["x"] * 50)} == {"no"}
+    assert answers(some, ["bad"] * 50 + ["good"])[-1] == ("good", None) and len(sizes) == 51
+
+
+@pytest.mark.parametrize("in_flight", [1, 4])
+def test_a_service_that_is_down_ends_the_job_if_asked_to(in_flight):
+    asked = []
+
+    def down(texts, prompt):
+        asked.append(texts)
+        raise ConnectionError("down")
+
+    with pytest.raises(ServiceDown, match="down"):
+        answers(down, ["x"] * 500, stop_after=3, in_flight=in_flight)
+    assert len(asked) <= 3 + in_flight
+    # Refusing texts is an answer, and a good one in between starts the count anew.
+    assert {e for _, e in answers(lambda t, p: [ValueError("no")] * len(t), ["x"] * 50, stop_after=3)} == {"no"}
+    found = answers(refuse_some, ["bad", "bad", "x"] * 20, stop_after=3, in_flight=in_flight)
+    assert sum(e is None for _, e in found) == 20
+
+
+def test_calls_overlap_and_keep_their_order():
+    running, most, lock = [0], [0], threading.Lock()
+
+    def slow(texts, prompt):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        time.sleep(0.002 if "0" in texts[0] else 0.02)
+        with lock:
+            running[0] -= 1
+        if texts[0].endswith("7"):
+            raise ValueError(texts[0])
+        return [f"T{t}" for t in texts]
+
+    texts = [str(i) for i in range(60)] + [None, " "]
+    began = time.perf_counter()
+    plain = answers(slow, texts)
+    middle = time.perf_counter()
+    assert most == [1] and answers(slow, texts, in_flight=6) == plain
+    assert 3 <= most[0] <= 6 and time.perf_counter() - middle < (middle - began) / 2
+    assert [p for p in plain if p[1]] == [(None, str(i)) for i in range(7, 60, 10)]
 
 
 def test_prompts(spark):
