@@ -60,17 +60,21 @@ class Tables:
         return self.read("state_versions", "version STRING").agg(F.max("version")).first()[0]
 
     def _appends(self) -> list[str]:
-        """The appends to the event log that have committed: a few names for each run."""
-        filesystem, folder = self._folder(self.path("stage_events"))
-        if not filesystem.exists(folder):
-            return []
-        names = [f.getPath().getName() for f in filesystem.listStatus(folder)]
-        done = [n for n in names if filesystem.exists(self._folder(f"{self.path('stage_events')}/{n}/_SUCCESS")[1])]
-        return sorted(n.removeprefix("append=") for n in done if n.startswith("append="))
+        """The appends to the event log that have committed: a few names for each run, from one listing."""
+        filesystem, pattern = self._folder(f"{self.path('stage_events')}/append=*/_SUCCESS")
+        found = filesystem.globStatus(pattern) or []
+        return sorted(f.getPath().getParent().getName().removeprefix("append=") for f in found)
 
-    def _covered(self, version: str) -> list[str]:
+    def _covered(self, version: str) -> set[str]:
         rows = self.spark.read.schema("append STRING").parquet(self.path(f"stage_state/{version}/covers"))
-        return [r["append"] for r in rows.collect()]
+        return {r["append"] for r in rows.collect()}
+
+    def _events_of(self, appends: list[str]) -> DataFrame:
+        """The events of some appends; the folders of others are not opened."""
+        if not appends:
+            return self.spark.createDataFrame([], schemas.STAGE_EVENTS)
+        paths = [f"{self.path('stage_events')}/append={a}" for a in appends]
+        return self.spark.read.schema(schemas.STAGE_EVENTS).parquet(*paths)
 
     def events(self, version: str | None = None, only_run: str | None = None) -> DataFrame:
         """The stage events, from a compacted state on when its version is given.
@@ -79,14 +83,13 @@ class Tables:
         what a run adds after the compaction, whenever that run began, is never left out.
         ``only_run`` reads the appends of one run alone.
         """
-        new = self.read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
         if only_run is not None:
-            return new.filter(F.col("append").startswith(only_run)).drop("append")
+            return self._events_of([a for a in self._appends() if a.startswith(only_run)])
         if version is None:
-            return new.drop("append")
+            return self._events_of(self._appends())
         old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{version}/events"))
         covered = self._covered(version)
-        return old.unionByName(new.filter(~F.col("append").isin(covered)).drop("append"))
+        return old.unionByName(self._events_of([a for a in self._appends() if a not in covered]))
 
     def append_events(self, events: DataFrame, run_id: str) -> None:
         append = f"{run_id}-{uuid.uuid4().hex[:8]}"
@@ -96,24 +99,41 @@ class Tables:
         """Write the current state as a new version; later runs start from it.
 
         Nothing is overwritten: a version counts once it is in ``state_versions``, which is
-        written after the state itself has committed. Runs may go on meanwhile.
+        written after the state itself has committed. Runs may go on meanwhile. What is listed as covered are
+        the appends that are still there, so the list is bounded by what :meth:`vacuum` leaves.
         """
-        version, before = new_run_id(), self.state_version()
-        appends = self._appends()
-        new = self.read("stage_events", f"{schemas.STAGE_EVENTS}, append STRING")
-        known = self._covered(before) if before else []
-        fresh = new.filter(F.col("append").isin([x for x in appends if x not in set(known)])).drop("append")
+        version, before, appends = new_run_id(), self.state_version(), self._appends()
         if before:
+            known = self._covered(before)
             old = self.spark.read.schema(schemas.STAGE_EVENTS).parquet(self.path(f"stage_state/{before}/events"))
-            fresh = old.unionByName(fresh)
+            fresh = old.unionByName(self._events_of([a for a in appends if a not in known]))
+        else:
+            fresh = self._events_of(appends)
         S.compact_events(fresh).write.parquet(self.path(f"stage_state/{version}/events"))
-        names = [(x,) for x in sorted({*known, *appends})]
-        covers = self.spark.createDataFrame(names, "append STRING").coalesce(1)
+        covers = self.spark.createDataFrame([(a,) for a in appends], "append STRING").coalesce(1)
         covers.write.parquet(self.path(f"stage_state/{version}/covers"))
         done = self.spark.createDataFrame([(version,)], "version STRING").coalesce(1)
         done.write.mode("append").parquet(self.path("state_versions"))
         return version
 
+    def vacuum(self, before: datetime) -> int:
+        """Delete appends and states that a later state holds; how many folders went.
+
+        Goes by start times: only what began before ``before`` (UTC), and of the states all but the last. A run in
+        progress reads its own appends and the state it began with, so ``before`` has to lie before the
+        start of every run that still goes on.
+        """
+        last = self.state_version()
+        if last is None:
+            return 0
+        limit = f"{before:%Y%m%dT%H%M%S%f}"
+        gone = [f"stage_events/append={a}" for a in self._covered(last) if a < limit]
+        filesystem, states = self._folder(self.path("stage_state"))
+        names = [f.getPath().getName() for f in filesystem.listStatus(states)]
+        gone += [f"stage_state/{v}" for v in names if v < min(last, limit)]
+        deleted = [filesystem.delete(self._folder(self.path(x))[1], True) for x in gone]
+        return sum(map(bool, deleted))
+
     def extracted(self) -> DataFrame:
         return self.read("extracted", f"{schemas.EXTRACTED}, run_id STRING")
 

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.plans.batch import run_files
 from foliospark.streaming.markdown import translate_new_files
@@ -156,6 +157,36 @@ def test_compaction_keeps_what_running_runs_add(spark, inputs, tmp_path):
     assert [row[s].status for s in ("parse", "layout", "translate")] == ["done"] * 3
 
 
+def test_lists_of_appends_are_bounded(spark, tmp_path):
+    """After a vacuum a compacted state lists only the appends that are left, and holds all of them."""
+    from datetime import datetime, timedelta, timezone
+
+    from foliospark.operators import state as S
+    from foliospark.plans.batch import Tables, new_run_id
+
+    tables = Tables(spark, str(tmp_path / "out"))
+    docs = spark.createDataFrame([(f"d{i}",) for i in range(3)], "doc_id string").withColumn(
+        "mtime", F.lit("2024-01-01").cast("timestamp")
+    )
+    assert tables.vacuum(datetime.now(timezone.utc)) == 0
+    for stage in ("parse", "layout"):
+        for _ in range(3):
+            run_id = new_run_id()
+            tables.append_events(S.mark_stage(docs, stage, "done", run_id), run_id)
+        version = tables.compact()
+    assert len(tables._covered(version)) == 6
+    assert tables.vacuum(datetime.now(timezone.utc) - timedelta(days=1)) == 0
+    running = new_run_id()
+    assert tables.vacuum(datetime.now(timezone.utc)) == 7 and tables._appends() == []
+    tables.append_events(S.mark_stage(docs, "translate", "done", running, target_lang="英文"), running)
+    (tmp_path / "out/stage_events/append=broken").mkdir()  # never committed
+    state = S.latest_state(tables.events(tables.state_version()), "英文").collect()
+    assert len(state) == 3 and all(r[s].status == "done" for r in state for s in ("parse", "layout", "translate"))
+    version = tables.compact()
+    assert len(tables._covered(version)) == 1 and tables.events(version).count() == 9
+    assert tables.events(only_run=running).count() == 3
+
+
 def test_exports_and_system_prompt(spark, inputs, tmp_path):
     def echo(texts, prompt):
         return [f"{prompt}:{t}" for t in texts]
