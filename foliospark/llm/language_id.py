@@ -23,8 +23,9 @@ SCHEMA = "lang_pred string, score double, second string, ambiguous boolean"
 @dataclass(frozen=True)
 class Settings:
     """``rows_per_language``: about how many labelled rows each classifier learns from, picked by
-    a hash of the key from all of them; languages with fewer give all. ``bits``: log2 of the
-    number of hashed n-grams. ``chunk``: characters held as arrays at a time. ``ambiguous_below``:
+    a hash of the key from all of them; languages with fewer give all. ``max_languages``: so many
+    labels are learned, those with the most rows (of equal ones the first by name); others are never
+    predicted. ``bits``: log2 of the number of hashed n-grams. ``chunk``: characters held as arrays at a time. ``ambiguous_below``:
     scores under it are flagged."""
 
     rows_per_language: int = 4000
@@ -36,13 +37,15 @@ class Settings:
 
 
 def codewords(n: int):
-    """``n`` codewords of +1 and -1, one per row.
+    """``n`` codewords of +1 and -1, one per row; without bits where there is nothing to tell apart.
 
     Up to seven languages: every way to part them in two, once. More: rows of a Hadamard matrix
     without its constant column; any two differ in half of the bits.
     """
     import numpy as np
 
+    if n < 2:
+        return np.ones((n, 0))
     if n <= 7:
         splits = range(1, 2 ** (n - 1))
         return np.array(
@@ -120,7 +123,9 @@ def fit(
     """Learns from the labelled ``rows``; null texts, labels and keys are left out.
 
     The sample's n-grams are counted by Spark; the driver gets the sums alone, at most 2^bits
-    numbers for each language. More than ``max_languages`` labels are an error, not languages.
+    numbers for each of at most ``max_languages`` labels. No labelled row: a model that says ``und``
+    of everything; one label: a model that says nothing else of texts with a letter. Repeated rows count as
+    often as they occur, empty texts have no n-grams. Rows with equal keys are picked together.
     """
     import numpy as np
 
@@ -129,17 +134,16 @@ def fit(
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
     ).filter("key is not null and text is not null and lang is not null")
-    sizes = known.groupBy("lang").count().limit(settings.max_languages + 1).collect()
-    if len(sizes) > settings.max_languages:
-        raise ValueError(f"more than {settings.max_languages} language labels")
-    sizes = {r["lang"]: r["count"] for r in sizes}
+    largest = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang")
+    sizes = {r["lang"]: r["count"] for r in largest.limit(settings.max_languages).collect()}
     languages = sorted(sizes)
     code = codewords(len(languages))
     if len(languages) < 2:
         return Model(languages, code, None, None, None)
     fine = 1_000_000
     parts = {x: -(-settings.rows_per_language * fine // n) for x, n in sizes.items()}
-    # One flat expression: a nested one would be as deep as there are languages.
+    # One flat expression: a nested one would be as deep as there are languages. Of labels that are
+    # not learned no row is picked.
     at = F.when(F.lit(False), F.lit(0))
     for x in languages:
         at = at.when(F.col("lang") == x, F.lit(min(fine, parts[x])))
@@ -206,9 +210,14 @@ def identify_language(
     """``docs`` with a struct column ``into``: language, score between 0 and 1, the runner-up, and
     whether the two are hard to tell apart, for each row.
 
-    Reads nothing but the text, all of it. Null texts and such without a letter are ``und`` with
-    score 0, as is everything where no language was learned. Narrow: no shuffle.
+    Reads nothing but the text, all of it; arrays hold ``chunk`` characters of it at a time, so a text of
+    any length takes bounded memory besides its own. Null texts and such without a letter are ``und`` with
+    score 0, as is everything where no language was learned. Of languages with equal losses the first by name
+    is chosen, and repeated rows get equal results. A table that has a column named as ``into`` is refused. An
+    empty table gives no rows. Narrow: no shuffle.
     """
+    if into.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {into!r} already")
     return docs.withColumn(
         into, struct_udf(lambda: predictor(model, settings), SCHEMA)(F.col(text_col))
     )
