@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark import constants as K
@@ -135,28 +135,79 @@ def pack_batches(
     )
 
 
-def unpack_batches(batches: DataFrame, keys: list[str], index: str = "row_idx") -> DataFrame:
+def lost_rows(sent: Column, parts: Column) -> Column:
+    """Which texts of ``sent`` have no part among fewer ``parts``: their places, ascending.
+
+    Parts and texts keep their order, and the pairing whose lengths differ least in all is chosen; of equal
+    ones that which loses later texts. A table over texts and parts, a row at a time. NULL where
+    either is NULL, empty where there are parts for all.
+    """
+    lengths = F.transform(sent, lambda x: F.length(T.strip(x)).cast("bigint"))
+    made = F.transform(parts, lambda x: F.length(T.strip(x)).cast("bigint"))
+    # The best way to pair the texts so far with the first j parts: its cost and what it loses,
+    # places as negative numbers so that the least of equal ones loses the later text.
+    state = "struct<cost:bigint,lost:array<int>>"
+    nothing = F.struct(F.lit(0).cast("bigint").alias("cost"), F.array().cast("array<int>").alias("lost"))
+    start = F.transform(
+        F.sequence(F.lit(0), F.size(parts)), lambda j: F.when(j == 0, nothing).otherwise(F.lit(None).cast(state))
+    )
+
+    def with_text(best: Column, i: Column) -> Column:
+        def with_parts(j: Column) -> Column:
+            lose, pair = F.get(best, j), F.get(best, j - 1)
+            apart = F.abs(F.get(lengths, i) - F.get(made, j - 1))
+            return F.least(
+                F.when(lose.isNotNull(), F.struct(lose["cost"].alias("cost"), F.array_append(lose["lost"], -i).alias("lost"))),
+                F.when(pair.isNotNull(), F.struct((pair["cost"] + apart).alias("cost"), pair["lost"].alias("lost"))),
+            )
+
+        return F.transform(F.sequence(F.lit(0), F.size(parts)), with_parts)
+
+    texts = F.sequence(F.lit(0), F.size(sent) - 1)
+    best = F.aggregate(texts, start, with_text, lambda x: F.get(x, F.size(parts)))
+    lost = F.transform(best["lost"], lambda i: -i)
+    return F.when(F.size(parts) < F.size(sent), lost).when(F.size(sent).isNotNull() & parts.isNotNull(), F.array().cast("array<int>"))
+
+
+def unpack_batches(batches: DataFrame, keys: list[str], index: str = "row_idx", align: bool = False) -> DataFrame:
     """One result per input row from batches with their ``response`` and ``error``.
 
     The i-th part of a response belongs to the i-th non-blank row. Parts that are missing give
     empty text and count as success, told apart by ``missing_part``; surplus parts are ignored.
     Blank rows succeed with empty text. A failed call (NULL response to a non-empty request)
     fails every row of its batch.
+
+    With ``align`` two more columns say what a response with too few parts is likelier to mean:
+    ``lost`` marks the rows whose lengths fit none of the parts, in order, and ``aligned`` is the text that
+    the others get.
     """
     parts = T.split_literal(F.col("response"), K.BATCH_SEPARATOR)
     failed = F.col("combined").isNotNull() & F.col("response").isNull()
-    kept = F.transform(F.filter("rows", lambda r: ~r["blank"]), lambda r: r["row_idx"])
-    rows = batches.select(
+    sent_rows = F.filter("rows", lambda r: ~r["blank"])
+    kept = F.transform(sent_rows, lambda r: r["row_idx"])
+    texts = F.transform(sent_rows, lambda r: r["text"])
+    opened = batches.withColumn("_parts", parts)
+    if align:
+        opened = opened.withColumn("_lost", F.when(F.col("combined").isNotNull(), lost_rows(texts, F.col("_parts"))))
+    rows = opened.select(
         *keys,
         "batch_id",
-        parts.alias("_parts"),
+        "_parts",
+        *["_lost"][: int(align)],
         failed.alias("_failed"),
         kept.alias("_kept"),
         "error",
         F.explode("rows").alias("r"),
     )
-    part = F.get("_parts", F.array_position("_kept", F.col("r.row_idx")).cast("int") - 1)
+    place = F.array_position("_kept", F.col("r.row_idx")).cast("int") - 1
+    part = F.get("_parts", place)
     sent = ~F.col("_failed") & ~F.col("r.blank")
+    more = []
+    if align:
+        lost = F.coalesce(F.array_contains("_lost", place), F.lit(False))
+        earlier = F.size(F.filter("_lost", lambda x: x < place))
+        found = F.coalesce(T.strip(F.get("_parts", place - earlier)), F.lit(""))
+        more = [F.when(sent & ~lost, found).otherwise("").alias("aligned"), (sent & lost).alias("lost")]
     return rows.select(
         *keys,
         F.col("r.row_idx").alias(index),
@@ -168,6 +219,7 @@ def unpack_batches(batches: DataFrame, keys: list[str], index: str = "row_idx")
         .otherwise("")
         .alias("error"),
         (sent & part.isNull()).alias("missing_part"),
+        *more,
     )
 
 

@@ -304,6 +304,48 @@ def statements() -> dict[str, str]:
             SELECT conv_id, turn, original, translated, success AND NOT missing_part AS success,
                    CASE WHEN missing_part THEN {quote(K.NO_RESULT_ERROR)} ELSE error END AS error
             FROM results""",
+        # All ways to lose as many turns as there are parts too few, and the one with the closest lengths.
+        "batch_align": f"""WITH turns AS (
+              SELECT conv_id, turn, turn // 5 AS batch_id, text, {strip("coalesce(text, '')")} = '' AS blank
+              FROM conversations
+            ),
+            sent AS (
+              SELECT *, CAST(row_number() OVER w - 1 AS INTEGER) AS pos, CAST(count(*) OVER p AS INTEGER) AS k,
+                     string_agg(text, {BREAK} ORDER BY turn) OVER p AS combined
+              FROM turns WHERE NOT blank
+              WINDOW w AS (PARTITION BY conv_id, batch_id ORDER BY turn), p AS (PARTITION BY conv_id, batch_id)
+            ),
+            answered AS (
+              SELECT *, contains(combined, 'ñ') AS failed,
+                     CASE WHEN k > 1 AND contains(combined, 'ß') THEN 0
+                          WHEN k > 1 AND contains(combined, 'e') THEN k // 2 END AS gone
+              FROM sent
+            ),
+            batches AS (
+              SELECT conv_id, batch_id, any_value(k) AS k, any_value(failed) AS failed,
+                     list(length({strip("text")}) ORDER BY pos) AS lo,
+                     list({strip("'[en] ' || text")} ORDER BY pos) FILTER (WHERE gone IS NULL OR pos <> gone) AS parts
+              FROM answered GROUP BY conv_id, batch_id
+            ),
+            ways AS (
+              SELECT *, list_filter(range(0, k), lambda i: (mask >> i) % 2 = 1) AS lost,
+                     list_filter(range(0, k), lambda i: (mask >> i) % 2 = 0) AS kept
+              FROM (SELECT *, unnest(range(0, CAST(pow(2, k) AS BIGINT))) AS mask FROM batches)
+              WHERE bit_count(mask) = k - len(parts)
+            ),
+            best AS (
+              SELECT * FROM ways QUALIFY row_number() OVER (
+                PARTITION BY conv_id, batch_id
+                ORDER BY list_sum(list_transform(range(1, len(kept) + 1), lambda j: abs(lo[kept[j] + 1] - length(parts[j])))),
+                         lost DESC) = 1
+            )
+            SELECT t.conv_id, t.turn, NOT coalesce(b.failed, false) AS success,
+                   CASE WHEN b.failed THEN 'refused' ELSE '' END AS error,
+                   CASE WHEN t.blank OR b.failed OR list_contains(b.lost, s.pos) THEN ''
+                        ELSE b.parts[list_position(b.kept, s.pos)] END AS aligned,
+                   coalesce(NOT t.blank AND NOT b.failed AND list_contains(b.lost, s.pos), false) AS lost
+            FROM turns t LEFT JOIN sent s ON s.conv_id = t.conv_id AND s.turn = t.turn
+            LEFT JOIN best b ON b.conv_id = t.conv_id AND b.batch_id = t.batch_id""",
         "document_keys": r"""
             WITH u AS (SELECT page_id, url, list_extract(string_split(url, '/'), -1) AS name FROM pages),
             n AS (SELECT *, CASE WHEN url LIKE '%/' THEN '' WHEN strpos(name, '.') > 1 AND name NOT LIKE '%.'

@@ -353,6 +353,30 @@ def batch_unpack(spark, folder):
     return C.unpack_batches(answered, ["conv_id"], "turn")
 
 
+def losing_translator(texts, prompt):
+    """Refuses some batches, loses the first part of others and one in the middle of others."""
+
+    def one(combined):
+        parts = [f" [en] {p}\n" for p in combined.split(K.BATCH_SEPARATOR)]
+        if "ñ" in combined:
+            return ValueError("refused")
+        if len(parts) > 1 and "ß" in combined:
+            del parts[0]
+        elif len(parts) > 1 and "e" in combined:
+            del parts[len(parts) // 2]
+        return K.BATCH_SEPARATOR.join(parts)
+
+    return [one(t) for t in texts]
+
+
+def batch_align(spark, folder):
+    """Batches of five turns; which turns lost their part is told by the lengths."""
+    batches = C.pack_batches(table(spark, folder, "conversations"), ["conv_id"], "turn", batch_size=5)
+    answered = TR.translate_batches(batches, losing_translator, max_attempts=1)
+    rows = C.unpack_batches(answered, ["conv_id"], "turn", align=True)
+    return rows.select("conv_id", "turn", "success", "error", "aligned", "lost")
+
+
 def batch_results(spark, folder):
     """Every turn has a result, also where a batch came back with none."""
     turns = table(spark, folder, "conversations")
@@ -863,6 +887,7 @@ QUERIES = {
         translate_markdown,
         batch_pack,
         batch_unpack,
+        batch_align,
         batch_results,
         document_keys,
         artifacts,

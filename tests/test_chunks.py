@@ -134,6 +134,42 @@ def test_unpack_with_too_few_and_too_many_parts(spark):
     assert [f[1] for f in results(C.unpack_batches(answer(packed, many), ["conv"], "i"))] == ["1", "2", "3"]
 
 
+def test_lost_parts_are_found_by_length(spark):
+    """Against all ways to lose as many texts, and where one way stands out."""
+    import itertools
+    import random
+
+    r = random.Random(6)
+    rows = []
+    for i in range(300):
+        sent = ["x" * r.randrange(1, 30) for _ in range(r.randrange(1, 8))]
+        parts = [t + "y" * r.randrange(4) for t in sent if r.random() < 0.7] or [sent[0]]
+        rows.append((i, sent, parts))
+    rows += [(1000, ["a" * 5, "b" * 50, "c" * 7], ["A" * 6, "C" * 8]), (1001, ["a", "b"], ["A", "B", "C"]), (1002, ["a"] * 4, ["A"])]
+    rows += [(1003, ["t" * (7 * i % 60 + 1) for i in range(80)], ["t" * (7 * i % 60 + 1) for i in range(80) if i != 41])]
+    df = spark.createDataFrame(rows, "i int, sent array<string>, parts array<string>")
+    got = {x.i: x.lost for x in df.select("i", C.lost_rows(F.col("sent"), F.col("parts")).alias("lost")).collect()}
+    for i, sent, parts in rows[:-1]:
+        n, m = len(sent), len(parts)
+        ways = []
+        for lost in itertools.combinations(range(n), max(0, n - m)):
+            kept = [t for k, t in enumerate(sent) if k not in lost]
+            ways.append((sum(abs(len(a) - len(b)) for a, b in zip(kept, parts)), [-k for k in lost]))
+        assert got[i] == [-k for k in min(ways)[1]], i
+    assert got[1000] == [1] and got[1001] == [] and got[1002] == [1, 2, 3] and got[1003] == [41]
+
+
+def test_aligned_rows(spark):
+    _, packed = batches(spark, ["short", "a very long text in the middle", " ", "words"], size=4)
+    answered = answer(packed, F.lit(f"SHORT{K.BATCH_SEPARATOR}WORDS "))
+    rows = C.unpack_batches(answered, ["conv"], "i", align=True).orderBy("i").collect()
+    assert [(r.translated, r.missing_part, r.aligned, r.lost) for r in rows] == [
+        ("SHORT", False, "SHORT", False), ("WORDS", False, "", True), ("", False, "", False), ("", True, "WORDS", False)
+    ]
+    failed = C.unpack_batches(answer(packed, F.lit(None).cast("string")), ["conv"], "i", align=True).collect()
+    assert [(r.aligned, r.lost, r.success) for r in failed] == [("", False, False)] * 4
+
+
 def test_unpack_failed_call(spark):
     _, packed = batches(spark, ["a", " ", "b"])
     found = results(C.unpack_batches(answer(packed, F.lit(None).cast("string")), ["conv"], "i"))
