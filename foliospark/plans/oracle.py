@@ -523,5 +523,6 @@ def statements() -> dict[str, str]:
     }
     found["layout_json_parts"] = found["layout_json"]
     found["paragraph_chunks"] = found["markdown_chunks"]
+    found["stream_stage_needed"] = found["stage_needed"]
     found["stream_markdown"] = found["translate_markdown"]
     return found

@@ -29,6 +29,7 @@ from foliospark.plans.batch import run_batch, run_files
 from foliospark.session import shared_path
 from foliospark.sources import files, sinks
 from foliospark.streaming.markdown import translate_new_files
+from foliospark.streaming.state import track_stages, tracked_state
 
 # The paragraphs of the given documents are separated by single line breaks.
 LINE = "\n"
@@ -493,6 +494,17 @@ def stage_needed(spark, folder):
     return S.stage_rows(state(spark, folder)).select("doc_id", "stage", "needed")
 
 
+def stream_stage_needed(spark, folder):
+    """The same from a state that a stream over the log keeps, some files at a time."""
+    root = shared_path(spark, "stage-stream")
+    log = stage_log(spark, folder).withColumn("append", F.pmod(F.hash("run_id"), F.lit(6)).cast("string"))
+    log.write.partitionBy("append").parquet(f"{root}/events")
+    query = track_stages(spark, f"{root}/events", f"{root}/state", f"{root}/checkpoint", max_files_per_batch=3)
+    query.awaitTermination()
+    tracked = S.state_for(source_manifest(spark, folder), tracked_state(spark, f"{root}/state"))
+    return S.stage_rows(tracked).select("doc_id", "stage", "needed")
+
+
 def unfinished_documents(spark, folder):
     manifest = source_manifest(spark, folder)
     todo = S.without_fresh_done(manifest, recorded_state(spark, folder), K.STAGE_LAYOUT)
@@ -894,6 +906,7 @@ QUERIES = {
         document_gate,
         stage_state,
         stage_needed,
+        stream_stage_needed,
         unfinished_documents,
         all_done,
         state_overview,
