@@ -522,6 +522,7 @@ def statements() -> dict[str, str]:
             CASE WHEN {PAGE_OK} THEN 3 ELSE 2 END AS stages_run FROM pages""",
     }
     found["layout_json_parts"] = found["layout_json"]
+    found["layout_file_parts"] = found["layout_json"]
     found["paragraph_chunks"] = found["markdown_chunks"]
     found["stream_stage_needed"] = found["stage_needed"]
     found["stream_markdown"] = found["translate_markdown"]

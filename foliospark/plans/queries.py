@@ -793,6 +793,16 @@ def artifact_files(spark, folder):
     return summary.select(*keys, "total_elements", "page_count", "translatable_count")
 
 
+def layout_file_parts(spark, folder):
+    """The elements of layout files that are read in parts of 300 bytes."""
+    root = page_files(spark, folder, html=False, artifacts=True)
+    listing = files.list_files(spark, f"{root}/out").filter(F.col("path").endswith(K.LAYOUT_SUFFIX))
+    stem = F.substring_index(P.file_name(F.col("path")), "_", 1)
+    parts = files.read_parts(listing.withColumn("page_id", page_id_of(stem)), "page_id", 300)
+    raw = large.layout_elements_of_parts(parts, "page_id")
+    return flat(E.normalise(raw, ["page_id", "success", "n_bad_fields"]), "success", "n_bad_fields")
+
+
 def markdown_files(spark, folder):
     docs = documents(spark, folder).withColumn("out_name", F.format_string("%d/d%d.md", F.col("doc_id") % 7, "doc_id"))
     root = written_files(spark, "markdown-files", docs)
@@ -924,6 +934,7 @@ QUERIES = {
         current_translations,
         source_files,
         artifact_files,
+        layout_file_parts,
         markdown_files,
         summary_files,
         translated_files,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions.text import without_bom
-from foliospark.operators.calls import list_folders, locate, open_texts
+from foliospark.operators.calls import list_folders, locate, open_texts, read_ranges
 from foliospark.session import shared_path
 
 
@@ -165,6 +165,23 @@ def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*") ->
     )
 
 
+def read_parts(listing: DataFrame, key: str = "doc_id", part_bytes: int = 32 * 1024 * 1024) -> DataFrame:
+    """(``key``, ``number``, ``piece``): the texts of listed files (``path``, ``length``) in parts.
+
+    A file of any size is read by as many tasks as it has parts. Parts are cut at bytes, and a character
+    belongs to the part in which it begins. A part that cannot be read is NULL.
+    """
+    kind = listing.schema[key].dataType.simpleString()
+    last = F.greatest(F.ceil(F.col("length") / part_bytes), F.lit(1)).cast("bigint") - 1
+    parts = listing.select(key, "path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("number"))
+    tasks = listing.sparkSession.sparkContext.defaultParallelism * 4
+    bytes_of_all = listing.agg(F.sum("length")).first()[0] or 0
+    tasks = max(tasks, -(-int(bytes_of_all) // (4 * part_bytes)))
+    return parts.repartition(tasks, "path", "number").mapInArrow(
+        read_ranges(part_bytes), f"`{key}` {kind}, number bigint, piece string"
+    )
+
+
 def read_layout(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``path, layout_json`` per layout file, for ``parse_layout``."""
     return read_texts(spark, paths, f"*{K.LAYOUT_SUFFIX}").withColumnRenamed("content", "layout_json")

@@ -150,3 +150,26 @@ def test_structure_from_any_mode():
             elif not inside and c in "[]{},":
                 want.append((p, c))
         assert marks == want
+
+
+def test_parts_of_files(spark, tmp_path):
+    """Characters of one to four bytes at every border; files that are empty, gone or not UTF-8."""
+    from foliospark.sources import files
+
+    text = "aé日🎉" * 40 + "x"
+    (tmp_path / "a.json").write_bytes(text.encode())
+    (tmp_path / "b.json").write_bytes(b"\xef\xbb\xbf" + text.encode())
+    (tmp_path / "empty.json").write_bytes(b"")
+    (tmp_path / "broken.json").write_bytes(b"ok" * 50 + b"\xff" + b"ok" * 50)
+    listing = files.list_files(spark, f"file://{tmp_path}")
+    name = F.substring_index("path", "/", -1)
+    gone = listing.limit(1).withColumn("path", F.lit(f"{tmp_path}/gone.json")).withColumn("length", F.lit(9).cast("long"))
+    listing = listing.unionByName(gone).withColumn("name", name)
+    for size in (4, 5, 7, 64, 10_000):
+        rows = files.read_parts(listing, "name", size).orderBy("name", "number").collect()
+        got = {}
+        for r in rows:
+            got.setdefault(r.name, []).append(r.piece)
+        assert "".join(got["a.json"]) == "".join(got["b.json"]) == text
+        assert got["empty.json"] == [""] and got["gone.json"] == [None] * len(got["gone.json"])
+        assert got["broken.json"].count(None) == 1
