@@ -170,7 +170,8 @@ def global_words(batches):
             local = unpacked(batch.column(1)[i].as_py(), np.int32)
             pairs = batch.column(2)[i].values
             number = np.zeros(int(local.max(initial=0)) + 1, np.int64)
-            number[pairs.field(0).to_numpy()] = pairs.field(1).to_numpy() + 1
+            pairs = pairs.to_numpy()
+            number[pairs >> 32] = (pairs & 0xFFFFFFFF) + 1
             words = number[local]
             words = compact(words, words > 0)
             yield state_row(batch.column(0)[i].as_py(), words, words > 0)
@@ -503,7 +504,8 @@ def frequent_phrases(
     width = max(1, (n_words - 1).bit_length()) if n_words else 1
 
     # A left join: every block comes back, with the numbers of those of its words that have one.
-    pair = F.when(F.col("gid").isNotNull(), F.struct(F.col("local").cast("bigint"), "gid"))
+    # Both numbers of a word in one: the block's own above, that of all blocks below.
+    pair = F.shiftleft(F.col("local").cast("bigint"), 32).bitwiseOR(F.col("gid"))
     numbers = small_broadcast(words.drop("f"))
     pairs = occurring.join(numbers, ["lang", "word"], "left").groupBy("block")
     pairs = pairs.agg(F.collect_list(pair).alias("pairs"))
@@ -520,8 +522,8 @@ def frequent_phrases(
         occurrences = phrases.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
         if n < settings.longest:
             told = merged.filter("block is not null").groupBy("block")
-            told = told.agg(F.collect_list(F.struct("shard", "frequent")).alias("told"))
-            state = state.join(told, "block").select("block", "words", "open", "told")
+            told = written(told.agg(F.collect_list(F.struct("shard", "frequent")).alias("told")), f"told-{n}")
+            state = state.join(small_broadcast(told), "block").select("block", "words", "open", "told")
             state = written(state.mapInArrow(level.narrowed, STATE), f"state-{n}")
     phrases = found[0]
     for more in found[1:]:
