@@ -6,7 +6,8 @@ sequences of one length make up a bucket, from which batches of equal shape can
 sequence crosses texts and none is padded.
 
 Encoding goes by fragments between ASCII white space, at which the vocabulary's own splitting
-always cuts; fragments repeat far more than texts, so most come from a memo.
+always cuts; fragments repeat far more than texts, so most come from a memo. Words of Latin
+letters go to the vocabulary's merges at once, all else through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ import functools
 import os
 import re
 import struct
+import unicodedata
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.llm.bpe import byte_of_character
 from foliospark.llm.common import id_and_text
 
 # Entries of each memo of a worker and the longest one kept: about 250 MB together at the most.
@@ -29,6 +32,8 @@ MEMO_SIZE, MEMO_BYTES = 600_000, 48
 IDS = 1 << 20
 LETTERS = re.compile(rb"[A-Za-z]+|[^A-Za-z]+")
 PUNCTUATION = ".,;:!?|"
+# Latin letters: one word for the vocabulary's splitting, and normalised but for their case.
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 @dataclass(frozen=True)
@@ -49,7 +54,8 @@ def parts_of(fragment: bytes) -> list[bytes]:
         return [fragment] if b"'" in fragment else LETTERS.findall(fragment.lower())
     text = fragment.decode()
     core = text.rstrip(PUNCTUATION)
-    if core == text or not core or not core[-1].isalpha():
+    # Normalised, a letter may end with a mark.
+    if core == text or not unicodedata.normalize("NFC", core[-1:]).lower()[-1:].isalpha():
         return [fragment]
     return [core.encode(), text[len(core) :].encode()]
 
@@ -65,6 +71,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.character = {b: c for c, b in byte_of_character().items()}
         self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fragments: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
@@ -86,11 +94,28 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in encoded]
 
+    def word(self, text: str) -> bytes:
+        """The ids of Latin letters: no more is left to do than merging the bytes of the word."""
+        raw = text.lower().encode()
+        if not raw.isascii():
+            return self.merged(raw.decode("latin-1").translate(self.character))
+        return self.merged(raw.decode())
+
+    def merged(self, characters: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(characters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def learn(self, fragments: list[bytes]) -> None:
         cut = [parts_of(f) for f in fragments]
-        new = list({p for parts in cut for p in parts if p not in self.parts})
-        for start in range(0, len(new), 1024):
-            some = new[start : start + 1024]
+        new, rest = list({p for parts in cut for p in parts if p not in self.parts}), []
+        for p in new:
+            text = p.decode()
+            if LATIN.fullmatch(text):
+                self.parts[p] = self.word(text)
+            else:
+                rest.append(p)
+        for start in range(0, len(rest), 1024):
+            some = rest[start : start + 1024]
             self.parts.update(zip(some, self.batch(some), strict=True))
         for f, parts in zip(fragments, cut, strict=True):
             self.fragments[f] = b"".join([self.parts[p] for p in parts])

@@ -110,6 +110,17 @@ HARD = [
 ]
 
 
+def test_ids_of_mixed_characters(tokenizer):
+    """Letters with and without marks, in every neighbourhood, against the library."""
+    r = random.Random(3)
+    encoder = packing.Encoder(Q.vocabulary_path(Q.WORD_VOCABULARY))
+    odd = "abcABC ÀÉßøÿ÷×ªºµŉİıſ'’.,!?|0½²éèêâôûñäöǘ\u0308\u0307\u0958日本 \t\n\x1c\x85\xa0x<|>"
+    plain = "abeAEÀÉßøÿéèêâñäöüÄÖÜÑ,. "
+    texts = ["".join(r.choices(k, k=r.randrange(1, 40))) for k in (odd, plain) for _ in range(8_000)]
+    for text, e in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encoder.encode(text.encode()) == struct.pack(f"<{len(e.ids)}I", *e.ids), text
+
+
 def test_packing_of_odd_texts(spark, tokenizer, odd_rows):
     rows = [*odd_rows, *[(100 + i, t) for i, t in enumerate(HARD)], (200, "word " * 4095), (201, "a " * 9000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("ids", F.lit(1)).repartition(3)
