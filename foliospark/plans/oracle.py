@@ -298,6 +298,16 @@ def statements() -> dict[str, str]:
                    CASE WHEN {strip("d.text")} = '' THEN 0 ELSE w.n_chunks END AS n_chunks,
                    CASE WHEN {strip("d.text")} = '' THEN 0 ELSE w.n_failed_chunks END AS n_failed_chunks
             FROM documents d LEFT JOIN whole w USING (doc_id)""",
+        "stream_retries": f"""WITH RECURSIVE {CHUNKS},
+            results AS (SELECT doc_id, chunk_idx, chunk, {translated("chunk")} FROM chunks),
+            whole AS (
+              SELECT doc_id, CAST(count(*) AS INTEGER) AS n_chunks,
+                     string_agg(CASE WHEN success THEN translated ELSE {strip("'[later] ' || chunk")} END, chr(10)
+                                ORDER BY chunk_idx) AS content
+              FROM results GROUP BY doc_id)
+            SELECT d.doc_id, CASE WHEN {strip("d.text")} = '' THEN d.text ELSE w.content END AS content,
+                   CASE WHEN {strip("d.text")} = '' THEN 0 ELSE w.n_chunks END AS n_chunks, CAST(0 AS INTEGER) AS n_failed_chunks
+            FROM documents d LEFT JOIN whole w USING (doc_id)""",
         "batch_pack": f"WITH {BATCHES} SELECT conv_id, batch_id, n_rows, n_sent, combined FROM batches",
         "batch_unpack": f"WITH {BATCHES} SELECT * FROM results",
         "batch_results": f"""WITH {BATCHES}

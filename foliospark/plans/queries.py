@@ -28,7 +28,7 @@ from foliospark.plans import views
 from foliospark.plans.batch import run_batch, run_files
 from foliospark.session import shared_path
 from foliospark.sources import files, sinks
-from foliospark.streaming.markdown import translate_new_files
+from foliospark.streaming.markdown import retry_failed, translate_new_files, translated_documents
 from foliospark.streaming.state import track_stages, tracked_state
 
 # The paragraphs of the given documents are separated by single line breaks.
@@ -880,6 +880,23 @@ def stream_markdown(spark, folder):
     return rows.select(page_id_of(F.col("stem")).alias("doc_id"), "content", "n_chunks", "n_failed_chunks")
 
 
+def stream_retries(spark, folder):
+    """The same stream with a memory, some files at a time; texts that were refused are sent again at the end,
+    to a translator that refuses none."""
+    docs = documents(spark, folder).withColumn("out_name", F.format_string("d%d.md", "doc_id"))
+    root = written_files(spark, "retry-files", docs)
+    out, memory = shared_path(spark, "retry-out"), shared_path(spark, "retry-memory")
+    n_files = -(-docs.count() // 2)
+    query = translate_new_files(
+        spark, root, out, shared_path(spark, "retry-state"), translator, max_files_per_batch=n_files,
+        memory=memory, separator=LINE, max_attempts=1,
+    )
+    query.awaitTermination()
+    retry_failed(spark, out, _later_translator, memory, separator=LINE, max_attempts=1)
+    rows = translated_documents(spark, out)
+    return rows.select(page_id_of(F.col("stem")).alias("doc_id"), "content", "n_chunks", "n_failed_chunks")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -942,5 +959,6 @@ QUERIES = {
         saved_state_files,
         run_from_artifacts,
         stream_markdown,
+        stream_retries,
     )
 }

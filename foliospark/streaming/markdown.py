@@ -14,9 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foliospark import constants as K
 from foliospark.functions import paths as P
-from foliospark.functions.text import without_bom
+from foliospark.functions.text import is_blank, without_bom
+from foliospark.operators import chunks as C
+from foliospark.operators import memory as M
 from foliospark.operators.translate import translate_markdown
+from foliospark.session import shared_path
 from foliospark.sources.sinks import with_output_name
+from foliospark.sources.tables import exists
 
 
 def translate_new_files(
@@ -28,12 +32,18 @@ def translate_new_files(
     target_lang: str = K.DEFAULT_TARGET_LANG,
     max_files_per_batch: int = 10_000,
     available_now: bool = True,
+    memory: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Start a query that translates each new Markdown file of ``folder`` once.
 
     Every micro-batch overwrites its own ``batch_id`` partition of ``out``, so a batch replayed
     after a failure leaves no duplicates.
+
+    With ``memory``, the folder of a translation memory, each distinct text is sent once, and documents
+    with failed chunks are taken along by the next micro-batch, which sends those chunks again: a
+    document's last row counts (:func:`translated_documents`). What still waits is kept beside
+    ``out``, by batch; :func:`retry_failed` sends it again without new files.
     """
     docs = (
         spark.readStream.format("text")
@@ -50,6 +60,13 @@ def translate_new_files(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if memory:
+            waiting = _waiting(spark, out, batch_id)[0]
+            _translate_remembered(
+                batch.unionByName(waiting), fn, f"{out}/batch_id={batch_id}",
+                f"{out}-waiting/batch_id={batch_id}/retry=0", target_lang, memory, options,
+            )
+            return
         done = translate_markdown(batch, fn, target_lang, keys=("doc_id", "stem"), **options)
         with_output_name(done).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -57,3 +74,88 @@ def translate_new_files(
     if available_now:
         stream = stream.trigger(availableNow=True)
     return stream.start()
+
+
+_WAITING = "doc_id STRING, stem STRING, content STRING"
+_DONE = (
+    "doc_id STRING, stem STRING, target_lang STRING, content STRING, n_chunks INT, n_failed_chunks INT, "
+    "out_name STRING, batch_id BIGINT"
+)
+
+
+def _waiting(spark: SparkSession, out: str, before: int) -> tuple[DataFrame, int, int]:
+    """What the last batch before that one, or its last retry, has left with failed chunks; which they are."""
+    path = f"{out}-waiting"
+    if not exists(spark, path):
+        return spark.createDataFrame([], _WAITING), -1, 0
+    rows = spark.read.schema(f"{_WAITING}, batch_id BIGINT, retry BIGINT").parquet(path)
+    last = rows.filter(F.col("batch_id") < before).agg(F.max(F.struct("batch_id", "retry"))).first()[0]
+    if last is None:
+        return spark.createDataFrame([], _WAITING), -1, 0
+    mine = (F.col("batch_id") == last.batch_id) & (F.col("retry") == last.retry)
+    # A batch without such documents leaves an empty marker row.
+    return rows.filter(mine & F.col("doc_id").isNotNull()).drop("batch_id", "retry"), last.batch_id, last.retry
+
+
+def _translate_remembered(
+    docs: DataFrame, fn: Callable, out: str, waiting: str, target_lang: str, memory: str, options: dict
+) -> None:
+    """Documents by the memory to one folder, then those that have to be sent again to another: whoever dies
+    in between sends again what the memory knows already."""
+    spark, keys = docs.sparkSession, ("doc_id", "stem")
+    work = shared_path(spark, "stream-batch")
+    options = dict(options)
+    separator = options.pop("separator", K.PARAGRAPH_SEPARATOR)
+    max_chars = options.pop("max_chars", K.MAX_CHARS)
+    docs.write.parquet(f"{work}/docs")
+    docs = spark.read.schema(docs.schema).parquet(f"{work}/docs")
+    blank = is_blank(F.col("content"))
+    chunks = C.chunk_rows(docs.filter(~blank), list(keys), separator=separator, max_chars=max_chars)
+    results = M.translate_remembered(
+        chunks, fn, M.TranslationMemory(spark, memory), f"{work.rsplit('/', 1)[-1]}", f"{work}/keys", target_lang,
+        keys=(*keys, "chunk_idx"), **options,
+    )
+    results.write.parquet(f"{work}/results")
+    results = spark.read.schema(results.schema).parquet(f"{work}/results")
+    n_chunks = results.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("n_chunks"))
+    whole = M.documents_of(results, keys, separator).join(n_chunks, list(keys))
+    same = docs.filter(blank).select(
+        *keys, F.lit(target_lang).alias("target_lang"), "content", F.lit(0).alias("n_failed_chunks"), F.lit(0).alias("n_chunks")
+    )
+    done = with_output_name(whole.unionByName(same)).select(*_names(_DONE)[:-1])
+    failed = results.filter(~F.col("success")).select("doc_id").distinct()
+    again = docs.join(failed, "doc_id", "left_semi").select(*_names(_WAITING))
+    marker = spark.createDataFrame([(None, None, None)], _WAITING)
+    done.write.mode("overwrite").parquet(out)
+    again.unionByName(marker).write.mode("overwrite").parquet(waiting)
+
+
+def _names(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
+
+
+def retry_failed(
+    spark: SparkSession, out: str, fn: Callable, memory: str, target_lang: str = K.DEFAULT_TARGET_LANG, **options
+) -> int:
+    """Send the failed chunks that still wait again, while the stream stands; how many documents it was.
+
+    Results go beside ``out`` as a retry of the last batch, and the stream goes on from there.
+    """
+    waiting, batch_id, retry = _waiting(spark, out, 1 << 62)
+    n = waiting.count()
+    if n:
+        name = f"batch_id={batch_id}/retry={retry + 1}"
+        _translate_remembered(
+            waiting, fn, f"{out}-retried/{name}", f"{out}-waiting/{name}", target_lang, memory, options
+        )
+    return n
+
+
+def translated_documents(spark: SparkSession, out: str) -> DataFrame:
+    """Every document of a stream's output once, from the last batch or retry that held it."""
+    rows = spark.read.schema(_DONE).parquet(out).withColumn("retry", F.lit(0).cast("bigint"))
+    if exists(spark, f"{out}-retried"):
+        rows = rows.unionByName(spark.read.schema(f"{_DONE}, retry BIGINT").parquet(f"{out}-retried"))
+    fields = [c for c in rows.columns if c not in ("doc_id", "retry")]
+    last = F.max_by(F.struct(*fields), F.struct("batch_id", "retry")).alias("d")
+    return rows.groupBy("doc_id").agg(last).select("doc_id", "d.*")
