@@ -38,19 +38,23 @@ def parse_layout(docs: DataFrame, json: str = "layout_json") -> DataFrame:
     """
     text = without_bom(F.col(json))
     # The parser ignores whatever follows the first value. With the text as the first entry of an
-    # array and its own hash as the second, the hash is only found when nothing but the value
-    # was there.
+    # array and an element that holds the text's own hash as the second, the hash is only found when
+    # nothing but the value was there. Text and hash are opened by one parse.
     mark = F.xxhash64(text).cast("string")
     wrapped = F.from_json(
-        F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "array<string>", _NO_LIMIT
+        F.concat(F.lit("["), text, F.lit(',[{"type":"'), mark, F.lit('"}]]')),
+        f"array<array<struct<{_ITEM}>>>",
+        _NO_LIMIT,
     )
-    alone = F.get(wrapped, F.lit(1)) == mark
+    docs = docs.withColumn("_opened", wrapped)
+    alone = F.get(F.get("_opened", F.lit(1)), F.lit(0))["type"] == mark
     # A lone object would be read as an array of one.
     at_top = F.ltrim(text, F.lit(" \t\r\n")).startswith("[")
-    items = F.from_json(text, f"array<struct<{_ITEM}>>", _NO_LIMIT)
+    items = F.get("_opened", F.lit(0))
     all_objects = F.forall("items", lambda x: x.isNotNull())
     return (
         docs.withColumn("items", F.when(alone & at_top, items))
+        .drop("_opened")
         .withColumn("success", F.coalesce(all_objects, F.lit(False)))
         .withColumn(
             "error",
