@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import fresh, struct_udf, word_finder, words_column
+from foliospark.session import shared_path
 
 # (item, window) pairs that one automaton holds: some hundred bytes each for driver and worker.
 WINDOWS_PER_AUTOMATON = 100_000
@@ -125,33 +126,33 @@ def find_contamination(
     nothing; repeated items and rows count as often as they stand there, items once per document.
 
     The benchmark's windows are counted first. Up to ``windows_per_automaton`` of them make one
-    automaton and the scan is narrow. More are cut by hash into blocks of that size: each scans
-    all documents by itself and only rows with hits are brought together, so neither driver nor
-    worker ever holds more than one block.
+    automaton and the scan is narrow. More are written once, cut by hash into blocks of that size. One
+    block after the other is opened, scans all documents and has its hits written, and only rows
+    with hits are brought together, so neither driver nor worker ever holds more than one block.
     """
     windows = item_windows(benchmark, item_col, item_text_col, window)
     blocks = max(1, -(-windows.count() // windows_per_automaton))
 
-    def block(i: int) -> list[tuple[str, str]]:
-        mine = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == i)
-        return [(r["item"], r["words"]) for r in mine.collect()]
-
-    def scan(i: int, text: Column) -> Column:
-        held = block(i)
-        return struct_udf(lambda: scanner(held), SCHEMA)(text)
+    def scan(held: DataFrame, text: Column) -> Column:
+        pairs = [(r["item"], r["words"]) for r in held.select("item", "words").collect()]
+        return struct_udf(lambda: scanner(pairs), SCHEMA)(text)
 
     if blocks == 1:
-        return docs.withColumn(into, scan(0, F.col(text_col)))
+        return docs.withColumn(into, scan(windows, F.col(text_col)))
+    spark, work = docs.sparkSession, shared_path(docs.sparkSession, "contamination")
+    cut = windows.withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)).cast("int"))
+    cut.write.partitionBy("block").parquet(f"{work}/windows")
+    cut = spark.read.schema(cut.schema).parquet(f"{work}/windows")
     # Rows meet by their text: equal texts have equal hits.
     key, hit = fresh(docs, "text_key"), fresh(docs, "found")
     keyed = docs.withColumn(key, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    found = None
+    texts = keyed.select(F.col(key).alias("k"), F.col(text_col).alias("text"))
     for i in range(blocks):
-        texts = keyed.select(F.col(key).alias("k"), F.col(text_col).alias("text"))
-        rows = texts.select("k", scan(i, F.col("text")).alias("f")).filter("f.n_hit > 0")
+        rows = texts.select("k", scan(cut.filter(F.col("block") == i), F.col("text")).alias("f"))
         # Copies of one text agree: one row for each task and text is enough.
-        rows = rows.groupBy("k").agg(F.first("f").alias("f"))
-        found = rows if found is None else found.unionByName(rows)
+        rows = rows.filter("f.n_hit > 0").groupBy("k").agg(F.first("f").alias("f"))
+        rows.write.parquet(f"{work}/hits/block={i}")
+    found = spark.read.schema(rows.schema).parquet(f"{work}/hits")
     united = found.groupBy("k").agg(
         F.first("f.n_words").alias("n"),
         *(F.flatten(F.collect_list(f"f.{c}")).alias(c) for c in ("items", "words", "spans")),
