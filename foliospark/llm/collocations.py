@@ -4,15 +4,16 @@ Exact counts come level by level: words, then pairs, then longer phrases, each f
 both shorter phrases are frequent, so what is rare is left out before it is counted. No
 vocabulary need fit into a task:
 
-* Texts are cut into blocks of about half a million words. A block becomes a sequence of its own word numbers
-  and the list of its words, which Spark sums and joins to the frequent ones (by broadcast while those are small). Frequent words of all languages are
-  numbered from 0, and blocks get the numbers of theirs.
-* On each level a block makes a counting quotient filter of its phrases. The words' numbers are packed
-  into integers of fixed width, an invertible permutation spreads them evenly, the upper bits are the
-  quotient and the lower ones the remainder, kept in full: nothing is approximate, and the permutation
-  undone gives the phrase. The first bits name the shard.
-* The filters of a shard are sorted lists with counters and are merged by sorting; each block is told in
-  a bit per phrase which of its phrases were frequent, and goes on with those places alone.
+* Texts are cut into blocks of about half a million words. A block becomes a sequence of its own
+  word numbers and the list of its words, which Spark sums and joins to the frequent ones (by
+  broadcast while those are small). Frequent words of all languages are numbered from 0, and
+  blocks get the numbers of theirs.
+* On each level a block makes a counting quotient filter of its phrases. The words' numbers are
+  packed into integers of fixed width, an invertible permutation spreads them evenly, the upper
+  bits are the quotient and the lower ones the remainder, kept in full: nothing is approximate,
+  and the permutation undone gives the phrase. The first bits name the shard.
+* The filters of a shard are sorted lists with counters and are merged by sorting; each block is
+  told in a bit per phrase which of its phrases were frequent, and goes on with those places.
 
 No phrase can be a hot key, since a block sends each phrase once.
 """
