@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import struct_udf, word_finder
 
 
+# Words of up to so many letters have to stand in a match as they are: one edit makes others of them.
+SHORT_WORD = 4
+
+
 @dataclass(frozen=True)
 class Notice:
-    """``words``: what to look for, lower case, single spaces. ``edits``: how many may differ."""
+    """``words``: what to look for, lower case, single spaces. ``edits``: how many may differ, in
+    words of more than ``SHORT_WORD`` letters."""
 
     label: str
     words: str
@@ -85,6 +90,12 @@ def scanner(notices: tuple[Notice, ...], base: tuple[Notice, ...]):
         regex.compile(rf"(?<= )(?e)(?:{regex.escape(x.words, literal_spaces=True)}){{e<={x.edits}}}(?= )")
         for x in every
     ]
+    short = [[w for w in x.words.split(" ") if len(w) <= SHORT_WORD] for x in every]
+
+    def keeps_short_words(i: int, match: str) -> bool:
+        words = iter(match.split(" "))
+        return all(any(w == x for x in words) for w in short[i])
+
     find_words = word_finder()
     each_word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -123,6 +134,8 @@ def scanner(notices: tuple[Notice, ...], base: tuple[Notice, ...]):
                         exact.append((at, notice.label))
                         at = line.find(phrase, at + 1, b)
                 for m in fuzzy[i].finditer(line, a, b):
+                    if not keeps_short_words(i, m.group()):
+                        continue
                     edits = sum(m.fuzzy_counts)
                     key = (notice.label, m.start(), m.end())
                     close[key] = min(edits, close.get(key, edits))
@@ -172,8 +185,10 @@ def scan_licenses(
 
     Narrow: one Arrow stage, no shuffle. A null or empty text has no words, no labels and score
     0. ``spans`` holds places in the original text, in code points, end exclusive; ``score`` is the best
-    match's share of unedited characters. Repeated rows give repeated results. An existing column
-    named ``into`` would be replaced.
+    match's share of unedited characters. Repeated rows give repeated results, an empty table none. A text
+    of any length is held by one task, as one line of its words. A table that has a column named as ``into`` is refused.
     """
+    if into.lower() in (c.lower() for c in docs.columns):
+        raise ValueError(f"there is a column {into!r} already")
     found = struct_udf(lambda: scanner(notices, base), SCHEMA)
     return docs.withColumn(into, found(F.col(text_col)))
