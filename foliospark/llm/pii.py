@@ -1,6 +1,6 @@
 r"""Personal data, with Spark expressions only.
 
-Expressions propose spans, checksums confirm them, words in front of a span adjust its score.
+Expressions propose spans, checksums confirm them, words around a span adjust its score.
 
 Every expression is the plain one it is named after, rewritten so that Java's matcher neither
 recurses nor tries a long run again and again: repetitions give nothing back, a run is tried at
@@ -15,14 +15,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Distance in front of a span in which context words count, in characters.
-CONTEXT = 40
+# Distance from a span in which context words count in full and by half, in characters, and how much
+# of the text on each side is looked at: the longest word and its neighbour more.
+NEAR, FAR, SEEN = 15, 40, 64
+# Words that speak for a number of another kind.
+OTHER = ("version", "release", "section", "figure", "page", "chapter", "isbn", "serial")
 BLOCK = 64
 
 
 @dataclass(frozen=True)
 class Kind:
-    """``score`` without context words, ``lift`` with one of ``context`` shortly before."""
+    """``score`` without context words. One of ``context`` adds ``lift`` and one of ``against`` takes it
+    away, as whole words in any case, before or behind; half of it from farther off."""
 
     name: str
     pattern: str
@@ -30,6 +34,7 @@ class Kind:
     score: float
     context: tuple[str, ...]
     lift: float = 0.3
+    against: tuple[str, ...] = OTHER
 
 
 EMAIL = Kind(
@@ -37,28 +42,28 @@ EMAIL = Kind(
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "@",
     0.7,
-    ("mail", "contact", "write"),
+    ("mail", "mails", "email", "emails", "contact", "write"),
 )
 IP = Kind(
     "ip",
     r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     r"[0-9]\.[0-9]",
     0.6,
-    ("ip", "address", "host", "server"),
+    ("ip", "ipv4", "address", "addresses", "host", "server"),
 )
 CARD = Kind(
     "card",
     r"[0-9](?:[\x20-]?[0-9]){15,}+",
     r"[0-9](?:[\x20-]?[0-9]){15}",
     0.5,
-    ("card", "visa", "credit", "payment"),
+    ("card", "cards", "visa", "mastercard", "credit", "payment"),
 )
 PHONE = Kind(
     "phone",
     r"\+[0-9][\x20().0-9-]+[0-9]",
     r"\+[0-9]",
     0.5,
-    ("phone", "tel", "call", "mobile", "fax"),
+    ("phone", "telephone", "tel", "call", "mobile", "fax"),
 )
 # The method's own kind; two letters, two check digits, up to 30 more characters, mod 97.
 IBAN = Kind(
@@ -142,6 +147,23 @@ def sizes_of(name: str) -> Column:
     return F.transform(f"{name}_m", lambda x, i: F.length(F.get(gaps, i)) + F.length(x))
 
 
+def stands_near(words: tuple[str, ...], before: Column, behind: Column, distance: int) -> Column:
+    """Whether one of ``words`` ends or begins within ``distance`` characters of a span."""
+    whole = f"(?<![A-Za-z])(?:{'|'.join(words)})(?![A-Za-z])"
+    gap = f"(?s:.{{0,{distance}}})"
+    return before.rlike(f"(?i){whole}{gap}$") | behind.rlike(f"(?i)^{gap}{whole}")
+
+
+def context_score(kind: Kind, before: Column, behind: Column) -> Column:
+    def weight(words: tuple[str, ...]) -> Column:
+        near = F.when(stands_near(words, before, behind, NEAR), 1.0)
+        return near.when(stands_near(words, before, behind, FAR), 0.5).otherwise(0.0)
+
+    change = weight(kind.context) - weight(kind.against)
+    score = F.round(F.lit(kind.score) + kind.lift * change, 6)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
+
+
 def spans_of(kind: Kind) -> Column:
     """The confirmed matches of ``kind`` with their places and scores."""
     gaps, sizes, sums = (F.col(f"{kind.name}_{x}") for x in "gsb")
@@ -149,13 +171,13 @@ def spans_of(kind: Kind) -> Column:
     def span(x: Column) -> Column:
         gap = F.get(gaps, x["i"])
         start = sum_before(sizes, sums, x["i"]) + F.length(gap)
-        before = F.lower(F.right(gap, F.lit(CONTEXT)))
-        near = before.rlike("|".join(kind.context))
+        before = F.right(gap, F.lit(SEEN))
+        behind = F.left(F.get(gaps, x["i"] + 1), F.lit(SEEN))
         return F.struct(
             F.lit(kind.name).alias("kind"),
             start.alias("start"),
             (start + F.length(x["m"])).alias("end"),
-            F.when(near, kind.score + kind.lift).otherwise(F.lit(kind.score)).alias("score"),
+            context_score(kind, before, behind).alias("score"),
         )
 
     each = F.transform(f"{kind.name}_m", lambda x, i: F.struct(x.alias("m"), i.alias("i")))
@@ -172,8 +194,9 @@ def find_pii(
 
     ``spans`` lists what was found by kind, in the order of ``kinds``, then by start, in code
     points with end exclusive. Matches that a checksum or a length refuses are dropped and not
-    tried again at a later character. A null or empty text has no spans. Narrow: no shuffle, no
-    Python; repeated rows give repeated results.
+    tried again at a later character. A null or empty text has no spans, an empty table no rows.
+    Narrow: no shuffle, no Python; a text of any length is one row. Repeated rows give repeated results.
+    Context is looked for up to the next span of the kind on each side.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
