@@ -4,7 +4,7 @@ Exact counts come level by level: words, then pairs, then longer phrases, each f
 both shorter phrases are frequent, so what is rare is left out before it is counted. No
 vocabulary need fit into a task:
 
-* Texts are cut into blocks of about half a million words. A block becomes a sequence of its own
+* Texts are cut into blocks of about a million words. A block becomes a sequence of its own
   word numbers and the list of its words, which Spark sums and joins to the frequent ones (by
   broadcast while those are small). Frequent words of all languages are numbered from 0, and
   blocks get the numbers of theirs.
@@ -45,7 +45,7 @@ class Settings:
 
 
 # Words of a block, bytes of its list of words, and entries of a shard, about.
-BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 19, 1 << 25, 1 << 19
+BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 20, 1 << 25, 1 << 19
 
 # A byte that UTF-8 never has stands for the end of a piece; A-Z become a-z.
 BREAK = b"\xff"
@@ -140,6 +140,7 @@ def blocks_of_texts(batches):
     from pyspark import TaskContext
 
     block, made = Block(), TaskContext.get().partitionId() << 32
+    batch = langs = texts = None
     for batch in batches:
         langs, texts = batch.column(0), batch.column(1).cast(pa.binary())
         for lang, text in zip(langs, texts, strict=True):
@@ -149,6 +150,9 @@ def blocks_of_texts(batches):
                 block, made = Block(), made + 1
     if block.size:
         yield from block.rows(made)
+    # The worker waits for its next task without this one's buffers.
+    del block, batch, langs, texts
+    pa.default_memory_pool().release_unused()
 
 
 def compact(words, keep):
