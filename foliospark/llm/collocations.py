@@ -4,7 +4,7 @@ Exact counts come level by level: words, then pairs, then longer phrases, each f
 both shorter phrases are frequent, so what is rare is left out before it is counted. No
 vocabulary need fit into a task:
 
-* Texts are cut into blocks of about a million words. A block becomes a sequence of its own
+* Texts are cut into blocks of about half a million words. A block becomes a sequence of its own
   word numbers and the list of its words, which Spark sums and joins to the frequent ones (by
   broadcast while those are small). Frequent words of all languages are numbered from 0, and
   blocks get the numbers of theirs.
@@ -45,7 +45,7 @@ class Settings:
 
 
 # Words of a block, bytes of its list of words, and entries of a shard, about.
-BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 20, 1 << 25, 1 << 19
+BLOCK_WORDS, BLOCK_BYTES, SHARD = 1 << 19, 1 << 25, 1 << 19
 
 # A byte that UTF-8 never has stands for the end of a piece; A-Z become a-z.
 BREAK = b"\xff"
@@ -320,11 +320,21 @@ class QuotientFilter:
     def __init__(self, packing: Packing, shard_bits: int):
         self.packing, self.low = packing, packing.bits[0] - shard_bits
 
+    def quotient_bits(self, n: int) -> int:
+        """The split of the first integer that takes the fewest bytes for ``n`` entries: about as many
+        quotients as entries, or a few times as many where remainders lose a byte by that."""
+
+        def size(q: int) -> int:
+            return (n + (1 << q)) // 8 + n * -(-(self.low - q) // 8)
+
+        least = min(self.low, n.bit_length() - 1)
+        return min(range(least, min(self.low, least + 3) + 1), key=size)
+
     def pack(self, keys: list, counts) -> bytes:
         import numpy as np
 
         n = len(counts)
-        q = min(self.low, n.bit_length() - 1)
+        q = self.quotient_bits(n)
         low = keys[0] & self.packing.mask(self.low)
         rest = self.low - q
         quotient = (low >> np.uint64(rest)).astype(np.int64)
