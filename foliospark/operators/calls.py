@@ -9,6 +9,9 @@ from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+# Characters of texts that a batch of a task's output holds before it is handed on.
+BATCH_CHARS = 1 << 20
+
 
 def attempt(call, attempts: int, wait):
     """``(value, None)`` of the first call that works, or ``(None, error)``."""
@@ -253,12 +256,10 @@ def read_ranges(part_bytes: int):
     def follows(byte: int) -> bool:  # not the first byte of a character
         return byte & 0xC0 == 0x80
 
-    def piece(path: str, number: int) -> str | None:
-        filesystem, inner, _ = locate(path)
+    def piece(file, number: int) -> str | None:
         try:
-            with filesystem.open_input_file(inner) as file:
-                file.seek(number * part_bytes)
-                raw = file.read(part_bytes + 3)
+            file.seek(number * part_bytes)
+            raw = file.read(part_bytes + 3)
             start, end = 0, min(part_bytes, len(raw))
             while number and start < min(3, end) and follows(raw[start]):
                 start += 1
@@ -268,14 +269,36 @@ def read_ranges(part_bytes: int):
         except (OSError, UnicodeDecodeError):
             return None
 
+    def opened(path: str):
+        filesystem, inner, _ = locate(path)
+        try:
+            return filesystem.open_input_file(inner)
+        except OSError:
+            return None
+
     def run(batches):
+        last, file = None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = piece(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), pa.array([text], pa.string())],
-                    [batch.schema.names[0], "number", "piece"],
-                )
+            start, texts, held = 0, [], 0
+            for i, (path, number) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                if path != last:
+                    if file is not None:
+                        file.close()
+                    last, file = path, opened(path)
+                texts.append(None if file is None else piece(file, number))
+                held += len(texts[-1] or "")
+                if held >= BATCH_CHARS or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(start, len(texts)),
+                            batch.column(2).slice(start, len(texts)),
+                            pa.array(texts, pa.string()),
+                        ],
+                        [batch.schema.names[0], "number", "piece"],
+                    )
+                    start, texts, held = i + 1, [], 0
+        if file is not None:
+            file.close()
 
     return run
 

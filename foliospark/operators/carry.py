@@ -30,41 +30,53 @@ class Carry(Protocol):
         """The table of two parts in a row."""
 
 
-def _by_number(table: pa.Table) -> list[dict]:
-    return sorted(table.to_pylist(), key=lambda row: row["number"])
-
-
 def _run_up(carry: Carry, key: str):
-    def run(table: pa.Table) -> pa.Table:
-        rows = _by_number(table)
-        whole = rows[0]["table"]
-        for row in rows[1:]:
-            whole = carry.compose(whole, row["table"])
-        return pa.table(
-            {
-                key: table[key].slice(0, 1),
-                "number": table["parent"].slice(0, 1),
-                "table": pa.array([whole], pa.list_(pa.int64())),
-            }
-        )
+    """``mapInArrow``: sorted parts to one table for each of their runs."""
+
+    def run(batches):
+        place, whole = None, None
+        kind = None
+
+        def made(done):
+            keys, parents, tables = zip(*done)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, kind), pa.array(parents, pa.int64()), pa.array(tables, pa.list_(pa.int64()))],
+                [key, "number", "table"],
+            )
+
+        for batch in batches:
+            kind, done = batch.schema.field(key).type, []
+            for row, at in enumerate(zip(batch[key].to_pylist(), batch["parent"].to_pylist())):
+                table = batch["table"][row].as_py()
+                if at == place:
+                    whole = carry.compose(whole, table)
+                    continue
+                if place is not None:
+                    done.append((*place, whole))
+                place, whole = at, table
+            if done:
+                yield made(done)
+        if place is not None:
+            yield made([(*place, whole)])
 
     return run
 
 
 def _run_down(carry: Carry, key: str):
-    def run(table: pa.Table) -> pa.Table:
-        rows, states = _by_number(table), []
-        state = rows[0]["handed"]
-        for row in rows:
-            states.append(state)
-            state = carry.apply(row["table"], state)
-        return pa.table(
-            {
-                key: pa.concat_arrays([c for c in table[key].slice(0, 1).chunks for _ in rows]),
-                "number": pa.array([row["number"] for row in rows], pa.int64()),
-                "state": pa.array(states, pa.list_(pa.int64())),
-            }
-        )
+    """``mapInArrow``: sorted parts to the state that each is handed in its run."""
+
+    def run(batches):
+        place, state = None, None
+        for batch in batches:
+            states = []
+            for row, at in enumerate(zip(batch[key].to_pylist(), batch["parent"].to_pylist())):
+                if at != place:
+                    place, state = at, batch["handed"][row].as_py()
+                states.append(state)
+                state = carry.apply(batch["table"][row].as_py(), state)
+            yield pa.RecordBatch.from_arrays(
+                [batch[key], batch["number"], pa.array(states, pa.list_(pa.int64()))], [key, "number", "state"]
+            )
 
     return run
 
@@ -73,7 +85,8 @@ def handed_states(parts: DataFrame, key: str, carry: Carry, work: str, fan: int
     """(key, number, state): what each part of a document is handed.
 
     ``parts`` is a written table of ``key``, ``number`` (ascending in a document, gaps do no harm) and ``table``. Every
-    level is written below ``work``; documents of up to ``fan`` parts need one.
+    level is written below ``work``; documents of up to ``fan`` parts need one. Runs are sorted within the tasks and
+    go through them in batches of many, as most documents are a run of a few parts.
     """
     spark = parts.sparkSession
     kind = parts.schema[key].dataType.simpleString()
@@ -85,11 +98,14 @@ def handed_states(parts: DataFrame, key: str, carry: Carry, work: str, fan: int
     def with_parent(rows: DataFrame) -> DataFrame:
         return rows.withColumn("parent", F.floor(F.col("number") / fan).cast("bigint"))
 
+    def in_runs(rows: DataFrame) -> DataFrame:
+        return rows.repartition(key, "parent").sortWithinPartitions(key, "parent", "number")
+
     levels, last = [parts.select(key, F.col("number").cast("bigint").alias("number"), "table")], 0
     last = parts.agg(F.max("number")).first()[0] or 0
     while last >= fan:
-        up = with_parent(levels[-1]).groupBy(key, "parent")
-        up = up.applyInArrow(_run_up(carry, key), f"`{key}` {kind}, number bigint, table array<bigint>")
+        up = in_runs(with_parent(levels[-1]))
+        up = up.mapInArrow(_run_up(carry, key), f"`{key}` {kind}, number bigint, table array<bigint>")
         levels.append(written(up, f"up-{len(levels)}"))
         last //= fan
     states = None
@@ -101,7 +117,7 @@ def handed_states(parts: DataFrame, key: str, carry: Carry, work: str, fan: int
         else:
             above = states.select(key, F.col("number").alias("parent"), F.col("state").alias("handed"))
             rows = rows.join(above, [key, "parent"])
-        down = rows.groupBy(key, "parent").applyInArrow(
+        down = in_runs(rows).mapInArrow(
             _run_down(carry, key), f"`{key}` {kind}, number bigint, state array<bigint>"
         )
         states = written(down, f"down-{n}")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions.text import without_bom
 from foliospark.operators import elements as E
+from foliospark.operators.calls import BATCH_CHARS
 from foliospark.operators.carry import handed_states
 from foliospark.operators.skew import join_one_per_key
 from foliospark.session import shared_path
@@ -312,27 +313,24 @@ def cut_elements(text: str, state: list[int]):
 
 
 def _part_elements(key: str):
-    names = [key, "number", "element", "text", "whole", "opens", "closes", "junk"]
+    names = [key, "number", "element", "text", "whole", "opens", "closes", "junk", "lost"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches):
         for batch in batches:
+            owners, rows, held = [], [], 0
             for row in range(batch.num_rows):
                 number, piece, state = (batch[c][row].as_py() for c in ("number", "piece", "state"))
                 pieces, *counts = cut_elements(piece or "", state)
                 # A row for the part itself, then one for each piece.
-                n = len(pieces)
-                keys = pa.concat_arrays([batch[key].slice(row, 1)] * (n + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys,
-                        pa.array([number] * (n + 1), pa.int64()),
-                        pa.array([None, *[p[0] for p in pieces]], pa.int64()),
-                        pa.array([None, *[p[1] for p in pieces]], pa.string()),
-                        pa.array([None, *[p[2] and p[3] for p in pieces]], pa.bool_()),
-                        *[pa.array([c, *[None] * n], pa.int64()) for c in counts],
-                    ],
-                    names,
-                )
+                rows.append((number, None, None, None, *counts, int(piece is None)))
+                rows += [(number, e, t, begins and ends, None, None, None, None) for e, t, begins, ends in pieces]
+                owners += [row] * (len(pieces) + 1)
+                held += len(piece or "")
+                if held >= BATCH_CHARS or row + 1 == batch.num_rows:
+                    columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
+                    yield pa.RecordBatch.from_arrays([batch[key].take(pa.array(owners)), *columns], names)
+                    owners, rows, held = [], [], 0
 
     return run
 
@@ -364,7 +362,8 @@ def layout_elements_of_parts(parts: DataFrame, key: str) -> DataFrame:
     states = handed_states(tables, key, Nesting(), f"{work}/states")
     cut = rows.join(states, [key, "number"]).mapInArrow(
         _part_elements(key),
-        f"`{key}` {kind}, number bigint, element bigint, text string, whole boolean, opens bigint, closes bigint, junk bigint",
+        f"`{key}` {kind}, number bigint, element bigint, text string, whole boolean, opens bigint, closes bigint, junk bigint, "
+        "lost bigint",
     )
     cut = written(cut, "cut")
 
@@ -382,13 +381,12 @@ def layout_elements_of_parts(parts: DataFrame, key: str) -> DataFrame:
 
     # What the parts and the elements say of their document. One blank element is an empty array.
     of_parts = cut.filter("element is null").groupBy(key).agg(
-        *[F.sum(c).alias(c) for c in ("opens", "closes", "junk")]
+        *[F.sum(c).alias(c) for c in ("opens", "closes", "junk", "lost")], F.count(F.lit(1)).alias("n_parts")
     )
-    lost = rows.groupBy(key).agg(F.count_if(F.col("piece").isNull()).alias("lost"), F.count(F.lit(1)).alias("n_parts"))
     of_elements = raw.groupBy(key).agg(
         F.count_if(~F.col("ok")).alias("bad"), F.count_if("blank").alias("blanks"), F.count(F.lit(1)).alias("n")
     )
-    documents = of_parts.join(lost, key).join(of_elements, key, "left")
+    documents = of_parts.join(of_elements, key, "left")
     fine = (F.col("bad") == 0) | ((F.col("n") == 1) & (F.col("blanks") == 1))
     framed = (F.col("opens") == 1) & (F.col("closes") == 1) & (F.col("junk") == 0)
     success = framed & (F.col("lost") == 0) & F.coalesce(fine, F.lit(False))

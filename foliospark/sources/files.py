@@ -17,6 +17,10 @@ from foliospark.functions.text import without_bom
 from foliospark.operators.calls import list_folders, locate, open_texts, read_ranges
 from foliospark.session import shared_path
 
+# Bytes of parts that one task reads on average, and of neighbouring parts that stay together.
+TASK_BYTES = 128 * 1024 * 1024
+RUN_BYTES = 4 * 1024 * 1024
+
 
 def _kind(path: str) -> str:
     kind = locate(path)[0].get_file_info(locate(path)[1]).type.name
@@ -168,16 +172,18 @@ def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*") ->
 def read_parts(listing: DataFrame, key: str = "doc_id", part_bytes: int = 32 * 1024 * 1024) -> DataFrame:
     """(``key``, ``number``, ``piece``): the texts of listed files (``path``, ``length``) in parts.
 
-    A file of any size is read by as many tasks as it has parts. Parts are cut at bytes, and a character
-    belongs to the part in which it begins. A part that cannot be read is NULL.
+    A file of any size is read by as many tasks as it has runs of parts, 4 MiB or one part. Parts are cut at bytes, and
+    a character belongs to the part in which it begins. A part that cannot be read is NULL. The number of tasks follows the
+    bytes, not the parts.
     """
     kind = listing.schema[key].dataType.simpleString()
     last = F.greatest(F.ceil(F.col("length") / part_bytes), F.lit(1)).cast("bigint") - 1
     parts = listing.select(key, "path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("number"))
     tasks = listing.sparkSession.sparkContext.defaultParallelism * 4
     bytes_of_all = listing.agg(F.sum("length")).first()[0] or 0
-    tasks = max(tasks, -(-int(bytes_of_all) // (4 * part_bytes)))
-    return parts.repartition(tasks, "path", "number").mapInArrow(
+    tasks = max(tasks, -(-int(bytes_of_all) // max(4 * part_bytes, TASK_BYTES)))
+    run = F.floor(F.col("number") / max(1, RUN_BYTES // part_bytes))
+    return parts.repartition(tasks, "path", run).mapInArrow(
         read_ranges(part_bytes), f"`{key}` {kind}, number bigint, piece string"
     )
 

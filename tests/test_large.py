@@ -173,3 +173,37 @@ def test_parts_of_files(spark, tmp_path):
         assert "".join(got["a.json"]) == "".join(got["b.json"]) == text
         assert got["empty.json"] == [""] and got["gone.json"] == [None] * len(got["gone.json"])
         assert got["broken.json"].count(None) == 1
+
+
+def test_small_parts_share_tasks(spark, tmp_path):
+    """The tasks that read parts follow the bytes and not the number of parts; a lost part is told by one reading."""
+    from foliospark.sources import files
+
+    (tmp_path / "a.json").write_text("[" + ", ".join('{"a": 1}' for _ in range(2000)) + "]")
+    listing = files.list_files(spark, f"file://{tmp_path}")
+    parts = files.read_parts(listing, "path", 3)
+    assert parts.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert parts.count() == -(-(tmp_path / "a.json").stat().st_size // 3)
+
+
+def test_runs_of_parts_pass_in_batches(spark, tmp_path):
+    """Tasks get the sorted runs of many documents in one call, not a group for each."""
+    import pyarrow as pa
+
+    rows = [(k, n, [n + 1]) for k in range(50) for n in range(5)]
+    parts = spark.createDataFrame(rows, "k int, number bigint, table array<bigint>").repartition(3)
+
+    class Sum:
+        start = [0]
+
+        def apply(self, table, state):
+            return [state[0] + table[0]]
+
+        compose = apply
+
+    table = pa.table({"k": [1, 1, 2], "parent": [0, 0, 0], "number": [0, 1, 0], "table": [[1], [2], [3]], "handed": [[0]] * 3})
+    assert [b["state"].to_pylist() for b in carry._run_down(Sum(), "k")(iter(table.to_batches()))] == [[[0], [1], [0]]]
+    for fan in (2, 3, 1024):
+        states = carry.handed_states(parts, "k", Sum(), str(tmp_path / f"fan-{fan}"), fan)
+        got = {(r.k, r.number): r.state for r in states.collect()}
+        assert got == {(k, n): [n * (n + 1) // 2] for k in range(50) for n in range(5)}
