@@ -248,6 +248,36 @@ def open_texts(columns: dict[str, str]):
     return run
 
 
+def open_files():
+    """``mapInArrow`` function over (path): ``path, bytes`` of each file that is not empty. A lost file is an error."""
+    import pyarrow as pa
+
+    def run(batches):
+        paths, found, held = [], [], 0
+
+        def made():
+            return pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(found, pa.binary())], ["path", "bytes"]
+            )
+
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                filesystem, inner, _ = locate(path)
+                with filesystem.open_input_stream(inner) as stream:
+                    content = stream.read()
+                if content:
+                    paths.append(path)
+                    found.append(content)
+                    held += len(content)
+                if held >= BATCH_CHARS:
+                    yield made()
+                    paths, found, held = [], [], 0
+        if paths:
+            yield made()
+
+    return run
+
+
 def read_ranges(part_bytes: int):
     """``mapInArrow`` function over (key, path, number): the characters that begin in that part of the
     file, without byte order mark. NULL where the file is gone or the part is not UTF-8."""
@@ -357,10 +387,13 @@ def write_files(folder: str, bom: bool):
 
     def run(rows):
         filesystem, root, _ = locate(folder)
+        last = None
         for row in rows:
             target = f"{root}/{row['out_name']}"
             parent, name = target.rsplit("/", 1)
-            filesystem.create_dir(parent, recursive=True)
+            if parent != last:
+                filesystem.create_dir(parent, recursive=True)
+                last = parent
             part = f"{parent}/.{name}.{uuid.uuid4().hex}"
             with filesystem.open_output_stream(part) as stream:
                 stream.write((row["content"] or "").encode("utf-8-sig" if bom else "utf-8"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions.text import without_bom
-from foliospark.operators.calls import list_folders, locate, open_texts, read_ranges
+from foliospark.operators.calls import list_folders, locate, open_files, open_texts, read_ranges
 from foliospark.session import shared_path
 
 # Bytes of parts that one task reads on average, and of neighbouring parts that stay together.
@@ -155,11 +155,50 @@ def resolve_artifacts(manifest: DataFrame, listing: DataFrame, output: str) -> D
     )
 
 
+def listable(path: str) -> bool:
+    """Whether this is a file or folder, not a pattern, in a store that the tasks can list and open."""
+    try:
+        return _kind(path) != "missing"
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def shown(path: str):
+    """Whether Spark's file sources would take a file of a listing of ``path``: no part of its path below is hidden."""
+    _, inner, prefix = locate(path)
+    below = F.substring("path", len(prefix + inner.rstrip("/")) + 1, 1 << 30)
+    name = F.when(below == "", P.file_name(F.col("path"))).otherwise(below)
+    return ~name.rlike(r"(^|/)(\.|_(?!metadata|common_metadata)[^/=]*(/|$))|\._COPYING_(/|$)")
+
+
+def contents(listing: DataFrame) -> DataFrame:
+    """``path, content`` of listed files (``path``, ``length``), opened in the tasks, without byte order mark.
+
+    An empty file has no row, and a lost one is an error, as with Spark's own reader. That one puts at most some 32 small
+    files into a task, so its tasks grow with the number of files; here a task has 1,024 or more of them.
+    """
+    n, size = listing.agg(F.count(F.lit(1)), F.sum("length")).first()
+    most = listing.sparkSession.sparkContext.defaultParallelism * 4
+    tasks = max(1, min(most, n // 1024), -(-int(size or 0) // TASK_BYTES))
+    opened = listing.select("path").repartition(tasks).mapInArrow(open_files(), "path string, bytes binary")
+    return opened.select("path", without_bom(F.col("bytes").cast("string")).alias("content"))
+
+
 def read_texts(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
     """``path, content`` per file, read whole and without byte order mark.
 
-    An empty file has no row; join from the listing to keep it.
+    An empty file has no row; join from the listing to keep it. Folders are listed and files opened by the tasks. Path
+    patterns, brackets in ``glob`` and stores that only Spark knows go through Spark's reader.
     """
+    several = [p.rstrip("/") or p for p in ([paths] if isinstance(paths, str) else paths)]
+    if several and re.fullmatch(r"[^\[\]{}\\]*", glob) and all(listable(p) for p in several):
+        name = re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".")
+        found = None
+        for path in several:
+            listed = list_files(spark, path).filter(shown(path) & P.file_name(F.col("path")).rlike(f"(?s)^{name}$"))
+            listed = listed.select("path", "length")
+            found = listed if found is None else found.unionByName(listed)
+        return contents(found if len(several) == 1 else found.dropDuplicates(["path"]))
     texts = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(
         paths, wholetext=True
     )

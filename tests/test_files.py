@@ -220,3 +220,23 @@ def test_exports(spark, tmp_path):
         spark.createDataFrame([("d", 0, "text", 0)], "doc_id string, elem_idx int, element_type string, page_idx int"), ["doc_id"]
     ), str(tmp_path / "s"), "json")
     assert json.loads(written(tmp_path / "s"))["type_distribution"] == {"text": 1}
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    """Not a task for every 32 files; rows as Spark's own reader gives them, also for patterns and several folders."""
+    for i in range(200):
+        touch(tmp_path / f"d{i % 3}/f{i}.md", f"text {i}")
+    for name in (".h/a.md", "_h/a.md", "d0/.b.md", "d1/_b.md", "d0/empty.md", "d0/x.txt"):
+        touch(tmp_path / name, "" if "empty" in name else "no")
+    touch(tmp_path / "d2/_a=1.md", "shown")
+    (tmp_path / "d2/latin.md").write_bytes(b"caf\xe9")
+    got = files.read_markdown(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() <= 2
+    plain = spark.read.option("pathGlobFilter", "*.md").option("recursiveFileLookup", "true").text(str(tmp_path), wholetext=True)
+    both = [
+        df.select(F.substring_index("path", "/", -1), F.hex("content")).collect()
+        for df in (got, plain.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")))
+    ]
+    assert sorted(both[0]) == sorted(both[1]) and len(both[0]) == 202
+    assert files.read_markdown(spark, f"{tmp_path}/d*").count() == 202
+    assert files.read_markdown(spark, [f"{tmp_path}/d0/", f"{tmp_path}/d1/f1.md", f"{tmp_path}/d0"]).count() == 68
