@@ -124,47 +124,75 @@ class Caller:
         return (*pair, answered)
 
 
+def slices(sizes):
+    """Start and length of runs of rows of which each holds ``BATCH_CHARS`` characters or one row more."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= BATCH_CHARS:
+            yield start, i + 1 - start
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
 def answer_column(fn, prompt: str, column: str, calling: Calling):
-    """``mapInArrow`` function that adds ``response`` and ``error`` for a text column."""
+    """``mapInArrow`` function that adds ``response`` and ``error`` for a text column. Python holds the texts
+    and answers of one slice at a time, however many rows a batch has."""
     import pyarrow as pa
+    from pyarrow import compute as pc
 
     def run(batches):
         caller = Caller(fn, prompt, calling)
-        for batch in batches:
-            pairs = caller.answers(batch.column(column).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns,
-                    pa.array([p[0] for p in pairs], pa.string()),
-                    pa.array([p[1] for p in pairs], pa.string()),
-                ],
-                [*batch.schema.names, "response", "error"],
-            )
+        for whole in batches:
+            for start, n in slices(pc.fill_null(pc.binary_length(whole.column(column)), 0).to_pylist()):
+                batch = whole.slice(start, n)
+                pairs = caller.answers(batch.column(column).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns,
+                        pa.array([p[0] for p in pairs], pa.string()),
+                        pa.array([p[1] for p in pairs], pa.string()),
+                    ],
+                    [*batch.schema.names, "response", "error"],
+                )
 
     return run
 
 
 def answer_lists(fn, prompt: str, column: str, calling: Calling):
-    """``mapInArrow`` function that adds ``answers`` for a column of text arrays."""
+    """``mapInArrow`` function that adds ``answers`` for a column of text arrays, a slice at a time."""
     import pyarrow as pa
+    from pyarrow import compute as pc
 
     kind = pa.list_(pa.struct([("response", pa.string()), ("error", pa.string())]))
 
+    def sizes(column) -> list[int]:
+        """Bytes of the texts of each row."""
+        import numpy as np
+
+        out = np.zeros(len(column), np.int64)
+        lengths = pc.fill_null(pc.binary_length(pc.list_flatten(column)), 0)
+        np.add.at(out, pc.list_parent_indices(column).to_numpy(), lengths.to_numpy(zero_copy_only=False))
+        return out.tolist()
+
     def run(batches):
         caller = Caller(fn, prompt, calling)
-        for batch in batches:
-            lists = batch.column(column).to_pylist()
-            flat = [t for texts in lists for t in texts or ()]
-            pairs = iter(caller.answers(flat))
-            answers = [
-                None
-                if texts is None
-                else [dict(zip(("response", "error"), next(pairs))) for _ in texts]
-                for texts in lists
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(answers, kind)], [*batch.schema.names, "answers"]
-            )
+        for whole in batches:
+            for start, n in slices(sizes(whole.column(column))):
+                batch = whole.slice(start, n)
+                lists = batch.column(column).to_pylist()
+                flat = [t for texts in lists for t in texts or ()]
+                pairs = iter(caller.answers(flat))
+                answers = [
+                    None
+                    if texts is None
+                    else [dict(zip(("response", "error"), next(pairs))) for _ in texts]
+                    for texts in lists
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(answers, kind)], [*batch.schema.names, "answers"]
+                )
 
     return run
 

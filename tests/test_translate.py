@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark import constants as K
+from foliospark.operators import calls
 from foliospark.operators import translate as TR
 from foliospark.operators.calls import Caller, Calling, ServiceDown, attempt
 from foliospark.operators.skew import join_one_per_key
@@ -239,3 +240,21 @@ def test_hot_keys_are_dealt_to_salts(spark):
     assert all(r.v == r.k.upper() and r.n == (700 if r.k == "hot" else 1) for r in rows)
     missing = join_one_per_key(many, one.filter("k != 'hot'"), "k", ["id"]).filter("v is null")
     assert missing.count() == 700
+
+
+def test_answers_go_out_in_slices():
+    """Python holds the texts of one slice, whatever the size of the batch; answers stay with their texts."""
+    import pyarrow as pa
+
+    texts = [f"{i}" * 40_000 if i % 5 else None for i in range(100)]
+    lists = [None if i % 7 == 0 else [t, str(i)] if t else [] for i, t in enumerate(texts)]
+    batch = pa.record_batch({"id": list(range(100)), "t": texts, "l": pa.array(lists, pa.list_(pa.string()))})
+    calling = calls.Calling(1, 1.0, texts_per_call=3)
+    fn = lambda texts, prompt: [t[::-1] for t in texts]
+    found = list(calls.answer_column(fn, "", "t", calling)([batch.slice(0, 50), batch.slice(50)]))
+    assert len(found) > 3 and sum((b["id"].to_pylist() for b in found), []) == list(range(100))
+    assert sum((b["response"].to_pylist() for b in found), []) == [t and t[::-1] for t in texts]
+    found = list(calls.answer_lists(fn, "", "l", calling)([batch.slice(0, 50), batch.slice(50)]))
+    answers = sum((b["answers"].to_pylist() for b in found), [])
+    assert len(found) > 3 and sum((b["id"].to_pylist() for b in found), []) == list(range(100))
+    assert [a and [x["response"] for x in a] for a in answers] == [x and [t[::-1] for t in x] for x in lists]
