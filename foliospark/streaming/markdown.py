@@ -19,6 +19,7 @@ from foliospark.operators import chunks as C
 from foliospark.operators import memory as M
 from foliospark.operators.translate import translate_markdown
 from foliospark.session import shared_path
+from foliospark.sources.files import contents, list_files, listable, shown
 from foliospark.sources.sinks import with_output_name
 from foliospark.sources.tables import exists
 
@@ -44,22 +45,46 @@ def translate_new_files(
     with failed chunks are taken along by the next micro-batch, which sends those chunks again: a
     document's last row counts (:func:`translated_documents`). What still waits is kept beside
     ``out``, by batch; :func:`retry_failed` sends it again without new files.
+
+    With ``available_now`` the folder is listed by a task at the start, what is new is noted below ``checkpoint``, and the
+    stream goes over those notes, ``max_files_per_batch`` files at a time, which its tasks open. Spark's own source lists
+    each file of a batch once more, in a task of its own up to 10,000 of them, and keeps all files in the driver. It still
+    serves streams that go on for good, checkpoints that began with it, path patterns and stores that only Spark knows. A
+    checkpoint that began with notes goes on with them.
     """
-    docs = (
-        spark.readStream.format("text")
-        .schema("value STRING")
-        .option("wholetext", "true")
-        .option("pathGlobFilter", f"*{K.MARKDOWN_SUFFIX}")
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .load(folder)
-        .select(
-            P.document_id(P.plain_path(F.col("_metadata.file_path"))).alias("doc_id"),
-            P.stem(P.plain_path(F.col("_metadata.file_path"))).alias("stem"),
-            without_bom(F.col("value")).alias("content"),
+    log = f"{checkpoint.rstrip('/')}/arrivals"
+    ahead = exists(spark, log)
+    if ahead and not available_now:
+        raise ValueError(f"the files of this checkpoint are listed at each start, go on with available_now: {checkpoint}")
+    if ahead or (available_now and not exists(spark, f"{checkpoint.rstrip('/')}/sources") and listable(folder)):
+        _note_arrivals(spark, folder, log, max_files_per_batch)
+        source = (
+            spark.readStream.schema(_ARRIVALS)
+            .option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", 1)
+            .option("maxFileAge", "36500d")
+            .parquet(log)
+        )
+    else:
+        source = (
+            spark.readStream.format("text")
+            .schema("value STRING")
+            .option("wholetext", "true")
+            .option("pathGlobFilter", f"*{K.MARKDOWN_SUFFIX}")
+            .option("maxFilesPerTrigger", max_files_per_batch)
+            .load(folder)
+            .select(
+                P.plain_path(F.col("_metadata.file_path")).alias("path"), without_bom(F.col("value")).alias("content")
+            )
         )
-    )
+
+    def documents(batch: DataFrame) -> DataFrame:
+        path = F.col("path")
+        found = batch if "content" in batch.columns else contents(batch)
+        return found.select(P.document_id(path).alias("doc_id"), P.stem(path).alias("stem"), "content")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = documents(batch)
         if memory:
             waiting = _waiting(spark, out, batch_id)[0]
             _translate_remembered(
@@ -70,12 +95,39 @@ def translate_new_files(
         done = translate_markdown(batch, fn, target_lang, keys=("doc_id", "stem"), **options)
         with_output_name(done).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    stream = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         stream = stream.trigger(availableNow=True)
     return stream.start()
 
 
+_ARRIVALS = "path STRING, mtime TIMESTAMP, length BIGINT"
+
+
+def _note_arrivals(spark: SparkSession, folder: str, log: str, files_per_batch: int) -> None:
+    """Append the Markdown files right in ``folder`` that the log does not have, oldest first, to it: one file of the
+    log for each micro-batch. What a crash leaves out is appended by the next start."""
+    listed = list_files(spark, folder, recursive=False).select("path", "mtime", "length")
+    new = listed.filter(F.col("path").endswith(K.MARKDOWN_SUFFIX) & shown(folder))
+    if exists(spark, log):
+        known = spark.read.schema(_ARRIVALS).option("recursiveFileLookup", "true").parquet(log)
+        new = new.join(known.select("path"), "path", "left_anti")
+    work = shared_path(spark, "arrivals")
+    placed = new.orderBy("mtime", "path").withColumn("at", F.monotonically_increasing_id())
+    placed.write.parquet(f"{work}/placed")
+    placed = spark.read.schema(placed.schema).parquet(f"{work}/placed").withColumn("part", F.shiftright("at", 33))
+    # One row for each sorted partition.
+    before, bases = 0, [(-1, 0)]
+    for row in placed.groupBy("part").count().orderBy("part").collect():
+        bases.append((row["part"], before))
+        before += row["count"]
+    starts = F.broadcast(spark.createDataFrame(bases, "part BIGINT, base BIGINT"))
+    place = F.col("base") + F.col("at").bitwiseAND((1 << 33) - 1)
+    batches = placed.join(starts, "part").withColumn("batch", F.floor(place / files_per_batch))
+    batches = batches.select(*_names(_ARRIVALS), "batch").repartition("batch")
+    batches.write.partitionBy("batch").parquet(f"{log}/{work.rsplit('/', 1)[-1]}")
+
+
 _WAITING = "doc_id STRING, stem STRING, content STRING"
 _DONE = (
     "doc_id STRING, stem STRING, target_lang STRING, content STRING, n_chunks INT, n_failed_chunks INT, "

@@ -1,3 +1,5 @@
+import pytest
+
 from foliospark.streaming.markdown import retry_failed, translate_new_files, translated_documents
 from tests.test_batch import Calls
 
@@ -60,3 +62,29 @@ def test_nothing_waits(spark, tmp_path):
     assert query.awaitTermination(200)
     assert retry_failed(spark, out, Calls(tmp_path / "calls"), memory) == 0
     assert translated_documents(spark, out).count() == 1
+
+
+def test_arrivals_are_noted(spark, tmp_path):
+    """One note for each micro-batch, so that a batch is not listed file by file again; hidden and empty files."""
+    (tmp_path / "md").mkdir()
+    for i in range(7):
+        (tmp_path / f"md/{i}.md").write_text(f"x{i}")
+    for name, text in ((".h.md", "no"), ("_h.md", "no"), ("e.md", ""), ("t.txt", "no")):
+        (tmp_path / "md" / name).write_text(text)
+    out, checkpoint, calls = str(tmp_path / "out"), str(tmp_path / "ck"), Calls(tmp_path / "calls")
+
+    def once(**options):
+        query = translate_new_files(spark, f"file://{tmp_path}/md", out, checkpoint, calls, max_files_per_batch=3, **options)
+        assert query.awaitTermination(200)
+
+    once()
+    assert calls.sent() == [f"x{i}" for i in range(7)]
+    assert len(list((tmp_path / "ck/arrivals").glob("*/batch=*/part-*.parquet"))) == 3
+    assert spark.read.parquet(out).groupBy("batch_id").count().count() == 3
+    (tmp_path / "md/new.md").write_text("new")
+    once()
+    assert calls.sent() == ["new"] and spark.read.parquet(out).count() == 8
+    once()
+    assert calls.sent() == []
+    with pytest.raises(ValueError, match="available_now"):
+        once(available_now=False)
