@@ -306,6 +306,20 @@ def open_files():
     return run
 
 
+def delete_files():
+    """``foreachPartition`` function over ``path`` that deletes the files; one that is gone already does no harm."""
+
+    def run(rows):
+        for row in rows:
+            filesystem, inner, _ = locate(row["path"])
+            try:
+                filesystem.delete_file(inner)
+            except FileNotFoundError:
+                pass
+
+    return run
+
+
 def read_ranges(part_bytes: int):
     """``mapInArrow`` function over (key, path, number): the characters that begin in that part of the
     file, without byte order mark. NULL where the file is gone or the part is not UTF-8."""

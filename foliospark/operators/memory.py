@@ -20,7 +20,7 @@ from foliospark import schemas
 from foliospark.functions import text as T
 from foliospark.operators import translate as TR
 from foliospark.operators.skew import join_one_per_key
-from foliospark.sources.tables import exists, small_broadcast
+from foliospark.sources.tables import exists, small_broadcast, write_texts
 
 
 def text_key(text):
@@ -64,8 +64,8 @@ def translate_remembered(
     """One result per row, as :func:`translate_table` gives, with ``chunk_key`` and ``reused``.
 
     Sends only texts that the memory has no success for, each once, and adds the results to it
-    in one commit. A text that failed fails all its rows of this run and is sent again by the next. Blank
-    texts are not sent.
+    in one commit. A text that failed fails all its rows of this run and is sent again by the next. A run may come
+    in slices, by several calls with its ``run_id``: what one has sent, the others do not. Blank texts are not sent.
 
     Which texts are unknown is decided on keys alone; only their texts are shuffled, copies being
     collapsed by the tasks that read them. Results go to the copies with every key dealt to salts, so
@@ -74,16 +74,19 @@ def translate_remembered(
     """
     spark = chunks.sparkSession
     prompt = system_prompt or K.MARKDOWN_PROMPT.replace("{target_lang}", target_lang)
-    keyed = chunks.select(*keys, F.col(text).alias("original")).withColumn("chunk_key", text_key(F.col("original")))
-    keyed.write.parquet(f"{work}/keyed")
+    original = F.col("original")
+    keyed = chunks.select(*keys, F.col(text).alias("original")).select(
+        "*", text_key(original).alias("chunk_key"), T.is_blank(original).alias("_blank")
+    )
+    write_texts(keyed, f"{work}/keyed")
     keyed = spark.read.schema(keyed.schema).parquet(f"{work}/keyed")
-    blank = T.is_blank(F.col("original"))
-    full = keyed.filter(~blank)
+    full = keyed.filter(~F.col("_blank"))
 
     asked = full.select("chunk_key").distinct()
     asked.write.parquet(f"{work}/asked")
     asked = spark.read.schema(asked.schema).parquet(f"{work}/asked")
-    earlier = memory.results(prompt, target_lang).filter("success")
+    own = F.col("run_id") == run_id
+    earlier = memory.results(prompt, target_lang).filter(F.col("success") | own)
     unknown = asked.join(earlier.select("chunk_key"), "chunk_key", "left_anti")
     unknown.write.parquet(f"{work}/unknown")
     unknown = spark.read.schema(unknown.schema).parquet(f"{work}/unknown")
@@ -94,10 +97,9 @@ def translate_remembered(
             once, fn, target_lang, keys=("chunk_key",), text="original", system_prompt=prompt, **options
         )
         made = made.select("chunk_key", "original", "translated", "success", "error")
-        made.write.parquet(f"{memory.part(prompt, target_lang)}/run_id={run_id}")
+        write_texts(made, f"{memory.part(prompt, target_lang)}/run_id={run_id}", "append")
 
     # The run's own results and earlier successes, one for each key.
-    own = F.col("run_id") == run_id
     mine = memory.results(prompt, target_lang).filter(F.col("success") | own)
     answer = F.max_by(
         F.struct("original", "translated", "success", "error", (~own).alias("reused")),
@@ -106,7 +108,7 @@ def translate_remembered(
     found = mine.join(small_broadcast(asked), "chunk_key", "left_semi").groupBy("chunk_key").agg(answer.alias("a"))
     found = found.select("chunk_key", "a.*")
     joined = join_one_per_key(full.select(*keys, "chunk_key"), found, "chunk_key", list(keys))
-    empty = keyed.filter(blank).select(
+    empty = keyed.filter("_blank").select(
         *keys, "chunk_key", "original", F.lit("").alias("translated"), F.lit(True).alias("success"),
         F.lit("").alias("error"), F.lit(False).alias("reused"),
     )
@@ -127,5 +129,6 @@ def documents_of(results: DataFrame, keys: tuple[str, ...], separator: str) -> D
         pairs.alias("pairs"), F.count_if(~F.col("success")).cast("int").alias("n_failed_chunks")
     )
     return grouped.select(
-        *keys, "target_lang", F.array_join("pairs.final", separator).alias("content"), "n_failed_chunks"
+        *keys, "target_lang", F.array_join("pairs.final", separator).alias("content"), "n_failed_chunks",
+        F.size("pairs").alias("n_chunks"),
     )

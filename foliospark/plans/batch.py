@@ -390,7 +390,7 @@ def _sent(
         more = _sent_again(tables, retried, chunks, translator, target_lang, options)
         more = tables.write(more, "retried_chunks", run_id)
         results = results.unionByName(more)
-        whole = whole.unionByName(M.documents_of(more, keys, separator))
+        whole = whole.unionByName(M.documents_of(more, keys, separator).drop("n_chunks"))
     return results, whole
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,21 @@ def build_session(master: str | None = None, app_name: str = "foliospark", **ext
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Within, the shuffle files of each query go when it ends, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -15,13 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 from foliospark import constants as K
 from foliospark.functions import paths as P
 from foliospark.functions.text import is_blank, without_bom
+from foliospark.operators import calls
 from foliospark.operators import chunks as C
 from foliospark.operators import memory as M
 from foliospark.operators.translate import translate_markdown
-from foliospark.session import shared_path
+from foliospark.session import shared_path, shuffles_freed
 from foliospark.sources.files import contents, list_files, listable, shown
 from foliospark.sources.sinks import with_output_name
-from foliospark.sources.tables import exists
+from foliospark.sources.tables import exists, mark, names_in, remove, slices, small_broadcast, write_texts
 
 
 def translate_new_files(
@@ -34,6 +35,7 @@ def translate_new_files(
     max_files_per_batch: int = 10_000,
     available_now: bool = True,
     memory: str | None = None,
+    take: bool = False,
     **options,
 ) -> StreamingQuery:
     """Start a query that translates each new Markdown file of ``folder`` once.
@@ -51,6 +53,10 @@ def translate_new_files(
     each file of a batch once more, in a task of its own up to 10,000 of them, and keeps all files in the driver. It still
     serves streams that go on for good, checkpoints that began with it, path patterns and stores that only Spark knows. A
     checkpoint that began with notes goes on with them.
+
+    With ``take`` the files are the stream's: each micro-batch writes its documents as one table below ``checkpoint``, a
+    fraction of what small files take on disk, and then deletes the files. A batch that is run again goes by that table,
+    which stays until the next one begins. Spark's own source deletes its files after the batch.
     """
     log = f"{checkpoint.rstrip('/')}/arrivals"
     ahead = exists(spark, log)
@@ -69,6 +75,7 @@ def translate_new_files(
         source = (
             spark.readStream.format("text")
             .schema("value STRING")
+            .option("cleanSource", "delete" if take else "off")
             .option("wholetext", "true")
             .option("pathGlobFilter", f"*{K.MARKDOWN_SUFFIX}")
             .option("maxFilesPerTrigger", max_files_per_batch)
@@ -83,16 +90,33 @@ def translate_new_files(
         found = batch if "content" in batch.columns else contents(batch)
         return found.select(P.document_id(path).alias("doc_id"), P.stem(path).alias("stem"), "content")
 
+    def taken(batch: DataFrame, batch_id: int) -> str:
+        top = f"{checkpoint.rstrip('/')}/taken"
+        for name in names_in(spark, top):
+            if int(name) < batch_id:
+                remove(spark, f"{top}/{name}")
+        mine = f"{top}/{batch_id}"
+        if not exists(spark, f"{mine}/whole"):
+            write_texts(documents(batch), f"{mine}/docs", "overwrite")
+            mark(spark, f"{mine}/whole")
+        tasks = spark.sparkContext.defaultParallelism * 4
+        batch.select("path").repartition(tasks).foreachPartition(calls.delete_files())
+        return f"{mine}/docs"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = documents(batch)
+        kept = taken(batch, batch_id) if take and "content" not in batch.columns else None
         if memory:
-            waiting = _waiting(spark, out, batch_id)[0]
+            work = shared_path(spark, "stream-batch")
+            if not kept:
+                write_texts(documents(batch), kept := f"{work}/docs")
+            last, retry = _waiting(spark, out, batch_id)
             _translate_remembered(
-                batch.unionByName(waiting), fn, f"{out}/batch_id={batch_id}",
-                f"{out}-waiting/batch_id={batch_id}/retry=0", target_lang, memory, options,
+                spark, [kept] if last is None else [kept, _waiting_at(out, last, retry)], fn, f"{out}/batch_id={batch_id}",
+                _waiting_at(out, batch_id, 0), work, target_lang, memory, options,
             )
             return
-        done = translate_markdown(batch, fn, target_lang, keys=("doc_id", "stem"), **options)
+        docs = spark.read.schema(_WAITING).parquet(kept) if kept else documents(batch)
+        done = translate_markdown(docs, fn, target_lang, keys=("doc_id", "stem"), **options)
         with_output_name(done).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     stream = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -135,51 +159,70 @@ _DONE = (
 )
 
 
-def _waiting(spark: SparkSession, out: str, before: int) -> tuple[DataFrame, int, int]:
-    """What the last batch before that one, or its last retry, has left with failed chunks; which they are."""
+def _waiting(spark: SparkSession, out: str, before: int) -> tuple[int | None, int]:
+    """The last batch before that one, and its last retry: what has failed chunks still lies there."""
     path = f"{out}-waiting"
     if not exists(spark, path):
-        return spark.createDataFrame([], _WAITING), -1, 0
+        return None, 0
     rows = spark.read.schema(f"{_WAITING}, batch_id BIGINT, retry BIGINT").parquet(path)
     last = rows.filter(F.col("batch_id") < before).agg(F.max(F.struct("batch_id", "retry"))).first()[0]
-    if last is None:
-        return spark.createDataFrame([], _WAITING), -1, 0
-    mine = (F.col("batch_id") == last.batch_id) & (F.col("retry") == last.retry)
-    # A batch without such documents leaves an empty marker row.
-    return rows.filter(mine & F.col("doc_id").isNotNull()).drop("batch_id", "retry"), last.batch_id, last.retry
+    return (None, 0) if last is None else (last.batch_id, last.retry)
+
+
+def _waiting_at(out: str, batch_id: int, retry: int) -> str:
+    return f"{out}-waiting/batch_id={batch_id}/retry={retry}"
 
 
 def _translate_remembered(
-    docs: DataFrame, fn: Callable, out: str, waiting: str, target_lang: str, memory: str, options: dict
+    spark: SparkSession, docs: list[str], fn: Callable, out: str, waiting: str, work: str, target_lang: str, memory: str,
+    options: dict,
 ) -> None:
-    """Documents by the memory to one folder, then those that have to be sent again to another: whoever dies
-    in between sends again what the memory knows already."""
+    """Written documents by the memory to one folder, then those that have to be sent again to another: whoever dies
+    in between sends again what the memory knows already.
+
+    A slice of the documents after the other, each with what it leaves to the next deleted: work tables and shuffles are
+    several times the texts. ``work`` is deleted at the end.
+    """
+    with shuffles_freed(spark):
+        for i, files in enumerate(slices(spark, docs)):
+            part, mode = f"{work}/{i}", "append" if i else "overwrite"
+            # A batch without documents to send again has left an empty marker row.
+            rows = spark.read.schema(_WAITING).parquet(*files).filter(F.col("doc_id").isNotNull())
+            done, again = _translated_slice(rows, fn, work.rsplit("/", 1)[-1], part, target_lang, memory, dict(options))
+            write_texts(done, out, mode)
+            write_texts(again, f"{work}/again", mode)
+            remove(spark, part)
+        again = spark.read.schema(_WAITING).parquet(f"{work}/again")
+        marker = spark.createDataFrame([(None, None, None)], _WAITING)
+        write_texts(again.unionByName(marker), waiting, "overwrite")
+    remove(spark, work)
+
+
+def _translated_slice(
+    docs: DataFrame, fn: Callable, run_id: str, work: str, target_lang: str, memory: str, options: dict
+) -> tuple[DataFrame, DataFrame]:
+    """The documents translated, and those of them with failed chunks as they came."""
     spark, keys = docs.sparkSession, ("doc_id", "stem")
-    work = shared_path(spark, "stream-batch")
-    options = dict(options)
     separator = options.pop("separator", K.PARAGRAPH_SEPARATOR)
     max_chars = options.pop("max_chars", K.MAX_CHARS)
-    docs.write.parquet(f"{work}/docs")
-    docs = spark.read.schema(docs.schema).parquet(f"{work}/docs")
     blank = is_blank(F.col("content"))
     chunks = C.chunk_rows(docs.filter(~blank), list(keys), separator=separator, max_chars=max_chars)
     results = M.translate_remembered(
-        chunks, fn, M.TranslationMemory(spark, memory), f"{work.rsplit('/', 1)[-1]}", f"{work}/keys", target_lang,
+        chunks, fn, M.TranslationMemory(spark, memory), run_id, f"{work}/keys", target_lang,
         keys=(*keys, "chunk_idx"), **options,
     )
-    results.write.parquet(f"{work}/results")
+    write_texts(results, f"{work}/results")
+    remove(spark, f"{work}/keys")
     results = spark.read.schema(results.schema).parquet(f"{work}/results")
-    n_chunks = results.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("n_chunks"))
-    whole = M.documents_of(results, keys, separator).join(n_chunks, list(keys))
+    whole = M.documents_of(results, keys, separator)
     same = docs.filter(blank).select(
         *keys, F.lit(target_lang).alias("target_lang"), "content", F.lit(0).alias("n_failed_chunks"), F.lit(0).alias("n_chunks")
     )
     done = with_output_name(whole.unionByName(same)).select(*_names(_DONE)[:-1])
     failed = results.filter(~F.col("success")).select("doc_id").distinct()
-    again = docs.join(failed, "doc_id", "left_semi").select(*_names(_WAITING))
-    marker = spark.createDataFrame([(None, None, None)], _WAITING)
-    done.write.mode("overwrite").parquet(out)
-    again.unionByName(marker).write.mode("overwrite").parquet(waiting)
+    failed.write.parquet(f"{work}/failed")
+    failed = spark.read.schema(failed.schema).parquet(f"{work}/failed")
+    return done, docs.join(small_broadcast(failed), "doc_id", "left_semi").select(*_names(_WAITING))
 
 
 def _names(schema: str) -> list[str]:
@@ -193,21 +236,31 @@ def retry_failed(
 
     Results go beside ``out`` as a retry of the last batch, and the stream goes on from there.
     """
-    waiting, batch_id, retry = _waiting(spark, out, 1 << 62)
-    n = waiting.count()
+    batch_id, retry = _waiting(spark, out, 1 << 62)
+    if batch_id is None:
+        return 0
+    waiting = _waiting_at(out, batch_id, retry)
+    n = spark.read.schema(_WAITING).parquet(waiting).filter(F.col("doc_id").isNotNull()).count()
     if n:
-        name = f"batch_id={batch_id}/retry={retry + 1}"
         _translate_remembered(
-            waiting, fn, f"{out}-retried/{name}", f"{out}-waiting/{name}", target_lang, memory, options
+            spark, [waiting], fn, f"{out}-retried/batch_id={batch_id}/retry={retry + 1}",
+            _waiting_at(out, batch_id, retry + 1), shared_path(spark, "stream-batch"), target_lang, memory, options,
         )
     return n
 
 
 def translated_documents(spark: SparkSession, out: str) -> DataFrame:
-    """Every document of a stream's output once, from the last batch or retry that held it."""
-    rows = spark.read.schema(_DONE).parquet(out).withColumn("retry", F.lit(0).cast("bigint"))
+    """Every document of a stream's output once, from the last batch or retry that held it.
+
+    No batch takes up a document again of which all chunks have succeeded, so such rows of batches pass and only their
+    ids are shuffled.
+    """
+    rows = spark.read.schema(_DONE).parquet(out)
+    whole = F.col("n_failed_chunks") == 0
+    rest = rows.filter(~whole).withColumn("retry", F.lit(0).cast("bigint"))
     if exists(spark, f"{out}-retried"):
-        rows = rows.unionByName(spark.read.schema(f"{_DONE}, retry BIGINT").parquet(f"{out}-retried"))
-    fields = [c for c in rows.columns if c not in ("doc_id", "retry")]
+        rest = rest.unionByName(spark.read.schema(f"{_DONE}, retry BIGINT").parquet(f"{out}-retried"))
+    rest = rest.join(rows.filter(whole).select("doc_id"), "doc_id", "left_anti")
+    fields = [c for c in rows.columns if c != "doc_id"]
     last = F.max_by(F.struct(*fields), F.struct("batch_id", "retry")).alias("d")
-    return rows.groupBy("doc_id").agg(last).select("doc_id", "d.*")
+    return rows.filter(whole).unionByName(rest.groupBy("doc_id").agg(last).select("doc_id", "d.*"))

@@ -1,5 +1,13 @@
+import os
+import time
+
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
+from foliospark.plans.queries import stream_retries
+from foliospark.session import shuffles_freed
+from foliospark.sources import tables
 from foliospark.streaming.markdown import retry_failed, translate_new_files, translated_documents
 from tests.test_batch import Calls
 
@@ -88,3 +96,131 @@ def test_arrivals_are_noted(spark, tmp_path):
     assert calls.sent() == []
     with pytest.raises(ValueError, match="available_now"):
         once(available_now=False)
+
+
+def below(path):
+    """Files by name, without checksums and marks of a written table."""
+    found = (os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f[0] not in "._")
+    return [f.removeprefix(f"{path}/") for f in found]
+
+
+def test_what_a_batch_needs_goes_with_it(spark, tmp_path):
+    """Files of taken documents and work tables do not add up over the batches."""
+    spark.range(9).selectExpr("id AS doc_id", "'en' AS lang", "repeat(concat('word', id % 5, ' Fuß\n'), 900) AS text").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    kept = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(kept))
+    rows = stream_retries(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(9)) and {r.n_failed_chunks for r in rows} == {0}
+    new = [d for d in os.listdir(kept) if d not in before]
+    assert not [d for d in new if d.startswith(("stream-batch", "retry-files", "retry-state"))]
+    assert not [f for d in new for f in below(f"{kept}/{d}") if f.endswith(".md")]
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def left(name):
+        before, found = disk.getAllFiles().size(), None
+        spark.range(1000).repartition(3).write.parquet(f"{tmp_path}/{name}")
+        for _ in range(50):
+            if (found := disk.getAllFiles().size()) <= before:
+                break
+            time.sleep(0.1)
+        return max(0, found - before)
+
+    was = spark.conf.get(key, None)
+    with shuffles_freed(spark):
+        assert left("freed") == 0
+    assert spark.conf.get(key, None) == was
+
+
+def test_taken_files(spark, tmp_path):
+    """A batch that fails after its files are deleted goes by their table when it is run again."""
+    (tmp_path / "md").mkdir()
+    for i in range(6):
+        (tmp_path / f"md/{i}.md").write_text(f"x{i}\n\nbad")
+    (tmp_path / "md/t.txt").write_text("stays")
+    out, memory, calls = str(tmp_path / "out"), str(tmp_path / "memory"), Calls(tmp_path / "calls", bad="bad")
+    options = {"max_attempts": 1, "max_chars": 3}
+
+    def once(**more):
+        query = translate_new_files(
+            spark, f"file://{tmp_path}/md", out, str(tmp_path / "ck"), calls, max_files_per_batch=4, memory=memory,
+            take=True, **options, **more,
+        )
+        assert query.awaitTermination(200)
+
+    with pytest.raises(StreamingQueryException):
+        once(stop_after=1)
+    assert len(below(tmp_path / "md")) == 3 and not os.path.exists(out)
+    once()
+    assert below(f"{tmp_path}/md") == ["t.txt"] and os.listdir(tmp_path / "ck/taken") == ["1"]
+    rows = translated_documents(spark, out).collect()
+    assert {r.stem: (r.content, r.n_failed_chunks) for r in rows} == {str(i): (f"T:x{i}\n\nbad", 1) for i in range(6)}
+    calls.bad = None
+    assert retry_failed(spark, out, calls, memory, **options) == 6
+    rows = translated_documents(spark, out).collect()
+    assert sorted((r.stem, r.content) for r in rows) == [(str(i), f"T:x{i}\n\nT:bad") for i in range(6)]
+
+
+def test_slices(spark, tmp_path, monkeypatch):
+    """The same documents come out of many slices, which send a text once, and one that fails once as well."""
+    monkeypatch.setattr(tables, "SLICE_BYTES", (1, 1))
+    spark.range(6).repartition(3).selectExpr("concat('d', id) doc_id", "concat('s', id) stem", "concat('x', id % 2, '\n\nbad') content").write.parquet(
+        f"{tmp_path}/out-waiting/batch_id=0/retry=0"
+    )
+    groups = tables.slices(spark, [f"{tmp_path}/out-waiting/batch_id=0/retry=0"])
+    assert len(groups) == 3 and len({f for g in groups for f in g}) == 3
+    spark.createDataFrame([], "doc_id STRING, stem STRING, target_lang STRING, content STRING, n_chunks INT, n_failed_chunks INT, out_name STRING").write.parquet(
+        f"{tmp_path}/out/batch_id=0"
+    )
+    out, memory, asked = str(tmp_path / "out"), str(tmp_path / "memory"), Asked(tmp_path / "asked")
+    options = {"max_attempts": 1, "max_chars": 3}
+    assert retry_failed(spark, out, asked, memory, **options) == 6
+    assert sorted(asked.texts()) == ["bad", "x0", "x1"]
+    assert retry_failed(spark, out, asked, memory, **options) == 6
+    assert asked.texts() == ["bad"]
+    rows = translated_documents(spark, out).collect()
+    assert sorted((r.doc_id, r.content, r.n_failed_chunks) for r in rows) == [(f"d{i}", f"x{i % 2}!\n\nbad", 1) for i in range(6)]
+    assert spark.read.parquet(f"{out}-retried").groupBy("retry").count().filter(F.col("count") == 6).count() == 2
+
+
+class Asked:
+    """Notes every text, and refuses one."""
+
+    def __init__(self, path):
+        self.path = str(path)
+
+    def __call__(self, texts, prompt):
+        with open(self.path, "a") as log:
+            log.writelines(f"{t}\n" for t in texts)
+        return [ValueError("refused") if t == "bad" else f"{t}!" for t in texts]
+
+    def texts(self):
+        lines = open(self.path).read().split()
+        open(self.path, "w").close()
+        return lines
+
+
+def test_run_again_after_its_retry(spark, tmp_path):
+    """Whatever held a document last, it is there once."""
+    (tmp_path / "md").mkdir()
+    (tmp_path / "md/a.md").write_text("ugly")
+    (tmp_path / "md/b.md").write_text("good")
+    out, memory, calls = str(tmp_path / "out"), str(tmp_path / "memory"), Calls(tmp_path / "calls", bad="ugly")
+
+    def once():
+        query = translate_new_files(spark, f"file://{tmp_path}/md", out, str(tmp_path / "ck"), calls, memory=memory, max_attempts=1)
+        assert query.awaitTermination(200)
+
+    once()
+    calls.bad = None
+    assert retry_failed(spark, out, calls, memory, max_attempts=1) == 1
+    for name in ("0", ".0.crc"):
+        (tmp_path / f"ck/commits/{name}").unlink(missing_ok=True)
+    once()
+    rows = translated_documents(spark, out).collect()
+    assert sorted((r.stem, r.content) for r in rows) == [("a", "T:ugly"), ("b", "T:good")]
